@@ -1,0 +1,25 @@
+"""Rolling backtests as single plans: all folds and series of a model at once."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from foldcast.operators import baseline, score
+from foldcast.operators.folds import Rolling
+
+
+def seasonal_naive_rows(panel: DataFrame, rolling: Rolling, run_name: str,
+                        **options) -> DataFrame:
+    """Dashboard rows of the seasonal-naive baseline."""
+    forecasts = baseline.seasonal_naive(panel, rolling)
+    return score.dashboard_rows(panel, forecasts, rolling, "seasonal_naive", run_name, **options)
+
+
+def seasonal_naive_wmape(panel: DataFrame, rolling: Rolling) -> DataFrame:
+    """wMAPE per fold of the seasonal-naive baseline over the full scaffold."""
+    return score.dashboard_wmape(seasonal_naive_rows(panel, rolling, "baseline")).orderBy("fold")
+
+
+def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
+    return df.withColumns({c: F.round(c, digits) for c in columns})
