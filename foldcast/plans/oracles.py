@@ -41,6 +41,19 @@ panel AS (
   SELECT origin_name AS series, period, CAST(sum(qty) AS BIGINT) AS qty
   FROM od_panel GROUP BY 1, 2)"""
 
+def dense(ctes: str, end: str) -> str:
+    """Zero-fill ``panel`` of ``ctes`` from each series' first period to ``end``."""
+    return ctes.replace("\npanel AS", "\nsparse AS") + f""",
+panel AS (
+  SELECT g.series, g.period, CAST(coalesce(s.qty, 0) AS BIGINT) AS qty
+  FROM (SELECT series, CAST(unnest(generate_series(min(period), {end}, INTERVAL 7 DAY))
+               AS DATE) AS period FROM sparse GROUP BY series) g
+  LEFT JOIN sparse s ON g.series = s.series AND g.period = s.period)"""
+
+
+DENSE = dense(PANEL, f"DATE '{B.LAST_PERIOD}'")
+DENSE_ORIGIN = dense(ORIGIN, "max(period)")
+
 DAILY = """panel AS (
   SELECT CAST(user_id AS VARCHAR) AS series, CAST(ts AS DATE) AS period,
          count(event_id) AS qty
@@ -189,3 +202,118 @@ def with_(*ctes: str) -> str:
 
 def rounded(columns: str, digits: int = 6) -> str:
     return ", ".join(f"round({c.strip()}, {digits}) AS {c.strip()}" for c in columns.split(","))
+
+
+# --- time-series analysis ----------------------------------------------------------------
+
+
+def decompose(model: str = "multiplicative", season: int = 52) -> str:
+    """Decomposition of ``panel``; expects regular periods."""
+    half = season // 2
+    if model == "multiplicative":
+        detrended, seasonal = "qty / nullif(trend, 0)", "a.phase_avg / nullif(m.mean, 0)"
+        resid = "qty / nullif(trend, 0) / nullif(seasonal, 0)"
+    else:
+        detrended, seasonal, resid = "qty - trend", "a.phase_avg - m.mean", "qty - trend - seasonal"
+    return f"""d1 AS (
+  SELECT series, period, qty,
+    CASE WHEN count(qty) OVER (PARTITION BY series ORDER BY period
+                               ROWS BETWEEN {half} PRECEDING AND {half} FOLLOWING) = {season + 1}
+      THEN (2 * sum(qty) OVER (PARTITION BY series ORDER BY period
+                               ROWS BETWEEN {half - 1} PRECEDING AND {half - 1} FOLLOWING)
+            + lag(qty, {half}) OVER (PARTITION BY series ORDER BY period)
+            + lead(qty, {half}) OVER (PARTITION BY series ORDER BY period))
+           / {2.0 * season} END AS trend,
+    (row_number() OVER (PARTITION BY series ORDER BY period) - 1) % {season} AS phase
+  FROM panel),
+d_phase AS (SELECT series, phase, avg({detrended}) AS phase_avg FROM d1 GROUP BY 1, 2),
+d_mean AS (SELECT series, avg(phase_avg) AS mean FROM d_phase GROUP BY 1),
+decomposed AS (
+  SELECT *, {resid} AS resid
+  FROM (SELECT d.series, d.period, d.qty, d.trend, {seasonal} AS seasonal
+        FROM d1 d JOIN d_phase a ON d.series = a.series AND d.phase = a.phase
+        JOIN d_mean m ON d.series = m.series))"""
+
+
+TYPICAL = """profile AS (
+  SELECT series, CAST(extract('week' FROM period) AS INTEGER) AS week_of_year,
+         avg(seasonal) AS seasonal
+  FROM decomposed GROUP BY 1, 2)"""
+
+
+def lowess(frac: float = 0.4, iters: int = 3) -> str:
+    """Smoothing of ``profile``; the last round is ``smooth``."""
+    parts = [f"""pairs AS (
+  SELECT *, row_number() OVER (PARTITION BY series, x0 ORDER BY d, x) AS rn
+  FROM (SELECT a.series, CAST(a.week_of_year AS DOUBLE) AS x0, a.seasonal AS y0,
+               CAST(b.week_of_year AS DOUBLE) AS x, b.seasonal AS y,
+               CAST(abs(a.week_of_year - b.week_of_year) AS DOUBLE) AS d,
+               count(*) OVER (PARTITION BY a.series, a.week_of_year) AS n
+        FROM profile a JOIN profile b ON a.series = b.series)),
+near AS (
+  SELECT *, max(d) OVER (PARTITION BY series, x0) AS radius
+  FROM pairs WHERE rn <= floor({frac} * n + 1e-10)),
+robust0 AS (SELECT series, CAST(week_of_year AS DOUBLE) AS x, 1.0 AS r FROM profile)"""]
+    for i in range(iters + 1):
+        parts.append(f"""weights{i} AS (
+  SELECT n.series, n.x0, n.y0, n.x - n.x0 AS dx, n.y,
+         CASE WHEN n.d < n.radius THEN pow(1 - pow(n.d / n.radius, 3), 3) * r.r ELSE 0 END AS w
+  FROM near n JOIN robust{i} r ON n.series = r.series AND n.x = r.x),
+moments{i} AS (
+  SELECT series, x0, y0, sum(w * dx) / sum(w) AS mx, sum(w * y) / sum(w) AS my,
+         sum(w * dx * dx) / sum(w) AS mxx, sum(w * dx * y) / sum(w) AS mxy
+  FROM weights{i} GROUP BY 1, 2, 3),
+fit{i} AS (
+  SELECT series, x0 AS x, y0 AS y,
+         my - mx * (mxy - mx * my) / greatest(mxx - mx * mx, 1e-12) AS fit
+  FROM moments{i}),
+scale{i} AS (SELECT series, 6 * median(abs(y - fit)) AS s FROM fit{i} GROUP BY 1),
+robust{i + 1} AS (
+  SELECT f.series, f.x,
+         CASE WHEN s = 0 THEN CASE WHEN y = fit THEN 1.0 ELSE 0.0 END
+              ELSE pow(1 - pow(least(abs(y - fit) / s, 1), 2), 2) END AS r
+  FROM fit{i} f JOIN scale{i} s ON f.series = s.series)""")
+    parts.append(f"""smooth AS (
+  SELECT series, CAST(x AS INTEGER) AS week_of_year, round(y, 6) AS seasonal,
+         round(fit, 6) AS smoothed FROM fit{iters})""")
+    return ",\n".join(parts)
+
+
+def holidays(start: str, end: str, source: str) -> str:
+    """Holidays between two dates of ``source``, by rule."""
+    def nth(month: int, isodow: int, which: int) -> str:
+        first = f"make_date(y, {month}, 1)"
+        return (f"{first} + CAST(({isodow} - isodow({first}) + 7) % 7 + {7 * (which - 1)}"
+                f" AS INTEGER)")
+
+    last_may = "make_date(y, 5, 31)"
+    rules = [
+        ("GLOBAL", "New Year", "make_date(y, 1, 1)"),
+        ("GLOBAL", "Christmas", "make_date(y, 12, 25)"),
+        ("GLOBAL", "Easter", "easter"),
+        ("US", "Independence Day", "make_date(y, 7, 4)"),
+        ("US", "Veterans Day", "make_date(y, 11, 11)"),
+        ("US", "Martin Luther King Day", nth(1, 1, 3)),
+        ("US", "Presidents Day", nth(2, 1, 3)),
+        ("US", "Labor Day", nth(9, 1, 1)),
+        ("US", "Columbus Day", nth(10, 1, 2)),
+        ("US", "Thanksgiving", nth(11, 4, 4)),
+        ("US", "Memorial Day", f"{last_may} - CAST((isodow({last_may}) + 6) % 7 AS INTEGER)"),
+    ]
+    union = "\n  UNION ALL ".join(
+        f"SELECT '{name}' AS holiday, '{region}' AS region, {day} AS day FROM easters"
+        for region, name, day in rules)
+    return f"""years AS (
+  SELECT CAST(unnest(generate_series(CAST(year({start}) AS BIGINT),
+                                     CAST(year({end}) AS BIGINT))) AS BIGINT) AS y
+  FROM {source}),
+e1 AS (SELECT y, y % 19 AS a, y // 100 AS b, y % 100 AS c FROM years),
+e2 AS (SELECT *, (19 * a + b - b // 4 - (b - (b + 8) // 25 + 1) // 3 + 15) % 30 AS h FROM e1),
+e3 AS (SELECT *, (32 + 2 * (b % 4) + 2 * (c // 4) - h - c % 4) % 7 AS l FROM e2),
+e4 AS (SELECT *, h + l - 7 * ((a + 11 * h + 22 * l) // 451) + 114 AS t FROM e3),
+easters AS (SELECT y, make_date(y, t // 31, t % 31 + 1) AS easter FROM e4),
+holidays AS (
+  SELECT holiday, region, CAST(day AS DATE) AS day,
+         CAST(date_trunc('week', day) AS DATE) AS period
+  FROM ({union})
+  WHERE day BETWEEN (SELECT {start} FROM {source}) AND (SELECT {end} FROM {source}))"""

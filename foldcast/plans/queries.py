@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldcast.functions import columns as C
-from foldcast.operators import baseline, folds, profile, scaffold, score
+from foldcast.operators import (baseline, decompose, folds, holiday, lowess, profile, scaffold,
+                                score)
 from foldcast.operators import panel as P
 from foldcast.plans import backtest
 from foldcast.plans import oracles as O
@@ -83,11 +84,7 @@ def preview_panel(spark, sf_dir):
     return tables.preview(B.weekly_panel(spark, sf_dir), ["period", "series"])
 
 
-@query(O.with_(O.PANEL) + f"""
-SELECT series, period, CAST(coalesce(qty, 0) AS BIGINT) AS qty
-FROM (SELECT series, CAST(unnest(generate_series(min(period), DATE '{B.LAST_PERIOD}',
-             INTERVAL 7 DAY)) AS DATE) AS period FROM panel GROUP BY series)
-LEFT JOIN (SELECT series, period, qty FROM panel) USING (series, period)""")
+@query(O.with_(O.DENSE) + "SELECT series, period, qty FROM panel")
 def filled_panel(spark, sf_dir):
     return P.fill_gaps(B.core_panel(spark, sf_dir), end=B.LAST_PERIOD)
 
@@ -325,3 +322,81 @@ def run_id(spark, sf_dir):
     return (labelled.groupBy("fold").agg(F.count(F.lit(1)).alias("n_rows"))
             .withColumn("run_name", C.fold_run_name(RUN, "fold"))
             .withColumn("run_id", C.run_id("run_name")))
+
+
+# --- time-series analysis ------------------------------------------------------------
+
+DECOMPOSED = "SELECT series, period, qty, " + O.rounded("trend, seasonal, resid") + \
+    " FROM decomposed"
+
+
+@query(O.with_(O.TOTAL, O.decompose()) + DECOMPOSED)
+def seasonal_decompose(spark, sf_dir):
+    return rounded(decompose.seasonal_decompose(B.total_panel(spark, sf_dir)),
+                   "trend", "seasonal", "resid")
+
+
+@query(O.with_(O.DENSE_ORIGIN, O.decompose("additive")) + DECOMPOSED)
+def seasonal_decompose_additive(spark, sf_dir):
+    panel = P.fill_gaps(B.origin_panel(spark, sf_dir))
+    return rounded(decompose.seasonal_decompose(panel, model="additive"),
+                   "trend", "seasonal", "resid")
+
+
+@query(O.with_(O.DENSE.replace("\npanel AS", "\ndense AS"), """panel AS (
+  SELECT series, period, CASE WHEN qty = 0 THEN 0.01 ELSE CAST(qty AS DOUBLE) END AS qty
+  FROM dense)""", O.decompose()) + DECOMPOSED)
+def seasonal_decompose_zero_replaced(spark, sf_dir):
+    panel = P.fill_gaps(B.core_panel(spark, sf_dir), end=B.LAST_PERIOD)
+    return rounded(decompose.seasonal_decompose(panel, zero_by=C.MULTIPLICATIVE_ZERO),
+                   "trend", "seasonal", "resid")
+
+
+@query(O.with_(O.TOTAL, O.decompose(), O.TYPICAL) + """
+SELECT series, week_of_year, round(seasonal, 6) AS seasonal FROM profile""")
+def typical_seasonality(spark, sf_dir):
+    return rounded(_profile(B.total_panel(spark, sf_dir)), "seasonal")
+
+
+def _profile(panel):
+    return decompose.typical_seasonality(decompose.seasonal_decompose(panel))
+
+
+@query(O.with_(O.TOTAL, O.decompose(), O.TYPICAL, O.lowess(iters=0)) + "SELECT * FROM smooth")
+def lowess_profile(spark, sf_dir):
+    return rounded(lowess.lowess(_profile(B.total_panel(spark, sf_dir)), iters=0),
+                   "seasonal", "smoothed")
+
+
+@query(O.with_(O.TOTAL, O.decompose(), O.TYPICAL, O.lowess(iters=3)) + "SELECT * FROM smooth")
+def lowess_robust(spark, sf_dir):
+    return rounded(lowess.lowess(_profile(B.total_panel(spark, sf_dir))),
+                   "seasonal", "smoothed")
+
+
+@query(O.with_(O.DENSE_ORIGIN, O.decompose(), O.TYPICAL, O.lowess(iters=3)) + "SELECT * FROM smooth")
+def lowess_by_series(spark, sf_dir):
+    panel = P.fill_gaps(B.origin_panel(spark, sf_dir))
+    return rounded(lowess.lowess(_profile(panel)), "seasonal", "smoothed")
+
+
+# --- holidays ------------------------------------------------------------------------
+
+@query(O.with_(O.BOUNDS, O.holidays("first_period", "last_period", "bounds"))
+       + "SELECT * FROM holidays")
+def holiday_calendar(spark, sf_dir):
+    return holiday.holiday_calendar(B.event_bounds(spark, sf_dir), F.col("first_period"),
+                                    F.col("last_period"))
+
+
+@query(O.with_(O.DENSE_ORIGIN, O.decompose(), O.BOUNDS,
+               O.holidays("first_period", "last_period", "bounds")) + """
+SELECT d.series, h.holiday, round(avg(qty / nullif(trend, 0)), 6) AS holiday_effect,
+       count(trend) AS n_periods
+FROM decomposed d JOIN (SELECT DISTINCT period, holiday FROM holidays) h ON d.period = h.period
+GROUP BY 1, 2""")
+def holiday_effects(spark, sf_dir):
+    panel = P.fill_gaps(B.origin_panel(spark, sf_dir))
+    effects = holiday.holiday_effects(decompose.seasonal_decompose(panel),
+                                      holiday_calendar(spark, sf_dir))
+    return rounded(effects, "holiday_effect")
