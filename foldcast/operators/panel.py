@@ -16,6 +16,16 @@ from pyspark.sql import functions as F
 from foldcast.functions.columns import as_date, period_days, period_start, series_id
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Partition by key into as many tasks as the session asks for.
+
+    A panel is small in bytes but about to be fanned out over folds and windows.
+    Adaptive execution sizes tasks by the bytes before the fan-out and would merge
+    them into a few; a fixed number keeps every core busy.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def with_series_id(df: DataFrame, parts: Sequence[str], name: str = "series") -> DataFrame:
     return df.withColumn(name, series_id(*parts))
 
@@ -82,8 +92,8 @@ def enrich(panel: DataFrame, calendar: DataFrame, panel_key: str | Column = "per
 def fill_gaps(panel: DataFrame, series_col: str = "series", period_col: str = "period",
               target_col: str = "qty", granularity: str = "WEEKLY",
               start: str | Column | None = None, end: str | Column | None = None,
-              attribute_cols: Sequence[str] = ()) -> DataFrame:
-    """Put zeros where a series has no row.
+              attribute_cols: Sequence[str] = (), gap_value: int | None = 0) -> DataFrame:
+    """Put zeros (or ``gap_value``) where a series has no row.
 
     The grid of a series runs from its first period (or ``start`` when given) to
     ``end`` (included; its last period when not given). One window over the series
@@ -111,5 +121,5 @@ def fill_gaps(panel: DataFrame, series_col: str = "series", period_col: str = "p
                 F.explode(F.sequence("__since", "__upto", step)).alias("__period"))
         .select(series_col, *attribute_cols, F.col("__period").alias(period_col),
                 F.when(F.col("__period") == F.col("__own"), F.col(target_col))
-                .otherwise(F.lit(0)).cast(panel.schema[target_col].dataType).alias(target_col))
+                .otherwise(F.lit(gap_value)).cast(panel.schema[target_col].dataType).alias(target_col))
     )

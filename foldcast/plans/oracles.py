@@ -7,6 +7,7 @@ independently of how the Spark plans get there.
 
 from __future__ import annotations
 
+from foldcast.functions.columns import z_value
 from foldcast.sources import bindings as B
 
 TRIPS = """trips AS (
@@ -317,3 +318,232 @@ holidays AS (
          CAST(date_trunc('week', day) AS DATE) AS period
   FROM ({union})
   WHERE day BETWEEN (SELECT {start} FROM {source}) AND (SELECT {end} FROM {source}))"""
+
+
+# --- ARIMA -------------------------------------------------------------------------------
+
+
+def holiday_periods(rolling: B.Rolling) -> str:
+    """One holiday per period over all the folds' dates."""
+    dates = f"""span AS (SELECT DATE '{rolling.train_start}' AS a,
+  DATE '{rolling.test_end}' + {7 * rolling.horizon} AS b)"""
+    return dates + ",\n" + holidays("a", "b", "span") + """,
+hol AS (SELECT period, min(holiday) AS holiday FROM holidays GROUP BY 1)"""
+
+
+def arima_grid(rolling: B.Rolling) -> str:
+    """Training and test rows; expects sparse ``panel``, ``folds`` and ``hol``."""
+    return f"""grid AS (
+  SELECT g.series, g.first, g.period, coalesce(p.qty, 0) AS qty
+  FROM (SELECT series, min(period) AS first, CAST(unnest(generate_series(min(period),
+               DATE '{rolling.test_end}' + {7 * rolling.horizon - 1}, INTERVAL 7 DAY)) AS DATE)
+               AS period FROM panel GROUP BY series) g
+  LEFT JOIN panel p ON g.series = p.series AND g.period = p.period),
+r0 AS (
+  SELECT g.series, f.fold, g.period, f.test_start_date, CAST(g.qty AS DOUBLE) AS actual,
+         CASE WHEN g.period < f.test_start_date THEN CAST(g.qty AS DOUBLE) END AS y,
+         CAST(date_diff('day', g.first, g.period) // 7 + 1 AS INTEGER) AS t,
+         h.holiday, {rain('g.period')} AS x
+  FROM grid g JOIN folds f ON g.period < f.test_end_date AND g.first < f.test_start_date
+  LEFT JOIN hol h ON g.period = h.period)"""
+
+
+def arima(regression: bool = False) -> str:
+    """The closed-form models from ``r0``; ``explained`` holds history and forecasts."""
+    slope = """
+    CASE WHEN var_pop(CASE WHEN y IS NOT NULL THEN x END) OVER k > 1e-9
+         THEN covar_pop(y, CASE WHEN y IS NOT NULL THEN x END) OVER k
+              / var_pop(CASE WHEN y IS NOT NULL THEN x END) OVER k ELSE 0 END * x"""
+    return f"""r1 AS (
+  SELECT *, y - regressor AS u, (t - 1) % 52 AS phase
+  FROM (SELECT *, count(y) OVER k AS n, {slope if regression else "CAST(0 AS DOUBLE)"} AS regressor
+        FROM r0 WINDOW k AS (PARTITION BY series, fold))),
+r2 AS (
+  SELECT *, CASE WHEN count(u) OVER s53 = 53
+    THEN u - (2 * sum(u) OVER s51 + lag(u, 26) OVER o + lead(u, 26) OVER o) / 104.0 END AS dt
+  FROM r1
+  WINDOW o AS (PARTITION BY series, fold ORDER BY period),
+    s51 AS (PARTITION BY series, fold ORDER BY period ROWS BETWEEN 25 PRECEDING AND 25 FOLLOWING),
+    s53 AS (PARTITION BY series, fold ORDER BY period ROWS BETWEEN 26 PRECEDING AND 26 FOLLOWING)),
+ph AS (SELECT series, fold, phase, avg(dt) AS raw FROM r2 GROUP BY 1, 2, 3),
+pm AS (SELECT series, fold, avg(raw) AS mean FROM ph GROUP BY 1, 2),
+r3 AS (
+  SELECT r.*, CASE WHEN n >= 104 THEN coalesce(raw - mean, 0.0) ELSE 0.0 END AS seasonal
+  FROM r2 r JOIN ph USING (series, fold, phase) JOIN pm USING (series, fold)),
+he AS (SELECT series, fold, holiday, avg(dt - seasonal) AS effect FROM r3
+       WHERE holiday IS NOT NULL GROUP BY 1, 2, 3),
+r4 AS (
+  SELECT r.*, coalesce(effect, 0.0) AS holiday_effect,
+         u - seasonal - coalesce(effect, 0.0) AS z
+  FROM r3 r LEFT JOIN he USING (series, fold, holiday)),
+r5 AS (
+  SELECT *, z - avg(z) OVER (PARTITION BY series, fold) AS e,
+         lag(z) OVER o AS z1, lag(z, 2) OVER o AS z2
+  FROM r4 WINDOW o AS (PARTITION BY series, fold ORDER BY period)),
+r6 AS (SELECT *, sum(e) OVER (PARTITION BY series, fold ORDER BY period) AS s FROM r5),
+k1 AS (
+  SELECT series, fold, max(n) AS n,
+         CASE WHEN sum(e * e) > 1e-9 * max(n) THEN sum(s * s) / (max(n) * sum(e * e)) END AS kpss,
+         arg_max(z, t) AS last_z, arg_max(z - z1, t) AS last_w
+  FROM r6 WHERE z IS NOT NULL GROUP BY 1, 2),
+k2 AS (SELECT *, CAST(CASE WHEN kpss > 0.463 THEN 1 ELSE 0 END AS INTEGER) AS d FROM k1),
+pairs AS (
+  SELECT r.series, r.fold, CASE WHEN d = 1 THEN z - z1 ELSE z END AS b,
+         CASE WHEN d = 1 THEN z1 - z2 ELSE z1 END AS a
+  FROM r6 r JOIN k2 USING (series, fold)),
+k3 AS (
+  SELECT series, fold, count(*) AS m, avg(a) AS ma, avg(b) AS mb, var_pop(a) * count(*) AS caa,
+         var_pop(b) * count(*) AS cbb, covar_pop(a, b) * count(*) AS cab
+  FROM pairs WHERE a IS NOT NULL AND b IS NOT NULL GROUP BY 1, 2),
+k4 AS (
+  SELECT k2.*, coalesce(m, 0) AS m, ma, mb, caa, cbb, cab,
+         CASE WHEN m >= 8 AND caa > 1e-9 * m
+              THEN greatest(least(cab / caa, 0.98), -0.98) END AS ar
+  FROM k2 LEFT JOIN k3 USING (series, fold)),
+k5 AS (SELECT *, greatest(cbb - 2 * ar * cab + ar * ar * caa, 0) AS sse1 FROM k4),
+k6 AS (
+  SELECT *, CASE WHEN m > 0 THEN m * ln(greatest(cbb / m, 1e-12)) + 2 END AS aic0,
+         CASE WHEN ar IS NOT NULL THEN m * ln(greatest(sse1 / m, 1e-12)) + 4 END AS aic1
+  FROM k5),
+k7 AS (SELECT *, CAST(CASE WHEN aic1 < aic0 THEN 1 ELSE 0 END AS INTEGER) AS p FROM k6),
+models AS (
+  SELECT series, fold, n, m, p, d, kpss, last_z, last_w,
+         CASE WHEN p = 1 THEN ar ELSE 0.0 END AS phi,
+         CASE WHEN p = 1 THEN aic1 ELSE aic0 END AS aic,
+         coalesce(CASE WHEN p = 1 THEN sse1 ELSE cbb END, 0.0) AS sse,
+         coalesce(mb - CASE WHEN p = 1 THEN ar ELSE 0.0 END * ma,
+                  CASE WHEN d = 1 THEN 0.0 ELSE last_z END) AS c
+  FROM k7),
+f1 AS (
+  SELECT r.series, r.fold, r.period, r.actual, r.y, r.seasonal, r.holiday_effect, r.regressor,
+         r.z1, r.z2, m.*, coalesce(sse / nullif(m.m, 0), 0.0) AS sigma2, c / (1 - phi) AS mu,
+         CASE WHEN r.y IS NULL THEN r.t - m.n ELSE 1 END AS h
+  FROM r6 r JOIN models m ON r.series = m.series AND r.fold = m.fold),
+f2 AS (
+  SELECT *,
+    CASE WHEN y IS NULL AND d = 0 THEN mu + pow(phi, h) * (last_z - mu)
+         WHEN y IS NULL THEN last_z + h * mu
+              + coalesce(last_w - mu, 0) * phi * (1 - pow(phi, h)) / (1 - phi)
+         WHEN d = 0 THEN c + CASE WHEN p = 1 THEN phi * z1 ELSE 0 END
+         ELSE z1 + c + CASE WHEN p = 1 THEN phi * (z1 - z2) ELSE 0 END END AS trend,
+    CASE WHEN y IS NULL AND d = 0 THEN sigma2 * (1 - pow(phi, 2 * h)) / (1 - phi * phi)
+         WHEN y IS NULL THEN sigma2 / pow(1 - phi, 2)
+              * (h - 2 * phi * (1 - pow(phi, h)) / (1 - phi)
+                 + phi * phi * (1 - pow(phi, 2 * h)) / (1 - phi * phi)) END AS variance
+  FROM f1),
+explained AS (
+  SELECT fold, series, period, CASE WHEN y IS NULL THEN 'forecast' ELSE 'history' END
+           AS time_series_type,
+         actual, trend + seasonal + holiday_effect + regressor AS forecast_value,
+         CASE WHEN variance IS NOT NULL THEN sqrt(greatest(variance, 0)) END AS standard_error, trend, seasonal, holiday_effect,
+         regressor AS regressor_effect
+  FROM f2)"""
+
+
+def arima_forecast(confidence: float, lower: float | None = None) -> str:
+    """Forecast rows with an interval; expects ``explained``."""
+    z = z_value(confidence)
+
+    def kept(value: str) -> str:
+        return value if lower is None else f"greatest({value}, {lower})"
+
+    return f"""forecasts AS (
+  SELECT fold, series, period, time_series_type, {kept('forecast_value')} AS forecast_value,
+         {kept(f'forecast_value - {z} * standard_error')} AS prediction_interval_lower_bound,
+         {kept(f'forecast_value + {z} * standard_error')} AS prediction_interval_upper_bound
+  FROM explained WHERE time_series_type = 'forecast')"""
+
+
+# Engines add floats in different orders; the digits hashed stay clear of that noise.
+MODEL_DIGITS = 4
+BOUNDS_COLUMNS = ("forecast_value, prediction_interval_lower_bound, "
+                  "prediction_interval_upper_bound")
+FORECAST = ("SELECT fold, series, period, time_series_type, " + rounded(BOUNDS_COLUMNS, MODEL_DIGITS)
+            + " FROM forecasts")
+EXPLAINED = f"""SELECT fold, series, period, time_series_type,
+  round(CASE WHEN time_series_type = 'history' THEN actual ELSE forecast_value END, {MODEL_DIGITS})
+    AS time_series_data,
+  CAST(0.95 AS DOUBLE) AS confidence_level,
+  round(forecast_value - {z_value(0.95)} * standard_error, {MODEL_DIGITS}) AS prediction_interval_lower_bound,
+  round(forecast_value + {z_value(0.95)} * standard_error, {MODEL_DIGITS}) AS prediction_interval_upper_bound,
+  """ + rounded("forecast_value, standard_error, trend, seasonal, holiday_effect, "
+                "regressor_effect", MODEL_DIGITS) + " FROM explained"
+
+
+# --- baselines and comparisons -------------------------------------------------------------
+
+DRIFT = """drift AS (
+  SELECT fold, series, period, 'forecast' AS time_series_type,
+         ma_y + slope * (t - ma_t) AS forecast_value,
+         CAST(NULL AS DOUBLE) AS prediction_interval_lower_bound,
+         CAST(NULL AS DOUBLE) AS prediction_interval_upper_bound
+  FROM (SELECT series, fold, avg(y) AS ma_y, avg(t) AS ma_t,
+               coalesce(covar_pop(y, t) / nullif(var_pop(t), 0), 0) AS slope
+        FROM r0 WHERE y IS NOT NULL GROUP BY 1, 2)
+  JOIN (SELECT series, fold, period, t FROM r0 WHERE y IS NULL) USING (series, fold))"""
+
+TREND_SEASON = """trend_season AS (
+  SELECT fold, series, period, 'forecast' AS time_series_type,
+         ma_y + slope * (t - ma_t) + seasonal AS forecast_value,
+         CAST(NULL AS DOUBLE) AS prediction_interval_lower_bound,
+         CAST(NULL AS DOUBLE) AS prediction_interval_upper_bound
+  FROM (SELECT series, fold, avg(u - seasonal) AS ma_y, avg(t) AS ma_t,
+               coalesce(covar_pop(u - seasonal, t) / nullif(var_pop(t), 0), 0) AS slope
+        FROM r3 WHERE y IS NOT NULL GROUP BY 1, 2)
+  JOIN (SELECT series, fold, period, t, seasonal FROM r3 WHERE y IS NULL)
+    USING (series, fold))"""
+
+NO_HOLIDAYS = "hol AS (SELECT DATE '1900-01-01' AS period, 'none' AS holiday WHERE false)"
+
+
+def renamed(cte: str, old: str, new: str) -> str:
+    """The same CTE under another name."""
+    return cte.replace(f"{old} AS (", f"{new} AS (", 1)
+
+
+def dashboard_of(model: str, run: str, forecasts: str) -> str:
+    """Dashboard rows of one model as the CTE ``board_<model>``."""
+    return renamed(dashboard(model, run), "dashboard", f"board_{model}").replace(
+        "FROM forecasts WHERE", f"FROM {forecasts} WHERE")
+
+
+# --- pooled-model path -----------------------------------------------------------------------
+
+ITEMS = """items AS (
+  SELECT a.*, c.predicted_on_period
+  FROM (SELECT p.series, p.period, p.fold, p.origin_id, p.dest_id, p.test_start_date,
+               CAST(p.qty AS VARCHAR) AS qty, f.forecast_value AS predicted_qty
+        FROM (SELECT p.*, f.fold, f.test_start_date FROM panel p JOIN folds f
+              ON p.period >= f.test_start_date AND p.period < f.test_end_date) p
+        LEFT JOIN forecasts f ON p.fold = f.fold AND p.series = f.series
+                             AND p.period = f.period) a
+  CROSS JOIN (SELECT unnest([0, 7, 14]) AS back) b
+  CROSS JOIN LATERAL (SELECT CAST(a.period - CAST(b.back AS INTEGER) AS DATE)
+                             AS predicted_on_period) c)"""
+
+
+def evaluated(clamped: bool = False) -> str:
+    """Per-item errors; expects ``items``."""
+    used = clamp("predicted_qty") if clamped else "predicted_qty"
+    return f"""errors AS (
+  SELECT fold, series, period, 'forecast' AS time_series_type,
+         CAST({clamp('predicted_qty')} AS DOUBLE) AS forecast_value, actual_value,
+         actual_value - used AS diff, abs(actual_value - used) * actual_value AS wAbsError,
+         actual_value * actual_value AS wHist
+  FROM (SELECT *, CAST(round(CAST(qty AS DOUBLE)) AS BIGINT) AS actual_value, {used} AS used
+        FROM items WHERE period = predicted_on_period))"""
+
+
+def window_examples(context: int, horizon: int, end: str) -> str:
+    """Training windows of the dense ``panel``: lags at an origin, target h periods on."""
+    lags = ", ".join(f"lag(qty, {i - 1}) OVER o AS lag_{i}" for i in range(1, context + 1))
+    names = ", ".join(f"e.lag_{i}" for i in range(1, context + 1))
+    return f"""lagged AS (
+  SELECT series, period AS origin, {lags} FROM panel
+  WINDOW o AS (PARTITION BY series ORDER BY period)),
+examples AS (
+  SELECT e.series, e.origin, {names}, h.h, p.period, CAST(p.qty AS DOUBLE) AS target,
+         {rain('p.period')} AS percentage_rain
+  FROM lagged e CROSS JOIN (SELECT CAST(unnest(generate_series(1, {horizon})) AS INTEGER) AS h) h
+  JOIN panel p ON p.series = e.series AND p.period = e.origin + 7 * h.h
+  WHERE e.lag_{context} IS NOT NULL AND p.period < {end})"""

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldcast.functions import columns as C
-from foldcast.operators import (baseline, decompose, folds, holiday, lowess, profile, scaffold,
-                                score)
+from foldcast.operators import (arima, baseline, decompose, folds, holiday, lowess, profile,
+                                report, scaffold, score, xreg)
 from foldcast.operators import panel as P
 from foldcast.plans import backtest
 from foldcast.plans import oracles as O
@@ -400,3 +400,201 @@ def holiday_effects(spark, sf_dir):
     effects = holiday.holiday_effects(decompose.seasonal_decompose(panel),
                                       holiday_calendar(spark, sf_dir))
     return rounded(effects, "holiday_effect")
+
+
+# --- ARIMA ---------------------------------------------------------------------------
+
+ARIMA_SQL = O.with_(O.PANEL, ROLL, O.holiday_periods(B.ROLLING), O.arima_grid(B.ROLLING),
+                    O.arima())
+BOUNDS = ["forecast_value", "prediction_interval_lower_bound", "prediction_interval_upper_bound"]
+COMPONENTS = ["time_series_data", "standard_error", "trend", "seasonal", "holiday_effect",
+              "regressor_effect"]
+ONE_SERIES = "nation3_nation15"
+
+
+def _holidays(spark):
+    """Holidays over all the dates that any fold can reach."""
+    return holiday.holiday_calendar(spark.range(1), B.ROLLING.train_start,
+                                    B.ROLLING.last_day())
+
+
+def _arima(spark, sf_dir, panel=None):
+    panel = B.core_panel(spark, sf_dir) if panel is None else panel
+    return arima.fit(arima.fold_grid(panel, B.ROLLING, holidays=_holidays(spark)))
+
+
+@query(ARIMA_SQL + ", " + O.arima_forecast(0.9) + O.FORECAST)
+def arima_closed_form(spark, sf_dir):
+    return rounded(arima.forecast(_arima(spark, sf_dir), 0.9), *BOUNDS, digits=4)
+
+
+@query(ARIMA_SQL + ", " + O.arima_forecast(0.9, lower=0.5) + O.FORECAST)
+def forecast_limits(spark, sf_dir):
+    return rounded(arima.forecast(_arima(spark, sf_dir), 0.9, lower=0.5), *BOUNDS, digits=4)
+
+
+@query(ARIMA_SQL + O.EXPLAINED)
+def explain_forecast(spark, sf_dir):
+    return rounded(arima.explain(_arima(spark, sf_dir)), *BOUNDS, *COMPONENTS, digits=4)
+
+
+@query(ARIMA_SQL + O.EXPLAINED + f""" WHERE series = '{ONE_SERIES}' AND fold = 3
+ORDER BY period DESC LIMIT 5""")
+def explain_one_series(spark, sf_dir):
+    one = explain_forecast(spark, sf_dir).filter(
+        (F.col("series") == ONE_SERIES) & (F.col("fold") == 3))
+    return tables.preview(one, [F.desc("period")], 5)
+
+
+@query(ARIMA_SQL + """
+SELECT fold, series, p, d, CAST(0 AS INTEGER) AS q, n AS n_rows,
+       CASE WHEN p = 1 THEN round(phi, 4) END AS ar_1, round(c, 4) AS intercept_or_drift,
+       round(coalesce(sse / nullif(m, 0), 0.0), 4) AS variance, """
+       + O.rounded("sse, aic, kpss", 4) + " FROM models")
+def arima_coefficients(spark, sf_dir):
+    models = arima.coefficients(_arima(spark, sf_dir))
+    flat = models.withColumn("ar_1", F.get("ar_coefficients", F.lit(0))).drop(
+        "ar_coefficients", "ma_coefficients")
+    return rounded(flat, "ar_1", "intercept_or_drift", "variance", "sse", "aic", "kpss",
+                   digits=4)
+
+
+@query(ARIMA_SQL + """
+SELECT fold, count(*) AS n_series, CAST(sum(n) AS BIGINT) AS n_rows, round(sum(sse), 4) AS sse,
+       round(avg(aic), 4) AS mean_aic,
+       count(*) FILTER (p = 0 AND d = 0) AS n_order_0_0_0,
+       count(*) FILTER (p = 1 AND d = 0) AS n_order_1_0_0,
+       count(*) FILTER (p = 0 AND d = 1) AS n_order_0_1_0,
+       count(*) FILTER (p = 1 AND d = 1) AS n_order_1_1_0
+FROM models GROUP BY fold""")
+def training_info(spark, sf_dir):
+    info = arima.training_info(arima.coefficients(_arima(spark, sf_dir)))
+    return rounded(info, "sse", "mean_aic", digits=4)
+
+
+# --- baselines, reports --------------------------------------------------------------
+
+GRID_SQL = [O.PANEL, ROLL, O.NO_HOLIDAYS, O.arima_grid(B.ROLLING)]
+R3_SQL = O.arima().split("he AS (")[0].rstrip(",\n ")
+PLAIN = "SELECT fold, series, period, time_series_type, round(forecast_value, 4) AS " \
+    "forecast_value, prediction_interval_lower_bound, prediction_interval_upper_bound FROM "
+
+
+@query(O.with_(*GRID_SQL, O.DRIFT) + PLAIN + "drift")
+def drift_forecast(spark, sf_dir):
+    return rounded(baseline.drift(B.core_panel(spark, sf_dir), B.ROLLING), "forecast_value",
+                   digits=4)
+
+
+@query(O.with_(*GRID_SQL, R3_SQL, O.TREND_SEASON) + PLAIN + "trend_season")
+def trend_season_forecast(spark, sf_dir):
+    return rounded(baseline.trend_season(B.core_panel(spark, sf_dir), B.ROLLING),
+                   "forecast_value", digits=4)
+
+
+BOARDS_SQL = O.with_(
+    *GRID_SQL, R3_SQL, O.scaffold(), O.SEASONAL_NAIVE, O.DRIFT, O.TREND_SEASON,
+    O.dashboard_of("seasonal_naive", RUN, "forecasts"), O.dashboard_of("drift", RUN, "drift"),
+    O.dashboard_of("trend_season", RUN, "trend_season"), """boards AS (
+  SELECT * FROM board_seasonal_naive UNION ALL SELECT * FROM board_drift
+  UNION ALL SELECT * FROM board_trend_season)""")
+BOARD_COLUMNS = ("SELECT period, series, actualQty, predicted_p10, predicted_p90, model_name, "
+                 "run_id, fold, lag, wHist, "
+                 + O.rounded("forecastQty, diff, wAbsError", 4))
+
+
+def _boards(spark, sf_dir):
+    """Dashboard rows of the three baselines."""
+    panel = B.core_panel(spark, sf_dir)
+    models = {"seasonal_naive": baseline.seasonal_naive(panel, B.ROLLING),
+              "drift": baseline.drift(panel, B.ROLLING),
+              "trend_season": baseline.trend_season(panel, B.ROLLING)}
+    return [score.dashboard_rows(panel, fc, B.ROLLING, name, RUN) for name, fc in models.items()]
+
+
+@query(BOARDS_SQL + f"""
+SELECT *, CAST(row_number() OVER (PARTITION BY fold ORDER BY wMAPE NULLS LAST, model_name)
+               AS INTEGER) AS model_rank
+FROM (SELECT model_name, run_id, fold, round({O.WMAPE}, 6) AS wMAPE FROM boards
+      GROUP BY 1, 2, 3)""")
+def model_leaderboard(spark, sf_dir):
+    one, two, three = _boards(spark, sf_dir)
+    return report.model_leaderboard(one.unionByName(two).unionByName(three))
+
+
+@query(BOARDS_SQL + f"""
+SELECT model_name, run_id, lag, round({O.WMAPE}, 6) AS wMAPE FROM boards GROUP BY 1, 2, 3""")
+def wmape_by_lag(spark, sf_dir):
+    one, two, three = _boards(spark, sf_dir)
+    rows = one.unionByName(two).unionByName(three)
+    return rounded(report.wmape_by_lag(rows), "wMAPE")
+
+
+@query(BOARDS_SQL + BOARD_COLUMNS + """
+FROM (SELECT * FROM board_seasonal_naive UNION ALL SELECT * FROM board_drift)""")
+def dashboard_append(spark, sf_dir):
+    path = scratch.scratch_path(spark, "dashboard")
+    for rows in _boards(spark, sf_dir)[:2]:
+        tables.append_table(rows, path)
+    return rounded(tables.read_appended(spark, path), "forecastQty", "diff", "wAbsError",
+                   digits=4)
+
+
+@query(BOARDS_SQL + BOARD_COLUMNS + """, percentage_rain
+FROM (SELECT *, CAST(NULL AS DOUBLE) AS percentage_rain FROM board_seasonal_naive
+      UNION ALL BY NAME
+      SELECT *, """ + O.rain("period") + """ AS percentage_rain FROM board_drift)""")
+def dashboard_merge_schema(spark, sf_dir):
+    path = scratch.scratch_path(spark, "dashboard")
+    first, second = _boards(spark, sf_dir)[:2]
+    tables.append_table(first, path)
+    tables.append_table(second.withColumn("percentage_rain", B.rain("period")), path)
+    return rounded(tables.read_appended(spark, path), "forecastQty", "diff", "wAbsError",
+                   digits=4)
+
+
+@query(ORACLES["dashboard_merge_schema"])
+def dashboard_union_new_columns(spark, sf_dir):
+    first, second = _boards(spark, sf_dir)[:2]
+    both = tables.union_allow_new_columns(
+        first, second.withColumn("percentage_rain", B.rain("period")))
+    return rounded(both, "forecastQty", "diff", "wAbsError", digits=4)
+
+
+@query()
+def run_log(spark, sf_dir):
+    scores = seasonal_naive_wmape(spark, sf_dir).withColumn(
+        "run_name", C.fold_run_name(RUN, "fold"))
+    params = {"model_type": "seasonal_naive", "horizon": B.ROLLING.horizon,
+              "data_frequency": "WEEKLY"}
+    return tables.run_log(scores, "run_name", params, ["wMAPE"])
+
+
+# --- regressors ----------------------------------------------------------------------
+
+XREG_SQL = O.with_(O.PANEL, ROLL, O.holiday_periods(B.ROLLING), O.arima_grid(B.ROLLING),
+                   O.arima(regression=True)) + ", " + O.arima_forecast(0.9) + O.FORECAST
+
+
+def _covariates(spark):
+    """The covariate over all the dates that any fold can reach."""
+    spine = P.period_spine(spark.range(1), B.ROLLING.train_start, B.ROLLING.last_day())
+    return spine.withColumn("percentage_rain", B.rain("period"))
+
+
+@query(XREG_SQL)
+def xreg_one_covariate(spark, sf_dir):
+    grid = arima.fold_grid(B.core_panel(spark, sf_dir), B.ROLLING, _covariates(spark),
+                           ["percentage_rain"], _holidays(spark))
+    fitted = arima.fit(xreg.remove_one(grid, "percentage_rain"))
+    return rounded(arima.forecast(fitted, 0.9), *BOUNDS, digits=4)
+
+
+# Attributes are constant within a series, so the intercept absorbs them and the twin of
+# the many-covariate model is the one-covariate model.
+@query(XREG_SQL)
+def xreg_multi(spark, sf_dir):
+    grid = arima.fold_grid(B.weekly_panel(spark, sf_dir), B.ROLLING, _covariates(spark),
+                           ["percentage_rain"], _holidays(spark), attributes=B.ATTRIBUTES)
+    fitted = arima.fit(xreg.remove_many(grid, ["percentage_rain", *B.ATTRIBUTES]))
+    return rounded(arima.forecast(fitted, 0.9), *BOUNDS, digits=4)
