@@ -43,3 +43,84 @@ def regression_slopes(moments: pd.Series) -> pd.Series:
     # Rounding leaves a trace of variation in a constant column; measure against its size.
     scale = n[:, None] * np.maximum(mean[:, :-1] ** 2, 1)
     return pd.Series(list(solve_spd(cross[:, :-1, :-1], cross[:, :-1, -1], scale)))
+
+
+def regression_with_intercept(moments: pd.Series) -> pd.Series:
+    """Intercept and slopes of the last column on the others."""
+    n, mean, cross = unpack(moments)
+    slopes = solve_spd(cross[:, :-1, :-1], cross[:, :-1, -1], np.ones((len(n), 1)))
+    enough = n > 2 * mean.shape[1]
+    slopes = slopes * enough[:, None]
+    intercept = mean[:, -1] - (slopes * mean[:, :-1]).sum(axis=1)
+    return pd.Series(list(np.column_stack([intercept, slopes])))
+
+
+def largest_root(coefficients: np.ndarray) -> np.ndarray:
+    """Largest modulus of the companion matrix's eigenvalues, per group."""
+    n, k = coefficients.shape
+    if k == 0:
+        return np.zeros(n)
+    companion = np.zeros((n, k, k))
+    companion[:, 0, :] = coefficients
+    companion[:, np.arange(1, k), np.arange(k - 1)] = 1.0
+    return np.abs(np.linalg.eigvals(companion)).max(axis=1)
+
+
+def choose_arma(moments: pd.Series, vs: pd.Series, es: pd.Series, last_z: pd.Series,
+                d: pd.Series, max_order: int, horizon: int) -> pd.DataFrame:
+    """Best ARMA(p, q) by AIC with p + q <= max_order, and its forecasts."""
+    k = max_order
+    n, mean, cross = unpack(moments)
+    total = cross[:, -1, -1]
+    groups = len(n)
+    best = {"aic": np.full(groups, np.inf), "p": np.zeros(groups, int),
+            "q": np.zeros(groups, int), "coef": np.zeros((groups, 2 * k)),
+            "sse": np.maximum(total, 0.0)}
+    ones = np.ones((groups, 1))
+    for p in range(k + 1):
+        for q in range(k + 1 - p):
+            use = [*range(p), *range(k, k + q)]
+            coef = np.zeros((groups, 2 * k))
+            if use:
+                coef[:, use] = solve_spd(cross[:, use][:, :, use], cross[:, use, -1], ones)
+            sse = (total - 2 * np.einsum("ni,ni->n", coef, cross[:, :-1, -1])
+                   + np.einsum("ni,nij,nj->n", coef, cross[:, :-1, :-1], coef))
+            sse = np.maximum(sse, 0.0)
+            aic = n * np.log(np.maximum(sse / np.maximum(n, 1), 1e-12)) + 2 * (p + q + 1)
+            stable = (largest_root(coef[:, :p]) < 0.99) & (largest_root(-coef[:, k:k + q]) < 0.99)
+            usable = (stable & (n > 2 * (p + q + 1))) if use else np.ones(groups, bool)
+            better = usable & (aic < best["aic"])
+            for name, value in (("aic", aic), ("sse", sse), ("coef", coef)):
+                best[name][better] = value[better]
+            best["p"][better], best["q"][better] = p, q
+    coef, variance = best["coef"], best["sse"] / np.maximum(n, 1)
+    ar, ma = coef[:, :k], coef[:, k:]
+    intercept = mean[:, -1] - (coef * mean[:, :-1]).sum(axis=1)
+    integrated = d.to_numpy() == 1
+
+    def newest_first(lists: pd.Series) -> np.ndarray:
+        out = np.zeros((groups, k))
+        for i, row in enumerate(lists):
+            recent = np.asarray(row, dtype=float)[::-1][:k]
+            out[i, :len(recent)] = recent
+        return out
+
+    v, e = newest_first(vs), newest_first(es)
+    # Without a sample for the regression, carry the last value forward.
+    intercept = np.where(n > 0, intercept, np.where(integrated, 0.0, v[:, 0]))
+    steps, psi = np.zeros((groups, horizon)), np.zeros((groups, horizon))
+    for h in range(horizon):
+        steps[:, h] = intercept + (ar * v).sum(axis=1) + (ma * e).sum(axis=1)
+        v = np.column_stack([steps[:, h], v[:, :-1]])
+        e = np.column_stack([np.zeros(groups), e[:, :-1]])
+        psi[:, h] = 1.0 if h == 0 else (ma[:, h - 1] if h <= k else 0.0) + sum(
+            ar[:, i] * psi[:, h - 1 - i] for i in range(min(k, h)))
+    level = np.where(integrated[:, None], last_z.to_numpy()[:, None] + steps.cumsum(axis=1), steps)
+    psi = np.where(integrated[:, None], psi.cumsum(axis=1), psi)
+    error = np.sqrt(variance[:, None] * (psi ** 2).cumsum(axis=1))
+    return pd.DataFrame({
+        "p": best["p"], "q": best["q"],
+        "ar": [ar[i, :p] for i, p in enumerate(best["p"])],
+        "ma": [ma[i, :q] for i, q in enumerate(best["q"])],
+        "intercept": intercept, "variance": variance, "aic": best["aic"],
+        "mean": list(level), "error": list(error)})

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from foldcast.functions import metrics
 
 
-def model_leaderboard(rows: DataFrame, digits: int = 6) -> DataFrame:
+def model_leaderboard(rows: DataFrame) -> DataFrame:
     """wMAPE per model, run and fold, ranked within each fold (1 is best)."""
     scores = rows.groupBy("model_name", "run_id", "fold").agg(
-        F.round(metrics.wmape(), digits).alias("wMAPE"))
+        metrics.wmape().alias("wMAPE"))
     order = Window.partitionBy("fold").orderBy(
         F.col("wMAPE").asc_nulls_last(), "model_name", "run_id")
     return scores.withColumn("model_rank", F.row_number().over(order))

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldcast.functions import columns as C
-from foldcast.operators import (arima, baseline, decompose, folds, holiday, lowess, profile,
-                                report, scaffold, score, xreg)
+from foldcast.operators import (arima, auto_arima, baseline, decompose, folds, holiday, lowess,
+                                pooled, profile, report, scaffold, score, xreg)
 from foldcast.operators import panel as P
 from foldcast.plans import backtest
 from foldcast.plans import oracles as O
@@ -122,7 +122,7 @@ labelled AS (
          WHEN d >= 182 THEN 4 ELSE 5 END AS INTEGER) AS bucket_rank
   FROM durations)
 SELECT history_category, bucket_rank, count(series) AS number_of_time_series,
-       round(count(series) * 100.0 / (SELECT count(*) FROM labelled), 6) AS percentage
+       floor((count(series) * 100.0 / (SELECT count(*) FROM labelled)) * 1e6 + 0.5017e0) / 1e6 AS percentage
 FROM labelled GROUP BY 1, 2 ORDER BY 2""")
 def history_buckets(spark, sf_dir):
     return rounded(profile.history_buckets(B.orders_panel(spark, sf_dir)), "percentage")
@@ -150,8 +150,8 @@ enriched AS (SELECT p.*, w.percentage_rain FROM panel p
              LEFT JOIN weather w ON p.period = w.period)
 """ + "\nUNION ALL ".join(
     f"""SELECT '{c}' AS input, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max,
-  round(avg({c}), 6) AS mean, CAST(median({c}) AS DOUBLE) AS median,
-  round(stddev_samp({c}), 6) AS stddev, CAST(NULL AS BIGINT) AS category_count,
+  floor((avg({c})) * 1e6 + 0.5017e0) / 1e6 AS mean, CAST(median({c}) AS DOUBLE) AS median,
+  floor((stddev_samp({c})) * 1e6 + 0.5017e0) / 1e6 AS stddev, CAST(NULL AS BIGINT) AS category_count,
   count(*) - count({c}) AS null_count FROM enriched""" for c in FEATURES[:-1]) + """
 UNION ALL SELECT 'series', NULL, NULL, NULL, NULL, NULL, count(DISTINCT series),
   count(*) - count(series) FROM enriched""")
@@ -230,13 +230,13 @@ def dashboard_rows(spark, sf_dir):
 
 @query(O.with_(O.PANEL, ROLL, O.SEASONAL_NAIVE, O.scaffold(),
                O.dashboard("seasonal_naive", RUN)) + f"""
-SELECT fold, round({O.WMAPE}, 6) AS wMAPE FROM dashboard GROUP BY fold""")
+SELECT fold, floor(({O.WMAPE}) * 1e6 + 0.5017e0) / 1e6 AS wMAPE FROM dashboard GROUP BY fold""")
 def seasonal_naive_wmape(spark, sf_dir):
     return rounded(backtest.seasonal_naive_wmape(B.core_panel(spark, sf_dir), B.ROLLING), "wMAPE")
 
 
 @query(O.with_(O.PANEL, ROLL, O.SEASONAL_NAIVE, O.eval_rows())
-       + "SELECT * REPLACE (round(wMAPE, 6) AS wMAPE) FROM eval")
+       + "SELECT * REPLACE (floor((wMAPE) * 1e6 + 0.5017e0) / 1e6 AS wMAPE) FROM eval")
 def eval_rows(spark, sf_dir):
     panel = B.core_panel(spark, sf_dir)
     rows = score.eval_rows(panel, baseline.seasonal_naive(panel, B.ROLLING), B.ROLLING)
@@ -244,7 +244,7 @@ def eval_rows(spark, sf_dir):
 
 
 @query(O.with_(O.PANEL, ROLL, O.SEASONAL_NAIVE, O.eval_rows()) + f"""
-SELECT fold, round({O.WMAPE}, 6) AS wMAPE FROM eval
+SELECT fold, floor(({O.WMAPE}) * 1e6 + 0.5017e0) / 1e6 AS wMAPE FROM eval
 WHERE period >= test_start_date AND period < test_end_date AND time_series_type = 'forecast'
 GROUP BY fold""")
 def global_wmape(spark, sf_dir):
@@ -254,7 +254,7 @@ def global_wmape(spark, sf_dir):
 
 
 @query(O.with_(O.PANEL, O.folds(B.EARLY), O.SEASONAL_NAIVE, O.eval_rows()) + f"""
-SELECT fold, round({O.WMAPE}, 6) AS wMAPE FROM eval
+SELECT fold, floor(({O.WMAPE}) * 1e6 + 0.5017e0) / 1e6 AS wMAPE FROM eval
 WHERE period >= test_start_date AND period < test_end_date
   AND (time_series_type = 'forecast' OR time_series_type IS NULL)
 GROUP BY fold""")
@@ -353,7 +353,7 @@ def seasonal_decompose_zero_replaced(spark, sf_dir):
 
 
 @query(O.with_(O.TOTAL, O.decompose(), O.TYPICAL) + """
-SELECT series, week_of_year, round(seasonal, 6) AS seasonal FROM profile""")
+SELECT series, week_of_year, floor((seasonal) * 1e6 + 0.5017e0) / 1e6 AS seasonal FROM profile""")
 def typical_seasonality(spark, sf_dir):
     return rounded(_profile(B.total_panel(spark, sf_dir)), "seasonal")
 
@@ -391,7 +391,7 @@ def holiday_calendar(spark, sf_dir):
 
 @query(O.with_(O.DENSE_ORIGIN, O.decompose(), O.BOUNDS,
                O.holidays("first_period", "last_period", "bounds")) + """
-SELECT d.series, h.holiday, round(avg(qty / nullif(trend, 0)), 6) AS holiday_effect,
+SELECT d.series, h.holiday, floor((avg(qty / nullif(trend, 0))) * 1e6 + 0.5017e0) / 1e6 AS holiday_effect,
        count(trend) AS n_periods
 FROM decomposed d JOIN (SELECT DISTINCT period, holiday FROM holidays) h ON d.period = h.period
 GROUP BY 1, 2""")
@@ -448,8 +448,8 @@ def explain_one_series(spark, sf_dir):
 
 @query(ARIMA_SQL + """
 SELECT fold, series, p, d, CAST(0 AS INTEGER) AS q, n AS n_rows,
-       CASE WHEN p = 1 THEN round(phi, 4) END AS ar_1, round(c, 4) AS intercept_or_drift,
-       round(coalesce(sse / nullif(m, 0), 0.0), 4) AS variance, """
+       CASE WHEN p = 1 THEN floor((phi) * 1e4 + 0.5017e0) / 1e4 END AS ar_1, floor((c) * 1e4 + 0.5017e0) / 1e4 AS intercept_or_drift,
+       floor((coalesce(sse / nullif(m, 0), 0.0)) * 1e4 + 0.5017e0) / 1e4 AS variance, """
        + O.rounded("sse, aic, kpss", 4) + " FROM models")
 def arima_coefficients(spark, sf_dir):
     models = arima.coefficients(_arima(spark, sf_dir))
@@ -460,8 +460,8 @@ def arima_coefficients(spark, sf_dir):
 
 
 @query(ARIMA_SQL + """
-SELECT fold, count(*) AS n_series, CAST(sum(n) AS BIGINT) AS n_rows, round(sum(sse), 4) AS sse,
-       round(avg(aic), 4) AS mean_aic,
+SELECT fold, count(*) AS n_series, CAST(sum(n) AS BIGINT) AS n_rows, floor((sum(sse)) * 1e4 + 0.5017e0) / 1e4 AS sse,
+       floor((avg(aic)) * 1e4 + 0.5017e0) / 1e4 AS mean_aic,
        count(*) FILTER (p = 0 AND d = 0) AS n_order_0_0_0,
        count(*) FILTER (p = 1 AND d = 0) AS n_order_1_0_0,
        count(*) FILTER (p = 0 AND d = 1) AS n_order_0_1_0,
@@ -476,7 +476,7 @@ def training_info(spark, sf_dir):
 
 GRID_SQL = [O.PANEL, ROLL, O.NO_HOLIDAYS, O.arima_grid(B.ROLLING)]
 R3_SQL = O.arima().split("he AS (")[0].rstrip(",\n ")
-PLAIN = "SELECT fold, series, period, time_series_type, round(forecast_value, 4) AS " \
+PLAIN = "SELECT fold, series, period, time_series_type, floor((forecast_value) * 1e4 + 0.5017e0) / 1e4 AS " \
     "forecast_value, prediction_interval_lower_bound, prediction_interval_upper_bound FROM "
 
 
@@ -513,17 +513,18 @@ def _boards(spark, sf_dir):
 
 
 @query(BOARDS_SQL + f"""
-SELECT *, CAST(row_number() OVER (PARTITION BY fold ORDER BY wMAPE NULLS LAST, model_name)
-               AS INTEGER) AS model_rank
-FROM (SELECT model_name, run_id, fold, round({O.WMAPE}, 6) AS wMAPE FROM boards
-      GROUP BY 1, 2, 3)""")
+SELECT model_name, run_id, fold, floor(w * 1e6 + 0.5017e0) / 1e6 AS wMAPE,
+       CAST(row_number() OVER (PARTITION BY fold ORDER BY w NULLS LAST, model_name) AS INTEGER)
+         AS model_rank
+FROM (SELECT model_name, run_id, fold, {O.WMAPE} AS w FROM boards GROUP BY 1, 2, 3)""")
 def model_leaderboard(spark, sf_dir):
     one, two, three = _boards(spark, sf_dir)
-    return report.model_leaderboard(one.unionByName(two).unionByName(three))
+    rows = one.unionByName(two).unionByName(three)
+    return rounded(report.model_leaderboard(rows), "wMAPE")
 
 
 @query(BOARDS_SQL + f"""
-SELECT model_name, run_id, lag, round({O.WMAPE}, 6) AS wMAPE FROM boards GROUP BY 1, 2, 3""")
+SELECT model_name, run_id, lag, floor(({O.WMAPE}) * 1e6 + 0.5017e0) / 1e6 AS wMAPE FROM boards GROUP BY 1, 2, 3""")
 def wmape_by_lag(spark, sf_dir):
     one, two, three = _boards(spark, sf_dir)
     rows = one.unionByName(two).unionByName(three)
@@ -598,3 +599,118 @@ def xreg_multi(spark, sf_dir):
                            ["percentage_rain"], _holidays(spark), attributes=B.ATTRIBUTES)
     fitted = arima.fit(xreg.remove_many(grid, ["percentage_rain", *B.ATTRIBUTES]))
     return rounded(arima.forecast(fitted, 0.9), *BOUNDS, digits=4)
+
+
+# --- automatic orders ----------------------------------------------------------------
+
+@query()
+def arima_auto(spark, sf_dir):
+    grid = arima.fold_grid(B.core_panel(spark, sf_dir), B.ROLLING, holidays=_holidays(spark))
+    models = auto_arima.fit(grid, B.ROLLING.horizon)
+    return rounded(auto_arima.forecast(models, 0.9), *BOUNDS, digits=4)
+
+
+@query()
+def arima_auto_models(spark, sf_dir):
+    grid = arima.fold_grid(B.core_panel(spark, sf_dir), B.ROLLING, holidays=_holidays(spark))
+    return auto_arima.coefficients(auto_arima.fit(grid, B.ROLLING.horizon))
+
+
+# --- pooled models -------------------------------------------------------------------
+
+CONTEXT = 20
+EXAMPLES_END = f"DATE '{B.LAST_PERIOD}' + 7"
+
+
+@query(O.with_(O.DENSE_ORIGIN, O.window_examples(CONTEXT, B.ROLLING.horizon, EXAMPLES_END))
+       + "SELECT * FROM examples")
+def window_examples(spark, sf_dir):
+    panel = P.fill_gaps(B.origin_panel(spark, sf_dir))
+    return pooled.window_examples(panel, CONTEXT, B.ROLLING.horizon,
+                                  known=B.weather(spark, sf_dir)).filter("target IS NOT NULL")
+
+
+def _pooled(spark, sf_dir, kind):
+    """Pooled forecasts of all origins' series, refitted once a year."""
+    panel = B.origin_panel(spark, sf_dir, regions=True)
+    return pooled.fit_and_forecast(
+        panel, B.YEARLY, kind, CONTEXT, known=_covariates(spark), attributes=["origin_region"])
+
+
+@query()
+def global_gbt(spark, sf_dir):
+    return _pooled(spark, sf_dir, "learn_to_learn")
+
+
+@query()
+def global_linear(spark, sf_dir):
+    return _pooled(spark, sf_dir, "dense_encoder")
+
+
+ITEMS_SQL = O.with_(O.PANEL, ROLL, O.SEASONAL_NAIVE, O.ITEMS)
+
+
+def _items(spark, sf_dir):
+    """Seasonal-naive forecasts in the shape pooled models export: each test row once
+    per day it was predicted on, target as text, prediction as a struct."""
+    panel = B.weekly_panel(spark, sf_dir)
+    tested = folds.fan_out(panel, B.ROLLING, lambda f: (
+        F.col("period") >= f["test_start_date"]) & (F.col("period") < f["test_end_date"]))
+    tested = tested.select("series", "period", F.col("f.fold").alias("fold"),
+                           F.col("f.test_start_date").alias("test_start_date"),
+                           "origin_id", "dest_id", F.col("qty").cast("string").alias("qty"))
+    ahead = baseline.seasonal_naive(panel, B.ROLLING).select(
+        "fold", "series", "period", "forecast_value")
+    items = tested.join(ahead, ["fold", "series", "period"], "left")
+    items = items.withColumn("predicted_on_period", F.explode(F.array(
+        *[F.date_sub("period", back) for back in (0, 7, 14)])))
+    return score.to_evaluated_items(items, "forecast_value")
+
+
+@query(ITEMS_SQL + """
+SELECT fold, series, period, predicted_on_period, qty, predicted_qty, origin_id, dest_id
+FROM items""")
+def evaluated_items(spark, sf_dir):
+    path = scratch.scratch_path(spark, "items")
+    stored = tables.replace_table(_items(spark, sf_dir), path, cluster_by=["series", "period"])
+    return stored.select("fold", "series", "period", "predicted_on_period", "qty",
+                         F.col("predicted_qty.value").alias("predicted_qty"), "origin_id",
+                         "dest_id")
+
+
+@query(ITEMS_SQL + f"""
+SELECT period, predicted_on_period, CAST(qty AS DOUBLE) AS actual_qty, series, predicted_qty,
+       origin_id, dest_id, 'l2l_context20_demand_{RUN}-fold-' || fold AS model_name,
+       '{RUN}' AS run_id, fold, round(date_diff('day', test_start_date, period) / 7.0) AS lag,
+       CAST(qty AS DOUBLE) - predicted_qty AS diff,
+       abs(CAST(qty AS DOUBLE) - predicted_qty) * CAST(qty AS DOUBLE) AS wAbsError,
+       CAST(qty AS DOUBLE) * CAST(qty AS DOUBLE) AS wHist
+FROM items WHERE period = predicted_on_period""")
+def pooled_dashboard_rows(spark, sf_dir):
+    name = C.global_model_name("learn_to_learn", CONTEXT, "demand",
+                               C.fold_run_name(RUN, "fold"))
+    return score.evaluated_dashboard_rows(
+        _items(spark, sf_dir), name, RUN, F.col("test_start_date"),
+        carry=["origin_id", "dest_id"])
+
+
+@query(ITEMS_SQL + ", " + O.evaluated() + "SELECT * FROM errors")
+def pooled_eval_rows(spark, sf_dir):
+    return score.evaluated_errors(_items(spark, sf_dir))
+
+
+SUITE = ["wMAPE", "MAPE", "MAE", "pMAE", "MSE", "RMSE", "pRMSE"]
+SUITE_SQL = f"""
+SELECT fold, time_series_type, {O.rounded(', '.join(SUITE))}
+FROM (SELECT fold, time_series_type, {O.SUITE} FROM errors GROUP BY fold, time_series_type)"""
+
+
+@query(ITEMS_SQL + ", " + O.evaluated() + SUITE_SQL)
+def metric_suite(spark, sf_dir):
+    return rounded(score.metric_suite(score.evaluated_errors(_items(spark, sf_dir))), *SUITE)
+
+
+@query(ITEMS_SQL + ", " + O.evaluated(clamped=True) + SUITE_SQL)
+def metric_suite_clamped(spark, sf_dir):
+    errors = score.evaluated_errors(_items(spark, sf_dir), clamp_errors=True)
+    return rounded(score.metric_suite(errors), *SUITE)

@@ -75,10 +75,11 @@ def total_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("total").alias("series"), "period", "qty")
 
 
-def origin_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+def origin_panel(spark: SparkSession, sf_dir: str, regions: bool = False) -> DataFrame:
     """Trips per week and origin: few, dense series."""
+    region = [F.min("origin_region").alias("origin_region")] if regions else []
     return (weekly_panel(spark, sf_dir).groupBy(F.col("origin_name").alias("series"), "period")
-            .agg(F.sum("qty").alias("qty")))
+            .agg(F.sum("qty").alias("qty"), *region))
 
 
 def daily_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
