@@ -45,14 +45,12 @@ def regression_slopes(moments: pd.Series) -> pd.Series:
     return pd.Series(list(solve_spd(cross[:, :-1, :-1], cross[:, :-1, -1], scale)))
 
 
-def regression_with_intercept(moments: pd.Series) -> pd.Series:
-    """Intercept and slopes of the last column on the others."""
-    n, mean, cross = unpack(moments)
-    slopes = solve_spd(cross[:, :-1, :-1], cross[:, :-1, -1], np.ones((len(n), 1)))
-    enough = n > 2 * mean.shape[1]
-    slopes = slopes * enough[:, None]
-    intercept = mean[:, -1] - (slopes * mean[:, :-1]).sum(axis=1)
-    return pd.Series(list(np.column_stack([intercept, slopes])))
+def yule_walker(autocovariances: pd.Series) -> pd.Series:
+    """Autoregressive coefficients from autocovariances at lags 0, 1, ..., order."""
+    g = np.stack([np.nan_to_num(np.asarray(row, dtype=float)) for row in autocovariances])
+    order = g.shape[1] - 1
+    distance = np.abs(np.subtract.outer(np.arange(order), np.arange(order)))
+    return pd.Series(list(solve_spd(g[:, distance], g[:, 1:], np.ones((len(g), 1)))))
 
 
 def largest_root(coefficients: np.ndarray) -> np.ndarray:
@@ -66,9 +64,11 @@ def largest_root(coefficients: np.ndarray) -> np.ndarray:
     return np.abs(np.linalg.eigvals(companion)).max(axis=1)
 
 
-def choose_arma(moments: pd.Series, vs: pd.Series, es: pd.Series, last_z: pd.Series,
-                d: pd.Series, max_order: int, horizon: int) -> pd.DataFrame:
-    """Best ARMA(p, q) by AIC with p + q <= max_order, and its forecasts."""
+def choose_arma(moments: pd.Series, newest: pd.Series, last_z: pd.Series,
+                mean_v: pd.Series, d: pd.Series, max_order: int, horizon: int
+                ) -> pd.DataFrame:
+    """Best ARMA(p, q) by AIC with p + q <= max_order, and its forecasts. ``newest`` has
+    the last values, newest first, followed by the last residuals."""
     k = max_order
     n, mean, cross = unpack(moments)
     total = cross[:, -1, -1]
@@ -98,16 +98,8 @@ def choose_arma(moments: pd.Series, vs: pd.Series, es: pd.Series, last_z: pd.Ser
     intercept = mean[:, -1] - (coef * mean[:, :-1]).sum(axis=1)
     integrated = d.to_numpy() == 1
 
-    def newest_first(lists: pd.Series) -> np.ndarray:
-        out = np.zeros((groups, k))
-        for i, row in enumerate(lists):
-            recent = np.asarray(row, dtype=float)[::-1][:k]
-            out[i, :len(recent)] = recent
-        return out
-
-    v, e = newest_first(vs), newest_first(es)
-    # Without a sample for the regression, carry the last value forward.
-    intercept = np.where(n > 0, intercept, np.where(integrated, 0.0, v[:, 0]))
+    recent = np.nan_to_num(np.stack(newest).astype(float))
+    v, e = recent[:, :k], recent[:, k:]
     steps, psi = np.zeros((groups, horizon)), np.zeros((groups, horizon))
     for h in range(horizon):
         steps[:, h] = intercept + (ar * v).sum(axis=1) + (ma * e).sum(axis=1)
@@ -115,6 +107,8 @@ def choose_arma(moments: pd.Series, vs: pd.Series, es: pd.Series, last_z: pd.Ser
         e = np.column_stack([np.zeros(groups), e[:, :-1]])
         psi[:, h] = 1.0 if h == 0 else (ma[:, h - 1] if h <= k else 0.0) + sum(
             ar[:, i] * psi[:, h - 1 - i] for i in range(min(k, h)))
+    # Values were taken around their mean; without any difference, the last value stands.
+    steps += np.nan_to_num(mean_v.to_numpy(dtype=float))[:, None]
     level = np.where(integrated[:, None], last_z.to_numpy()[:, None] + steps.cumsum(axis=1), steps)
     psi = np.where(integrated[:, None], psi.cumsum(axis=1), psi)
     error = np.sqrt(variance[:, None] * (psi ** 2).cumsum(axis=1))
@@ -122,5 +116,6 @@ def choose_arma(moments: pd.Series, vs: pd.Series, es: pd.Series, last_z: pd.Ser
         "p": best["p"], "q": best["q"],
         "ar": [ar[i, :p] for i, p in enumerate(best["p"])],
         "ma": [ma[i, :q] for i, q in enumerate(best["q"])],
-        "intercept": intercept, "variance": variance, "aic": best["aic"],
+        "intercept": intercept + np.nan_to_num(mean_v.to_numpy(dtype=float))
+        * (1 - ar.sum(axis=1)), "variance": variance, "aic": best["aic"],
         "mean": list(level), "error": list(error)})

@@ -1,10 +1,10 @@
 """ARIMA with orders chosen automatically: p + q up to a maximum, d by KPSS.
 
-Two-stage least squares (Hannan-Rissanen). Stage one regresses the series on a long
-run of its own lags; stage two on its lags and the lagged stage-one residuals. Spark
+Two stages (Hannan-Rissanen). Stage one fits a long autoregression by Yule-Walker;
+stage two regresses the series on its lags and the lagged stage-one residuals. Spark
 lags the rows and adds up product sums; since every candidate order uses a subset of
 the same sums, one aggregate per (series, fold) serves them all, and a numpy kernel
-compares the candidates for a batch of groups. Everything stays partitioned by series.
+compares the candidates for a batch of groups.
 """
 
 import pandas as pd
@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from foldcast.functions import kernels
-from foldcast.functions.columns import limit, z_value
+from foldcast.functions.columns import limit, period_days, z_value
 from foldcast.operators.arima import choose_difference, remove_effects
-from foldcast.operators.xreg import by_fold, moments
+from foldcast.operators.xreg import moment_sums
 
 MODEL_TYPE = ("p int, q int, ar array<double>, ma array<double>, intercept double, "
               "variance double, aic double, mean array<double>, error array<double>")
@@ -25,73 +25,102 @@ def _lags(name: str, n: int, w) -> dict[str, Column]:
     return {f"__{name}{i}": F.lag(f"__{name}", i).over(w) for i in range(1, n + 1)}
 
 
-def _complete(columns: list[str]) -> list[Column]:
-    """The columns, NULL unless all of them are known."""
-    known = F.col(columns[0]).isNotNull()
-    for c in columns[1:]:
-        known = known & F.col(c).isNotNull()
-    return [F.when(known, F.col(c)) for c in columns]
+def _residuals(rows: DataFrame, order: int, keys: list[str], period_col: str) -> DataFrame:
+    """Add ``__e``, the residual of each row against the group's own long lags, which
+    are fitted by Yule-Walker from the group's autocovariances.
+
+    The coefficients are needed next to the rows they were summed from. A group's rows
+    (bounded by the calendar) ride along with its sums in one aggregate and are unfolded
+    again beside the solution: no second pass over the rows and no join.
+    """
+    w = Window.partitionBy(*keys).orderBy(period_col)
+    carried = [c for c in rows.columns if c not in keys]
+    lagged = rows.withColumns(_lags("v", order, w))
+    gammas = F.array(F.sum(F.col("__v") * F.col("__v")), *[
+        F.coalesce(F.sum(F.col("__v") * F.col(f"__v{i}")), F.lit(0.0))
+        for i in range(1, order + 1)])
+    solve = pandas_udf(kernels.yule_walker, "array<double>")
+    rows = (
+        lagged.groupBy(*keys)
+        .agg(gammas.alias("g"), F.collect_list(F.struct(*carried)).alias("rows"))
+        .select(*keys, solve("g").alias("__long"), "rows")
+        .select(*keys, "__long", F.inline("rows"))
+        .withColumns(_lags("v", order, w)))
+    fitted = F.lit(0.0)
+    for i in range(1, order + 1):
+        fitted = fitted + F.col("__long")[i - 1] * F.col(f"__v{i}")
+    return rows.withColumn("__e", F.col("__v") - fitted).drop("__long")
 
 
 def fit(grid: DataFrame, horizon: int, max_order: int = 5, long_order: int = 8,
-        series_col: str = "series", period_col: str = "period") -> DataFrame:
+        granularity: str = "WEEKLY", series_col: str = "series", period_col: str = "period"
+        ) -> DataFrame:
     """One row per (series, fold) with the chosen model, its forecasts for ``horizon``
     periods, and the effects to add back on each of the fold's test dates."""
-    keys = [series_col, "fold"]
-    w = Window.partitionBy(*keys).orderBy(period_col)
+    if long_order < max_order:
+        raise ValueError("the long autoregression must cover the largest order")
+    keys, days = [series_col, "fold"], period_days(granularity)
     rows = choose_difference(remove_effects(grid, series_col, period_col), series_col,
                              period_col)
     rows = rows.select(
         *keys, period_col, "t", "time_series_type", "z", "d",
+        (F.floor(F.datediff(period_col, "test_start_date") / days) + 1).alias("h"),
         F.when(F.col("d") == 1, F.col("z") - F.col("__z1")).otherwise(F.col("z")).alias("__v"),
         (F.col("seasonal") + F.col("holiday_effect") + F.col("regressor")).alias("__effects"))
-    rows = rows.withColumns(_lags("v", long_order, w))
-    vs = [f"__v{i}" for i in range(1, long_order + 1)]
-
-    autoregression = pandas_udf(kernels.regression_with_intercept, "array<double>")
-    long = rows.groupBy(*keys).agg(moments(_complete([*vs, "__v"])).alias("m")).select(
-        *keys, autoregression("m").alias("__long"))
-    rows = rows.join(by_fold(long, "__long", series_col), series_col).withColumn(
-        "__long", F.col("__long")[F.col("fold")])
-    fitted = F.col("__long")[0]
-    for i, v in enumerate(vs, start=1):
-        fitted = fitted + F.col("__long")[i] * F.col(v)
-    rows = rows.withColumn("__e", F.col("__v") - fitted).drop("__long")
-    rows = rows.withColumns(_lags("e", max_order, w))
-
-    vs, es = ([f"__{s}{i}" for i in range(1, max_order + 1)] for s in "ve")
-    recent = Window.partitionBy(*keys).orderBy(period_col).rowsBetween(1 - max_order, 0)
+    rows = rows.withColumn("__mean", F.avg("__v").over(Window.partitionBy(*keys)))
+    rows = rows.withColumn("__v", F.col("__v") - F.col("__mean"))
+    rows = _residuals(rows, long_order, keys, period_col)
+    rows = rows.withColumns(
+        _lags("e", max_order, Window.partitionBy(*keys).orderBy(period_col)))
+
+    # One sample for all candidates: NULL unless every column is known.
+    names = [*[f"__v{i}" for i in range(1, max_order + 1)],
+             *[f"__e{i}" for i in range(1, max_order + 1)], "__v"]
+    known = F.col(names[0]).isNotNull()
+    for c in names[1:]:
+        known = known & F.col(c).isNotNull()
+    rows = rows.withColumns({f"{c}__in": F.when(known, F.col(c)) for c in names})
+
     last = F.when(F.col("time_series_type") == "history", F.col("t"))
-    rows = rows.withColumns({
-        "__vs": F.collect_list(F.coalesce("__v", F.lit(0.0))).over(recent),
-        "__es": F.collect_list(F.coalesce("__e", F.lit(0.0))).over(recent)})
+    newest = [f"__{s}{i or ''}" for s in "ve" for i in range(max_order)]
+    # Only plain sums and extremes: the whole aggregate stays in generated code.
+    sums = moment_sums([F.col(f"{c}__in") for c in names])
     groups = rows.groupBy(*keys).agg(
-        moments(_complete([*vs, *es, "__v"])).alias("m"), F.max("d").alias("d"),
-        F.max_by("z", last).alias("last_z"), F.max_by("__vs", last).alias("vs"),
-        F.max_by("__es", last).alias("es"), F.max(last).alias("n"),
-        F.collect_list(F.when(F.col("time_series_type") == "forecast", F.struct(
-            "t", period_col, F.col("__effects").alias("effects")))).alias("ahead"))
+        *[c.alias(f"m{i}") for i, c in enumerate(sums)],
+        *[F.max_by(F.coalesce(c, F.lit(0.0)), last).alias(f"last{c}") for c in newest],
+        *[F.max(F.when(F.col("h") == h, F.col("__effects"))).alias(f"effect{h}")
+          for h in range(1, horizon + 1)],
+        F.min(F.when(F.col("h") == 1, F.col(period_col))).alias("first_test_period"),
+        F.max("d").alias("d"), F.max_by("z", last).alias("last_z"), F.max(last).alias("n"),
+        F.max("__mean").alias("mean_v"))
     choose_arma = kernels.choose_arma
 
     @pandas_udf(MODEL_TYPE)
-    def choose(m: pd.Series, vs: pd.Series, es: pd.Series, z: pd.Series, d: pd.Series
+    def choose(m: pd.Series, newest: pd.Series, z: pd.Series, mean: pd.Series, d: pd.Series
                ) -> pd.DataFrame:
-        return choose_arma(m, vs, es, z, d, max_order, horizon)
+        return choose_arma(m, newest, z, mean, d, max_order, horizon)
 
-    return groups.withColumn("model", choose("m", "vs", "es", "last_z", "d")).select(
-        *keys, "n", "d", "ahead", "model.*")
+    model = choose(F.array(*[f"m{i}" for i in range(len(sums))]),
+                   F.array(*[f"last{c}" for c in newest]), "last_z", "mean_v", "d")
+    return groups.select(
+        *keys, "n", "d", "first_test_period",
+        F.array(*[f"effect{h}" for h in range(1, horizon + 1)]).alias("effects"),
+        model.alias("model")).select("*", "model.*").drop("model")
 
 
 def forecast(models: DataFrame, confidence: float = 0.9, lower: float | None = None,
-             upper: float | None = None, series_col: str = "series",
-             period_col: str = "period") -> DataFrame:
+             upper: float | None = None, granularity: str = "WEEKLY",
+             series_col: str = "series", period_col: str = "period") -> DataFrame:
     """Forecast rows with intervals of the given two-sided coverage."""
-    rows = models.withColumn("a", F.explode("ahead"))
-    step = F.col("a.t") - F.col("n") - 1
-    value = F.col("mean")[step] + F.col("a.effects")
-    width = F.lit(z_value(confidence)) * F.col("error")[step]
+    days = period_days(granularity)
+    rows = models.select("fold", series_col, "first_test_period", F.posexplode(
+        F.arrays_zip("mean", "error", "effects")).alias("step", "a"))
+    rows = rows.filter(F.col("a.effects").isNotNull())
+    value = F.col("a.mean") + F.col("a.effects")
+    width = F.lit(z_value(confidence)) * F.col("a.error")
     return rows.select(
-        "fold", series_col, F.col(f"a.{period_col}").alias(period_col),
+        "fold", series_col,
+        F.date_add("first_test_period", F.col("step") * days).alias(period_col),
         F.lit("forecast").alias("time_series_type"),
         limit(value, lower, upper).alias("forecast_value"),
         limit(value - width, lower, upper).alias("prediction_interval_lower_bound"),

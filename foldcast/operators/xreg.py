@@ -28,11 +28,10 @@ def remove_one(grid: DataFrame, covariate: str, series_col: str = "series") -> D
     return use_regressor(grid, {covariate: F.col("__slope")}).drop("__var", "__cov", "__slope")
 
 
-def moments(columns: Sequence[Column]) -> Column:
-    """Count, sums and upper-triangle product sums of columns, as one array aggregate."""
+def moment_sums(columns: Sequence[Column]) -> list[Column]:
+    """Count, sums and upper-triangle product sums of columns, as aggregates."""
     sums = [F.count(columns[0]).cast("double")] + [F.sum(c) for c in columns]
-    sums += [F.sum(a * b) for i, a in enumerate(columns) for b in columns[i:]]
-    return F.array(*sums)
+    return sums + [F.sum(a * b) for i, a in enumerate(columns) for b in columns[i:]]
 
 
 def by_fold(models: DataFrame, value_col: str, series_col: str = "series") -> DataFrame:
@@ -51,7 +50,7 @@ def remove_many(grid: DataFrame, covariates: Sequence[str], series_col: str = "s
         known = known & F.col(c).isNotNull()
     columns = [F.when(known, F.col(c).cast("double")) for c in [*covariates, "y"]]
     solve = pandas_udf(kernels.regression_slopes, "array<double>")
-    slopes = grid.groupBy(series_col, "fold").agg(moments(columns).alias("m")).select(
+    slopes = grid.groupBy(series_col, "fold").agg(F.array(*moment_sums(columns)).alias("m")).select(
         series_col, "fold", solve("m").alias("__slopes"))
     joined = grid.join(by_fold(slopes, "__slopes", series_col), series_col)
     joined = joined.withColumn("__slopes", F.col("__slopes")[F.col("fold")])

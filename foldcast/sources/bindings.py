@@ -27,13 +27,14 @@ def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     customers = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     suppliers = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    # Orders meet their customers first, so the item rows are shuffled once for both.
+    placed = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
+        "o_orderkey", F.col("c_nationkey").alias("origin_id"))
     return (
-        items.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+        items.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
         .select(F.col("l_shipdate").alias("event_ts"), F.col("l_partkey").alias("unit_id"),
-                F.col("c_nationkey").alias("origin_id"),
-                F.col("s_nationkey").alias("dest_id")))
+                "origin_id", F.col("s_nationkey").alias("dest_id")))
 
 
 def _name_places(spark: SparkSession, sf_dir: str, df: DataFrame) -> DataFrame:
