@@ -257,6 +257,17 @@ def forecast(fitted: DataFrame, confidence: float = 0.9, lower: float | None = N
         limit(F.col(n), lower, upper).alias(n) for n in names])
 
 
+def with_interval(rows: DataFrame, confidence: float, lower: float | None = None,
+                  upper: float | None = None) -> DataFrame:
+    """Give stored forecasts the interval of another coverage from their standard error,
+    so that one forecast serves every report."""
+    width = F.lit(z_value(confidence)) * F.col("standard_error")
+    return rows.withColumns({
+        "prediction_interval_lower_bound": limit(F.col("forecast_value") - width, lower, upper),
+        "prediction_interval_upper_bound": limit(F.col("forecast_value") + width, lower, upper),
+    }).withColumn("forecast_value", limit(F.col("forecast_value"), lower, upper))
+
+
 def coefficients(fitted: DataFrame, series_col: str = "series") -> DataFrame:
     """One row per (fold, series): orders, coefficients, variance and AIC."""
     last = Window.partitionBy(series_col, "fold")

@@ -121,7 +121,7 @@ def forecast(models: DataFrame, confidence: float = 0.9, lower: float | None = N
     return rows.select(
         "fold", series_col,
         F.date_add("first_test_period", F.col("step") * days).alias(period_col),
-        F.lit("forecast").alias("time_series_type"),
+        F.lit("forecast").alias("time_series_type"), F.col("a.error").alias("standard_error"),
         limit(value, lower, upper).alias("forecast_value"),
         limit(value - width, lower, upper).alias("prediction_interval_lower_bound"),
         limit(value + width, lower, upper).alias("prediction_interval_upper_bound"))

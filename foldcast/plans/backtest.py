@@ -1,12 +1,45 @@
-"""Rolling backtests as single plans: all folds and series of a model at once."""
+"""Rolling backtests: all folds and all series of a model in one plan.
+
+Where a step has to be stored (the forecast feeds both the dashboard and the
+evaluation), it is written once to the shared scratch folder and read back.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldcast.operators import baseline, score
-from foldcast.operators.folds import Rolling
+from foldcast.functions.columns import fold_run_name, global_model_name
+from foldcast.operators import arima, auto_arima, baseline, holiday, pooled, score, xreg
+from foldcast.operators.folds import Rolling, fan_out, fold_table
+from foldcast.sources import tables
+from foldcast.sources.scratch import cut_lineage
+
+# Coverage of the dashboard's and the evaluation's intervals.
+DASHBOARD_CONFIDENCE, EVALUATION_CONFIDENCE = 0.9, 0.95
+
+
+@dataclass(frozen=True)
+class Backtest:
+    """The results of a backtest, all over every fold."""
+
+    forecasts: DataFrame
+    dashboard: DataFrame
+    evaluation: DataFrame
+    metrics: DataFrame
+    log: DataFrame
+
+
+def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
+    """Round for comparison with another engine. Float sums differ in their last bits with
+    the order of addition, and ratios of small whole numbers often end in an exact five;
+    the cut is placed off that point, where no such ratio lies."""
+    scale = F.lit(10.0 ** digits)
+    return df.withColumns({
+        c: F.floor(F.col(c) * scale + F.lit(0.5017)) / scale for c in columns})
 
 
 def seasonal_naive_rows(panel: DataFrame, rolling: Rolling, run_name: str,
@@ -21,10 +54,92 @@ def seasonal_naive_wmape(panel: DataFrame, rolling: Rolling) -> DataFrame:
     return score.dashboard_wmape(seasonal_naive_rows(panel, rolling, "baseline")).orderBy("fold")
 
 
-def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
-    """Round for comparison with another engine. Float sums differ in their last bits with
-    the order of addition, and ratios of small whole numbers often end in an exact five;
-    the cut is placed off that point, where no such ratio lies."""
-    scale = F.lit(10.0 ** digits)
-    return df.withColumns({
-        c: F.floor(F.col(c) * scale + F.lit(0.5017)) / scale for c in columns})
+def arima_forecasts(panel: DataFrame, rolling: Rolling, covariates: Sequence[str] = (),
+                    calendar: DataFrame | None = None, attributes: Sequence[str] = (),
+                    holiday_regions: Sequence[str] = (), max_order: int = 5,
+                    fill: str = "zero", granularity: str = "WEEKLY") -> DataFrame:
+    """Forecast rows of an ARIMA model per (fold, series), on regressors when there are
+    any. ``max_order`` 1 takes the closed-form models and includes fitted history."""
+    holidays = None
+    if holiday_regions:
+        holidays = holiday.holiday_calendar(
+            panel.sparkSession.range(1), rolling.train_start, rolling.last_day(),
+            list(holiday_regions), granularity)
+    grid = arima.fold_grid(panel, rolling, calendar, covariates, holidays, fill=fill,
+                           granularity=granularity, attributes=attributes)
+    if covariates or attributes:
+        grid = xreg.remove_many(grid, [*covariates, *attributes])
+    if max_order <= 1:
+        return arima.explain(arima.fit(grid))
+    models = auto_arima.fit(grid, rolling.horizon, max_order, max(8, max_order),
+                            granularity=granularity)
+    return auto_arima.forecast(models, granularity=granularity)
+
+
+def arima_backtest(panel: DataFrame, rolling: Rolling, run_name: str,
+                   model_name: str = "arima", lower: float | None = None,
+                   upper: float | None = None, granularity: str = "WEEKLY",
+                   **options) -> Backtest:
+    """Split, train, forecast, join to actuals and score, for every fold at once."""
+    forecasts = cut_lineage(arima_forecasts(
+        panel, rolling, granularity=granularity, **options), "forecasts")
+    board = score.dashboard_rows(
+        panel, arima.with_interval(forecasts, DASHBOARD_CONFIDENCE, lower, upper), rolling,
+        model_name, run_name, granularity=granularity)
+    rows = score.eval_rows(
+        panel, arima.with_interval(forecasts, EVALUATION_CONFIDENCE, lower, upper), rolling,
+        granularity=granularity)
+    scores = score.global_wmape(rows).withColumnRenamed("wMAPE", "Global_wMAPE")
+    params = {"model_type": model_name, "horizon": rolling.horizon,
+              "data_frequency": granularity, **options}
+    return Backtest(forecasts, board, rows, scores, _log(scores, run_name, params))
+
+
+def pooled_backtest(panel: DataFrame, rolling: Rolling, run_name: str, kind: str,
+                    context: int = 20, experiment: str = "demand",
+                    carry: Sequence[str] = (), granularity: str = "WEEK",
+                    **options) -> Backtest:
+    """The same for a pooled model, through its exported evaluated items."""
+    forecasts = cut_lineage(pooled.fit_and_forecast(
+        panel, rolling, kind, context, granularity=granularity, **options), "forecasts")
+    items = cut_lineage(evaluated_items(panel, forecasts, rolling, carry), "items")
+    name = global_model_name(kind, context, experiment, fold_run_name(run_name, "fold"))
+    board = score.evaluated_dashboard_rows(
+        items, name, run_name, F.col("test_start_date"), carry=carry, granularity=granularity)
+    errors = score.evaluated_errors(items)
+    scores = score.metric_suite(errors).drop("time_series_type")
+    params = {"model_type": kind, "horizon": rolling.horizon, "data_frequency": granularity,
+              "context_window": context}
+    return Backtest(forecasts, board, errors, scores, _log(scores, run_name, params))
+
+
+def evaluated_items(panel: DataFrame, forecasts: DataFrame, rolling: Rolling,
+                    carry: Sequence[str] = ()) -> DataFrame:
+    """Test rows of every fold with the prediction packed as a struct."""
+    period = F.col("period")
+    tested = fan_out(panel.select("series", "period", "qty", *carry), rolling, lambda f: (
+        period >= f["test_start_date"]) & (period < f["test_end_date"]))
+    tested = tested.withColumns({"fold": F.col("f.fold"), "predicted_on_period": period,
+                                 "test_start_date": F.col("f.test_start_date")}).drop("f")
+    ahead = forecasts.filter(F.col("time_series_type") == "forecast").select(
+        "fold", "series", "period", "forecast_value")
+    joined = tested.join(ahead, ["fold", "series", "period"], "left")
+    return score.to_evaluated_items(joined, "forecast_value")
+
+
+def _log(scores: DataFrame, run_name: str, params: Mapping[str, object]) -> DataFrame:
+    named = scores.withColumn("run_name", fold_run_name(run_name, "fold"))
+    metrics = [c for c in scores.columns if c != "fold"]
+    return tables.run_log(named, "run_name", dict(params), metrics)
+
+
+def publish(result: Backtest, root: str) -> None:
+    """Append the dashboard rows and the run log under ``root``; replace the run's
+    evaluation rows. Earlier runs stay on the dashboard."""
+    tables.append_table(result.dashboard, f"{root}/dashboard")
+    result.log.write.mode("append").parquet(f"{root}/runs")
+    tables.replace_table(result.evaluation, f"{root}/evaluation", partition_by=["fold"])
+
+
+def folds_of(panel: DataFrame, rolling: Rolling) -> DataFrame:
+    return fold_table(panel.sparkSession.range(1), rolling)

@@ -607,7 +607,7 @@ def xreg_multi(spark, sf_dir):
 def arima_auto(spark, sf_dir):
     grid = arima.fold_grid(B.core_panel(spark, sf_dir), B.ROLLING, holidays=_holidays(spark))
     models = auto_arima.fit(grid, B.ROLLING.horizon)
-    return rounded(auto_arima.forecast(models, 0.9), *BOUNDS, digits=4)
+    return rounded(auto_arima.forecast(models, 0.9), *BOUNDS, "standard_error", digits=4)
 
 
 @query()
