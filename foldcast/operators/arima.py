@@ -62,8 +62,11 @@ def fold_grid(panel: DataFrame, rolling: Rolling, calendar: DataFrame | None = N
         grid = enrich(grid, named, period_col, "period")
     else:
         grid = grid.withColumn("holiday", F.lit(None).cast("string"))
+    # In period order the least period so far is the first one; it shares the trends' window.
+    so_far = Window.partitionBy(series_col).orderBy(period_col).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
     grid = grid.withColumns({
-        "__first": F.min(period_col).over(Window.partitionBy(series_col)),
+        "__first": F.min(period_col).over(so_far),
         **{f"{c}_trend": centred_trend(F.col(c), [series_col], period_col, season)
            for c in [target_col, *covariates]}})
     rows = fan_out(grid, rolling, lambda f: (F.col(period_col) < f["test_end_date"])
@@ -110,6 +113,8 @@ def remove_effects(grid: DataFrame, series_col: str = "series", period_col: str
     out = out.withColumns({"__raw": F.avg(d).over(phase), "__in_phase": F.count(d).over(phase)})
     out = out.withColumns({
         "n": F.count("y").over(whole),
+        "last_t": F.max(F.when(
+            F.col("time_series_type") == "history", F.col("t"))).over(whole),
         "__mean": F.sum(F.try_divide(d, F.col("__in_phase"))).over(whole) / season})
     long_enough = F.col("n") >= 2 * season
     out = out.withColumn("seasonal", F.when(
@@ -209,9 +214,7 @@ def explain(fitted: DataFrame, confidence: float = 0.95, series_col: str = "seri
     carries an interval of the given two-sided coverage.
     """
     phi, c, d = F.col("phi"), F.col("intercept"), F.col("d")
-    h = F.col("t") - F.max(F.when(F.col("time_series_type") == "history", F.col("t"))).over(
-        Window.partitionBy(series_col, "fold"))
-    rows = fitted.withColumn("__h", F.greatest(h, F.lit(1)))
+    rows = fitted.withColumn("__h", F.greatest(F.col("t") - F.col("last_t"), F.lit(1)))
     h = F.col("__h")
     mu = c / (1 - phi)
     decay = F.pow(phi, h)
@@ -270,11 +273,8 @@ def with_interval(rows: DataFrame, confidence: float, lower: float | None = None
 
 def coefficients(fitted: DataFrame, series_col: str = "series") -> DataFrame:
     """One row per (fold, series): orders, coefficients, variance and AIC."""
-    last = Window.partitionBy(series_col, "fold")
-    history = fitted.filter(F.col("time_series_type") == "history")
     return (
-        history.withColumn("__last", F.max("t").over(last))
-        .filter(F.col("t") == F.col("__last"))
+        fitted.filter(F.col("t") == F.col("last_t"))
         .select("fold", series_col, "p", "d", F.lit(0).alias("q"),
                 F.when(F.col("p") == 1, F.array("phi")).otherwise(
                     F.array().cast("array<double>")).alias("ar_coefficients"),

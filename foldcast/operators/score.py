@@ -7,7 +7,7 @@ one row per (fold, series, period), so every join below is on a unique key.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,9 +34,37 @@ def dashboard_rows(panel: DataFrame, forecasts: DataFrame, folds: Rolling | Colu
     """
     hist = scaffold_actuals(panel, folds, series_col, period_col, target_col,
                             granularity, align, end_inclusive)
+    hist = hist.withColumn("model_name", F.lit(model_name))
+    return _error_rows(hist, forecasts, ["fold", series_col, period_col], run_name, series_col,
+                       period_col, target_col, granularity, timestamp)
+
+
+def compare_models(panel: DataFrame, forecasts: Mapping[str, DataFrame],
+                   folds: Rolling | Column, run_name: str, series_col: str = "series",
+                   period_col: str = "period", target_col: str = "qty",
+                   granularity: str = "WEEKLY", align: bool = True,
+                   end_inclusive: bool = True) -> DataFrame:
+    """Dashboard rows of several models: the scaffold is built once and meets all
+    forecasts in one join."""
+    hist = scaffold_actuals(panel, folds, series_col, period_col, target_col,
+                            granularity, align, end_inclusive)
+    names = F.array(*[F.lit(name) for name in forecasts])
+    hist = hist.withColumn("model_name", F.explode(names))
+    pooled = None
+    for name, rows in forecasts.items():
+        rows = rows.select("fold", series_col, period_col, *FORECAST_COLUMNS).withColumn(
+            "model_name", F.lit(name))
+        pooled = rows if pooled is None else pooled.unionByName(rows)
+    return _error_rows(hist, pooled, ["model_name", "fold", series_col, period_col], run_name,
+                       series_col, period_col, target_col, granularity, False)
+
+
+def _error_rows(hist: DataFrame, forecasts: DataFrame, keys: list[str], run_name: str,
+                series_col: str, period_col: str, target_col: str, granularity: str,
+                timestamp: bool) -> DataFrame:
     ahead = forecasts.filter(F.col("time_series_type") == "forecast").select(
-        "fold", series_col, period_col, *FORECAST_COLUMNS[1:])
-    joined = hist.join(ahead, ["fold", series_col, period_col], "left")
+        *keys, *FORECAST_COLUMNS[1:])
+    joined = hist.join(ahead, keys, "left")
     actual, forecast = F.col("actualQty"), F.col("forecastQty")
     out = (
         joined.withColumn("actualQty", F.col(target_col))
@@ -45,7 +73,7 @@ def dashboard_rows(panel: DataFrame, forecasts: DataFrame, folds: Rolling | Colu
         .withColumn("predicted_p90", clamp("prediction_interval_upper_bound"))
         .select(
             period_col, series_col, "actualQty", "forecastQty", "predicted_p10",
-            "predicted_p90", F.lit(model_name).alias("model_name"),
+            "predicted_p90", "model_name",
             run_id(fold_run_name(run_name, "fold")).alias("run_id"), "fold",
             lag_index(period_col, F.col("test_start_date"), granularity).alias("lag"),
             (actual - forecast).alias("diff"),

@@ -156,7 +156,7 @@ enriched AS (SELECT p.*, w.percentage_rain FROM panel p
 UNION ALL SELECT 'series', NULL, NULL, NULL, NULL, NULL, count(DISTINCT series),
   count(*) - count(series) FROM enriched""")
 def feature_info(spark, sf_dir):
-    enriched = P.enrich(B.weekly_panel(spark, sf_dir), B.weather(spark, sf_dir))
+    enriched = P.enrich(B.prepared_panel(spark, sf_dir), B.weather(spark, sf_dir))
     return rounded(profile.feature_info(enriched, FEATURES), "mean", "stddev")
 
 
@@ -207,12 +207,12 @@ def date_scaffold(spark, sf_dir):
 
 @query(O.with_(O.PANEL, ROLL, O.scaffold()) + "SELECT * FROM hist")
 def scaffold_actuals(spark, sf_dir):
-    return scaffold.scaffold_actuals(B.core_panel(spark, sf_dir), B.ROLLING)
+    return scaffold.scaffold_actuals(B.prepared_panel(spark, sf_dir), B.ROLLING)
 
 
 @query(O.with_(O.PANEL, O.folds(B.OFF_GRID), O.scaffold(align=False)) + "SELECT * FROM hist")
 def scaffold_off_grid(spark, sf_dir):
-    return scaffold.scaffold_actuals(B.core_panel(spark, sf_dir), B.OFF_GRID, align=False)
+    return scaffold.scaffold_actuals(B.prepared_panel(spark, sf_dir), B.OFF_GRID, align=False)
 
 
 # --- scoring -------------------------------------------------------------------------
@@ -225,20 +225,20 @@ def seasonal_naive(spark, sf_dir):
 @query(O.with_(O.PANEL, ROLL, O.SEASONAL_NAIVE, O.scaffold(),
                O.dashboard("seasonal_naive", RUN)) + "SELECT * FROM dashboard")
 def dashboard_rows(spark, sf_dir):
-    return backtest.seasonal_naive_rows(B.core_panel(spark, sf_dir), B.ROLLING, RUN)
+    return backtest.seasonal_naive_rows(B.prepared_panel(spark, sf_dir), B.ROLLING, RUN)
 
 
 @query(O.with_(O.PANEL, ROLL, O.SEASONAL_NAIVE, O.scaffold(),
                O.dashboard("seasonal_naive", RUN)) + f"""
 SELECT fold, floor(({O.WMAPE}) * 1e6 + 0.5017e0) / 1e6 AS wMAPE FROM dashboard GROUP BY fold""")
 def seasonal_naive_wmape(spark, sf_dir):
-    return rounded(backtest.seasonal_naive_wmape(B.core_panel(spark, sf_dir), B.ROLLING), "wMAPE")
+    return rounded(backtest.seasonal_naive_wmape(B.prepared_panel(spark, sf_dir), B.ROLLING), "wMAPE")
 
 
 @query(O.with_(O.PANEL, ROLL, O.SEASONAL_NAIVE, O.eval_rows())
        + "SELECT * REPLACE (floor((wMAPE) * 1e6 + 0.5017e0) / 1e6 AS wMAPE) FROM eval")
 def eval_rows(spark, sf_dir):
-    panel = B.core_panel(spark, sf_dir)
+    panel = B.prepared_panel(spark, sf_dir)
     rows = score.eval_rows(panel, baseline.seasonal_naive(panel, B.ROLLING), B.ROLLING)
     return rounded(rows, "wMAPE")
 
@@ -248,7 +248,7 @@ SELECT fold, floor(({O.WMAPE}) * 1e6 + 0.5017e0) / 1e6 AS wMAPE FROM eval
 WHERE period >= test_start_date AND period < test_end_date AND time_series_type = 'forecast'
 GROUP BY fold""")
 def global_wmape(spark, sf_dir):
-    panel = B.core_panel(spark, sf_dir)
+    panel = B.prepared_panel(spark, sf_dir)
     rows = score.eval_rows(panel, baseline.seasonal_naive(panel, B.ROLLING), B.ROLLING)
     return rounded(score.global_wmape(rows), "wMAPE")
 
@@ -259,7 +259,7 @@ WHERE period >= test_start_date AND period < test_end_date
   AND (time_series_type = 'forecast' OR time_series_type IS NULL)
 GROUP BY fold""")
 def global_wmape_with_cold(spark, sf_dir):
-    panel = B.core_panel(spark, sf_dir)
+    panel = B.prepared_panel(spark, sf_dir)
     rows = score.eval_rows(panel, baseline.seasonal_naive(panel, B.EARLY), B.EARLY)
     return rounded(score.global_wmape(rows, with_cold_starts=True), "wMAPE")
 
@@ -503,13 +503,24 @@ BOARD_COLUMNS = ("SELECT period, series, actualQty, predicted_p10, predicted_p90
                  + O.rounded("forecastQty, diff, wAbsError", 4))
 
 
-def _boards(spark, sf_dir):
-    """Dashboard rows of the three baselines."""
-    panel = B.core_panel(spark, sf_dir)
-    models = {"seasonal_naive": baseline.seasonal_naive(panel, B.ROLLING),
-              "drift": baseline.drift(panel, B.ROLLING),
-              "trend_season": baseline.trend_season(panel, B.ROLLING)}
-    return [score.dashboard_rows(panel, fc, B.ROLLING, name, RUN) for name, fc in models.items()]
+def _baselines(panel):
+    return {"seasonal_naive": baseline.seasonal_naive(panel, B.ROLLING),
+            "drift": baseline.drift(panel, B.ROLLING),
+            "trend_season": baseline.trend_season(panel, B.ROLLING)}
+
+
+def _two_boards(spark, sf_dir):
+    """Dashboard rows of two baselines, one DataFrame each."""
+    panel = B.prepared_panel(spark, sf_dir)
+    models = _baselines(panel)
+    return [score.dashboard_rows(panel, models[name], B.ROLLING, name, RUN)
+            for name in ("seasonal_naive", "drift")]
+
+
+def _all_boards(spark, sf_dir):
+    """Dashboard rows of the three baselines over one scaffold."""
+    panel = B.prepared_panel(spark, sf_dir)
+    return score.compare_models(panel, _baselines(panel), B.ROLLING, RUN)
 
 
 @query(BOARDS_SQL + f"""
@@ -518,24 +529,20 @@ SELECT model_name, run_id, fold, floor(w * 1e6 + 0.5017e0) / 1e6 AS wMAPE,
          AS model_rank
 FROM (SELECT model_name, run_id, fold, {O.WMAPE} AS w FROM boards GROUP BY 1, 2, 3)""")
 def model_leaderboard(spark, sf_dir):
-    one, two, three = _boards(spark, sf_dir)
-    rows = one.unionByName(two).unionByName(three)
-    return rounded(report.model_leaderboard(rows), "wMAPE")
+    return rounded(report.model_leaderboard(_all_boards(spark, sf_dir)), "wMAPE")
 
 
 @query(BOARDS_SQL + f"""
 SELECT model_name, run_id, lag, floor(({O.WMAPE}) * 1e6 + 0.5017e0) / 1e6 AS wMAPE FROM boards GROUP BY 1, 2, 3""")
 def wmape_by_lag(spark, sf_dir):
-    one, two, three = _boards(spark, sf_dir)
-    rows = one.unionByName(two).unionByName(three)
-    return rounded(report.wmape_by_lag(rows), "wMAPE")
+    return rounded(report.wmape_by_lag(_all_boards(spark, sf_dir)), "wMAPE")
 
 
 @query(BOARDS_SQL + BOARD_COLUMNS + """
 FROM (SELECT * FROM board_seasonal_naive UNION ALL SELECT * FROM board_drift)""")
 def dashboard_append(spark, sf_dir):
     path = scratch.scratch_path(spark, "dashboard")
-    for rows in _boards(spark, sf_dir)[:2]:
+    for rows in _two_boards(spark, sf_dir):
         tables.append_table(rows, path)
     return rounded(tables.read_appended(spark, path), "forecastQty", "diff", "wAbsError",
                    digits=4)
@@ -547,7 +554,7 @@ FROM (SELECT *, CAST(NULL AS DOUBLE) AS percentage_rain FROM board_seasonal_naiv
       SELECT *, """ + O.rain("period") + """ AS percentage_rain FROM board_drift)""")
 def dashboard_merge_schema(spark, sf_dir):
     path = scratch.scratch_path(spark, "dashboard")
-    first, second = _boards(spark, sf_dir)[:2]
+    first, second = _two_boards(spark, sf_dir)
     tables.append_table(first, path)
     tables.append_table(second.withColumn("percentage_rain", B.rain("period")), path)
     return rounded(tables.read_appended(spark, path), "forecastQty", "diff", "wAbsError",
@@ -556,7 +563,7 @@ def dashboard_merge_schema(spark, sf_dir):
 
 @query(ORACLES["dashboard_merge_schema"])
 def dashboard_union_new_columns(spark, sf_dir):
-    first, second = _boards(spark, sf_dir)[:2]
+    first, second = _two_boards(spark, sf_dir)
     both = tables.union_allow_new_columns(
         first, second.withColumn("percentage_rain", B.rain("period")))
     return rounded(both, "forecastQty", "diff", "wAbsError", digits=4)
@@ -653,7 +660,7 @@ ITEMS_SQL = O.with_(O.PANEL, ROLL, O.SEASONAL_NAIVE, O.ITEMS)
 def _items(spark, sf_dir):
     """Seasonal-naive forecasts in the shape pooled models export: each test row once
     per day it was predicted on, target as text, prediction as a struct."""
-    panel = B.weekly_panel(spark, sf_dir)
+    panel = B.prepared_panel(spark, sf_dir)
     tested = folds.fan_out(panel, B.ROLLING, lambda f: (
         F.col("period") >= f["test_start_date"]) & (F.col("period") < f["test_end_date"]))
     tested = tested.select("series", "period", F.col("f.fold").alias("fold"),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from foldcast.functions.columns import period_start
 from foldcast.operators import panel as P
 from foldcast.operators.folds import Rolling
+from foldcast.sources.scratch import cut_lineage
 from foldcast.sources.tables import read_table
 
 # The test period of the rolling backtests on these tables.
@@ -68,6 +69,13 @@ def core_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weekly_panel(spark, sf_dir).select("series", "period", "qty")
 
 
+def prepared_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weekly panel, stored. A step that reads the panel more than once starts from
+    here: the raw tables are joined and counted once, and what is read again is the
+    far smaller panel."""
+    return cut_lineage(weekly_panel(spark, sf_dir), "panel")
+
+
 def total_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All trips per week as one series. Counted straight from the events: the sum
     over all series needs none of the joins that name them."""

@@ -19,7 +19,7 @@ def scratch_root(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    return tempfile.mkdtemp(prefix="foldcast-", dir="/tmp")
+    return f"{tempfile.gettempdir()}/foldcast-{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
