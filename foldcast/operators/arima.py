@@ -34,7 +34,8 @@ def fold_grid(panel: DataFrame, rolling: Rolling, calendar: DataFrame | None = N
               covariates: Sequence[str] = (), holidays: DataFrame | None = None,
               series_col: str = "series", period_col: str = "period",
               target_col: str = "qty", granularity: str = "WEEKLY", fill: str = "zero",
-              season: int = SEASON, attributes: Sequence[str] = ()) -> DataFrame:
+              season: int = SEASON, attributes: Sequence[str] = (),
+              origin: str = "test_start") -> DataFrame:
     """Training and test rows of every (series, fold).
 
     Columns: series, ``fold``, period, ``test_start_date``, ``y`` (NULL on test rows),
@@ -43,16 +44,23 @@ def fold_grid(panel: DataFrame, rolling: Rolling, calendar: DataFrame | None = N
     A series without training rows in a fold gets no rows there: it is a cold start and
     has no forecast.
 
+    Forecasts start at the fold's test start. With ``origin="series_end"`` they start after
+    the series' own last training row and reach one horizon from there, so that a series
+    that went silent may not reach the test range.
+
     Trends are taken before the fan-out. A centred average does not depend on the fold
     as long as its span ends before the test start; where it does not, it is NULL.
     """
     if fill not in ("zero", "none"):
         raise ValueError(f"unsupported fill: {fill}")
+    if origin not in ("test_start", "series_end"):
+        raise ValueError(f"unsupported forecast origin: {origin}")
     days = period_days(granularity)
     base = spread(panel.select(series_col, period_col, target_col, *attributes), series_col)
     grid = fill_gaps(base, series_col, period_col, target_col, granularity,
                      end=F.date_sub(rolling.last_day(), 1),
-                     attribute_cols=attributes, gap_value=0 if fill == "zero" else None)
+                     attribute_cols=attributes, gap_value=0 if fill == "zero" else None,
+                     seen_col="__seen")
     covariates = [*covariates, *attributes]
     if calendar is not None:
         grid = enrich(grid, calendar, period_col, "period")
@@ -73,7 +81,16 @@ def fold_grid(panel: DataFrame, rolling: Rolling, calendar: DataFrame | None = N
                    & (F.col("__first") < f["test_start_date"]))
     start = F.col("f.test_start_date")
     train = F.col(period_col) < start
-    whole_span = F.date_add(period_col, days * (season // 2)) < start
+    # Days from the period to the end of training: positive on training rows.
+    left = F.datediff(start, period_col)
+    if origin == "series_end":
+        last_seen = F.max(F.when(F.col("__seen") & train, F.col(period_col))).over(
+            Window.partitionBy(series_col, "f.fold"))
+        rows = rows.withColumn("__end", F.date_add(last_seen, days)).filter(
+            F.col(period_col) < F.date_add("__end", days * rolling.horizon))
+        train = F.col(period_col) < F.col("__end")
+        left = F.datediff("__end", period_col)
+    whole_span = left > days * (season // 2)
     kind = F.when(train, "history").otherwise("forecast")
     trends = {"y_trend": target_col, **{f"{c}_trend": c for c in covariates}}
     return rows.select(

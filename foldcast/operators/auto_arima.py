@@ -53,18 +53,17 @@ def _residuals(rows: DataFrame, order: int, keys: list[str], period_col: str) ->
 
 
 def fit(grid: DataFrame, horizon: int, max_order: int = 5, long_order: int = 8,
-        granularity: str = "WEEKLY", series_col: str = "series", period_col: str = "period"
-        ) -> DataFrame:
+        series_col: str = "series", period_col: str = "period") -> DataFrame:
     """One row per (series, fold) with the chosen model, its forecasts for ``horizon``
     periods, and the effects to add back on each of the fold's test dates."""
     if long_order < max_order:
         raise ValueError("the long autoregression must cover the largest order")
-    keys, days = [series_col, "fold"], period_days(granularity)
+    keys = [series_col, "fold"]
     rows = choose_difference(remove_effects(grid, series_col, period_col), series_col,
                              period_col)
     rows = rows.select(
         *keys, period_col, "t", "time_series_type", "z", "d",
-        (F.floor(F.datediff(period_col, "test_start_date") / days) + 1).alias("h"),
+        (F.col("t") - F.col("last_t")).alias("h"),
         F.when(F.col("d") == 1, F.col("z") - F.col("__z1")).otherwise(F.col("z")).alias("__v"),
         (F.col("seasonal") + F.col("holiday_effect") + F.col("regressor")).alias("__effects"))
     rows = rows.withColumn("__mean", F.avg("__v").over(Window.partitionBy(*keys)))

@@ -131,3 +131,13 @@ def training_rows(labelled: DataFrame, split_col: str = "split") -> DataFrame:
 
 def split_counts(labelled: DataFrame, split_col: str = "split") -> DataFrame:
     return labelled.groupBy("fold", split_col).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def count_splits(df: DataFrame, folds: Rolling | Column, time_col: str = "period",
+                 split_col: str = "split") -> DataFrame:
+    """``split_counts`` straight from unlabelled rows. A label depends on the period alone,
+    so rows are counted per period first and only those counts are fanned out."""
+    per_period = df.groupBy(F.col(time_col).cast("date").alias(time_col)).agg(
+        F.count(F.lit(1)).alias("n_rows"))
+    labelled = split_train_test(per_period, folds, time_col, split_col)
+    return labelled.groupBy("fold", split_col).agg(F.sum("n_rows").alias("n_rows"))

@@ -92,8 +92,10 @@ def enrich(panel: DataFrame, calendar: DataFrame, panel_key: str | Column = "per
 def fill_gaps(panel: DataFrame, series_col: str = "series", period_col: str = "period",
               target_col: str = "qty", granularity: str = "WEEKLY",
               start: str | Column | None = None, end: str | Column | None = None,
-              attribute_cols: Sequence[str] = (), gap_value: int | None = 0) -> DataFrame:
-    """Put zeros (or ``gap_value``) where a series has no row.
+              attribute_cols: Sequence[str] = (), gap_value: int | None = 0,
+              seen_col: str | None = None) -> DataFrame:
+    """Put zeros (or ``gap_value``) where a series has no row. ``seen_col`` adds a flag
+    that tells the panel's own rows from the filled ones.
 
     The grid of a series runs from its first period (or ``start`` when given) to
     ``end`` (included; its last period when not given). One window over the series
@@ -119,7 +121,8 @@ def fill_gaps(panel: DataFrame, series_col: str = "series", period_col: str = "p
         .filter(F.col("__since") <= F.col("__upto"))
         .select(series_col, *attribute_cols, period.alias("__own"), target_col,
                 F.explode(F.sequence("__since", "__upto", step)).alias("__period"))
-        .select(series_col, *attribute_cols, F.col("__period").alias(period_col),
+        .select(series_col, *attribute_cols, F.col("__period").alias(period_col), *(
+                    [(F.col("__period") == F.col("__own")).alias(seen_col)] if seen_col else []),
                 F.when(F.col("__period") == F.col("__own"), F.col(target_col))
                 .otherwise(F.lit(gap_value)).cast(panel.schema[target_col].dataType).alias(target_col))
     )

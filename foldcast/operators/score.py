@@ -84,11 +84,21 @@ def _error_rows(hist: DataFrame, forecasts: DataFrame, keys: list[str], run_name
 
 def eval_rows(panel: DataFrame, forecasts: DataFrame, folds: Rolling | Column,
               series_col: str = "series", period_col: str = "period",
-              target_col: str = "qty", granularity: str = "WEEKLY") -> DataFrame:
-    """Every actual of every fold, left-joined to its forecast row, with errors."""
+              target_col: str = "qty", granularity: str = "WEEKLY",
+              test_only: bool = False) -> DataFrame:
+    """Every actual of every fold, left-joined to its forecast row, with errors.
+
+    ``test_only`` keeps each fold's test range: all that ``global_wmape`` looks at, and a
+    small part of the rows.
+    """
+    period = F.col(period_col)
+
+    def tested(f: Column) -> Column:
+        return (period >= f["test_start_date"]) & (period < f["test_end_date"])
+
     actual = panel.groupBy(series_col, F.col(period_col).cast("date").alias(period_col)).agg(
         F.sum(target_col).alias("actual_value"))
-    actual = fan_out(actual, folds).select(
+    actual = fan_out(actual, folds, tested if test_only else None).select(
         F.col("f.fold").alias("fold"), F.col(series_col).alias(f"a_{series_col}"),
         F.col(period_col), "actual_value",
         F.col("f.test_start_date").alias("test_start_date"),

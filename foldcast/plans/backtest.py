@@ -57,7 +57,8 @@ def seasonal_naive_wmape(panel: DataFrame, rolling: Rolling) -> DataFrame:
 def arima_forecasts(panel: DataFrame, rolling: Rolling, covariates: Sequence[str] = (),
                     calendar: DataFrame | None = None, attributes: Sequence[str] = (),
                     holiday_regions: Sequence[str] = (), max_order: int = 5,
-                    fill: str = "zero", granularity: str = "WEEKLY") -> DataFrame:
+                    fill: str = "zero", origin: str = "test_start",
+                    granularity: str = "WEEKLY") -> DataFrame:
     """Forecast rows of an ARIMA model per (fold, series), on regressors when there are
     any. ``max_order`` 1 takes the closed-form models and includes fitted history."""
     holidays = None
@@ -66,13 +67,12 @@ def arima_forecasts(panel: DataFrame, rolling: Rolling, covariates: Sequence[str
             panel.sparkSession.range(1), rolling.train_start, rolling.last_day(),
             list(holiday_regions), granularity)
     grid = arima.fold_grid(panel, rolling, calendar, covariates, holidays, fill=fill,
-                           granularity=granularity, attributes=attributes)
+                           granularity=granularity, attributes=attributes, origin=origin)
     if covariates or attributes:
         grid = xreg.remove_many(grid, [*covariates, *attributes])
     if max_order <= 1:
         return arima.explain(arima.fit(grid))
-    models = auto_arima.fit(grid, rolling.horizon, max_order, max(8, max_order),
-                            granularity=granularity)
+    models = auto_arima.fit(grid, rolling.horizon, max_order, max(8, max_order))
     return auto_arima.forecast(models, granularity=granularity)
 
 

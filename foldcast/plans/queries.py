@@ -191,6 +191,11 @@ def split_train_test(spark, sf_dir):
 @query(O.with_(O.PANEL, O.labelled(B.ROLLING)) + """
 SELECT fold, split, count(*) AS n_rows FROM labelled GROUP BY fold, split""")
 def split_counts(spark, sf_dir):
+    return folds.count_splits(B.core_panel(spark, sf_dir), B.ROLLING)
+
+
+@query(ORACLES["split_counts"])
+def split_counts_labelled(spark, sf_dir):
     return folds.split_counts(split_train_test(spark, sf_dir))
 
 
@@ -249,7 +254,8 @@ WHERE period >= test_start_date AND period < test_end_date AND time_series_type
 GROUP BY fold""")
 def global_wmape(spark, sf_dir):
     panel = B.prepared_panel(spark, sf_dir)
-    rows = score.eval_rows(panel, baseline.seasonal_naive(panel, B.ROLLING), B.ROLLING)
+    rows = score.eval_rows(panel, baseline.seasonal_naive(panel, B.ROLLING), B.ROLLING,
+                           test_only=True)
     return rounded(score.global_wmape(rows), "wMAPE")
 
 
@@ -260,7 +266,8 @@ WHERE period >= test_start_date AND period < test_end_date
 GROUP BY fold""")
 def global_wmape_with_cold(spark, sf_dir):
     panel = B.prepared_panel(spark, sf_dir)
-    rows = score.eval_rows(panel, baseline.seasonal_naive(panel, B.EARLY), B.EARLY)
+    rows = score.eval_rows(panel, baseline.seasonal_naive(panel, B.EARLY), B.EARLY,
+                           test_only=True)
     return rounded(score.global_wmape(rows, with_cold_starts=True), "wMAPE")
 
 
@@ -318,8 +325,8 @@ def dashboard_rows_daily(spark, sf_dir):
 SELECT '{RUN}-fold-' || fold AS run_name, '{RUN}' AS run_id, fold, count(*) AS n_rows
 FROM labelled GROUP BY fold""")
 def run_id(spark, sf_dir):
-    labelled = split_train_test(spark, sf_dir)
-    return (labelled.groupBy("fold").agg(F.count(F.lit(1)).alias("n_rows"))
+    counts = folds.count_splits(B.core_panel(spark, sf_dir), B.ROLLING)
+    return (counts.groupBy("fold").agg(F.sum("n_rows").alias("n_rows"))
             .withColumn("run_name", C.fold_run_name(RUN, "fold"))
             .withColumn("run_id", C.run_id("run_name")))
 

@@ -53,6 +53,8 @@ def test_each_row_gets_one_label_per_fold_and_counts_add_up(spark):
     assert labelled.groupBy("fold", "period").count().filter("count > 1").count() == 0
     per_fold = folds.split_counts(labelled).groupBy("fold").agg(F.sum("n_rows").alias("n"))
     assert {r.n for r in per_fold.collect()} == {df.count()}
+    assert sorted(folds.count_splits(df, ROLLING).collect(), key=str) == sorted(
+        folds.split_counts(labelled).collect(), key=str)
     train = folds.training_rows(labelled)
     assert {r.split for r in train.select("split").distinct().collect()} == {
         "TRAIN", "VALIDATE"}

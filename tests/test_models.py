@@ -50,6 +50,26 @@ def test_short_series_and_cold_starts(spark):
                for r in rows)
 
 
+@pytest.mark.parametrize("max_order", [1, 5])
+def test_forecasts_may_start_at_the_series_end(spark, max_order):
+    # Silent for five weeks before a four-week horizon from the first fold's test start.
+    end = D(2020, 11, 30) - dt.timedelta(days=7 * 5)
+    near = D(2020, 11, 30) - dt.timedelta(days=7 * 2)
+    panel = panel_of(spark, far=[5.0] * 170).filter(F.col("period") < F.lit(end)).unionByName(
+        panel_of(spark, near=[5.0] * 170).filter(F.col("period") < F.lit(near)))
+    rows = backtest.arima_forecasts(panel, ROLLING, max_order=max_order, origin="series_end")
+    ahead = rows.filter("fold = 0 AND time_series_type = 'forecast'").collect()
+    got = {s: sorted(r.period for r in ahead if r.series == s) for s in ("far", "near")}
+    assert got["far"] == [end + dt.timedelta(days=7 * h) for h in range(4)]
+    assert got["near"] == [near + dt.timedelta(days=7 * h) for h in range(4)]
+    assert all(r.forecast_value == pytest.approx(5.0) for r in ahead)
+    # By default forecasts cover the test range, and silence counts as zeros.
+    default = backtest.arima_forecasts(panel, ROLLING, max_order=max_order)
+    dates = default.filter("fold = 0 AND time_series_type = 'forecast' AND series = 'far'")
+    assert sorted(r.period for r in dates.collect()) == [
+        D(2020, 11, 30) + dt.timedelta(days=7 * h) for h in range(4)]
+
+
 def test_no_row_after_the_test_start_matters(spark):
     values = ar1(0.6)
     changed = values.copy()
