@@ -21,9 +21,12 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
 
     A panel is small in bytes but about to be fanned out over folds and windows.
     Adaptive execution sizes tasks by the bytes before the fan-out and would merge
-    them into a few; a fixed number keeps every core busy.
+    them into a few; a fixed number keeps every core busy: the session's shuffle
+    partitions, but no more than a few tasks per core.
     """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    session = df.sparkSession
+    wanted = int(session.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(min(wanted, 4 * session.sparkContext.defaultParallelism), *keys)
 
 
 def with_series_id(df: DataFrame, parts: Sequence[str], name: str = "series") -> DataFrame:
