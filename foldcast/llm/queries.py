@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from foldcast.llm import decontamination, wavelet
 from foldcast.llm.common import table
+from foldcast.llm.packing import best_fit
 from foldcast.llm.token_counts import token_counts
 
 
@@ -15,8 +17,24 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit(table(spark, sf_dir, "documents"))
+
+
+def op7_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards = wavelet.write_shards(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return wavelet.read_documents(shards)
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
+    "op3_best_fit_packing": op3_best_fit_packing,
+    "op7_wavelet_shards": op7_wavelet_shards,
+    "op9_decontamination": op9_decontamination,
 }
 
 ORACLES: dict[str, str] = {}
