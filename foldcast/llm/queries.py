@@ -10,7 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from foldcast.llm import decontamination, wavelet
 from foldcast.llm.common import table
 from foldcast.llm.packing import best_fit
+from foldcast.llm.quality import quality
 from foldcast.llm.token_counts import token_counts
+from foldcast.llm.toxicity import toxicity
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,11 +36,17 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_token_counts": op2_token_counts,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op7_wavelet_shards": op7_wavelet_shards,
     "op9_decontamination": op9_decontamination,
+    "op10_quality": op10_quality,
 }
 
 ORACLES: dict[str, str] = {}
