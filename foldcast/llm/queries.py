@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from foldcast.llm import decontamination, wavelet
 from foldcast.llm.common import table
 from foldcast.llm.packing import best_fit
+from foldcast.llm.pii import personal_data
 from foldcast.llm.quality import quality
 from foldcast.llm.token_counts import token_counts
 from foldcast.llm.toxicity import toxicity
@@ -27,6 +28,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit(table(spark, sf_dir, "documents"))
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 def op7_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = wavelet.write_shards(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return wavelet.read_documents(shards)
@@ -44,6 +49,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_token_counts": op2_token_counts,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op6_personal_data": op6_personal_data,
     "op7_wavelet_shards": op7_wavelet_shards,
     "op9_decontamination": op9_decontamination,
     "op10_quality": op10_quality,
