@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from foldcast.llm import decontamination, wavelet
 from foldcast.llm.common import table
+from foldcast.llm.jaccard import near_duplicates
 from foldcast.llm.packing import best_fit
 from foldcast.llm.pii import personal_data
 from foldcast.llm.quality import quality
@@ -37,6 +38,10 @@ def op7_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.read_documents(shards)
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -51,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op6_personal_data": op6_personal_data,
     "op7_wavelet_shards": op7_wavelet_shards,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_decontamination": op9_decontamination,
     "op10_quality": op10_quality,
 }
