@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from foldcast.llm import decontamination, wavelet
+from foldcast.llm import decontamination, embeddings, wavelet
 from foldcast.llm.common import table
 from foldcast.llm.jaccard import near_duplicates
 from foldcast.llm.packing import best_fit
@@ -29,6 +29,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit(table(spark, sf_dir, "documents"))
 
 
+def op4_embedding_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(table(spark, sf_dir, "documents"))
 
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_token_counts": op2_token_counts,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_embedding_near_duplicates": op4_embedding_near_duplicates,
     "op6_personal_data": op6_personal_data,
     "op7_wavelet_shards": op7_wavelet_shards,
     "op8_jaccard_join": op8_jaccard_join,
