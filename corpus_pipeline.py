@@ -1,13 +1,55 @@
-"""The pipeline."""
+"""From raw documents to packed training sequences: five stages, each over all that the one before has kept."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES = []
+from foldcast.llm import decontamination, jaccard, packing, pii, quality
+from foldcast.llm.common import stored, table
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts."""
+    return quality.accepted(docs, table(spark, sf_dir, "labels"))
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return jaccard.deduplicated(docs)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that share no passage with the benchmark."""
+    return decontamination.decontaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by its kind."""
+    return pii.redacted(docs, length_col="n_chars")
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The place of every piece of every document in sequences of fixed size."""
+    return packing.best_fit(docs)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_classifier", quality_stage),
+    ("ngram_jaccard_join", near_duplicate_stage),
+    ("benchmark_decontamination", decontamination_stage),
+    ("personal_data", personal_data_stage),
+    ("best_fit_packing", packing_stage),
+]
+
+#: No stage but the third can be told in SQL; tests hold each against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """All stages in order; each result is written to the shared folder and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
