@@ -13,6 +13,7 @@ from foldcast.llm.jaccard import near_duplicates
 from foldcast.llm.packing import best_fit
 from foldcast.llm.pii import personal_data
 from foldcast.llm.quality import quality
+from foldcast.llm.suffixes import without_repeats
 from foldcast.llm.token_counts import token_counts
 from foldcast.llm.toxicity import toxicity
 
@@ -33,6 +34,10 @@ def op4_embedding_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op5_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(table(spark, sf_dir, "documents"))
 
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_embedding_near_duplicates": op4_embedding_near_duplicates,
+    "op5_repeated_passages": op5_repeated_passages,
     "op6_personal_data": op6_personal_data,
     "op7_wavelet_shards": op7_wavelet_shards,
     "op8_jaccard_join": op8_jaccard_join,
