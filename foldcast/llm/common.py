@@ -9,12 +9,23 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def picked(df: DataFrame, *names: str) -> DataFrame:
+    """The named columns alone; found by their exact name, also where another differs in case only."""
+    return neutral(df).select(*(F.col(f"c{df.columns.index(x)}").alias(x) for x in names))
+
+
+def neutral(df: DataFrame) -> DataFrame:
+    """df with columns c0, c1, ..., which no name inside an operator meets."""
+    return df.toDF(*(f"c{k}" for k in range(len(df.columns))))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named in spark.checkpoint.dir; a temporary one only where none is set and Spark runs in one process."""
     found = spark.conf.get("spark.checkpoint.dir", None)

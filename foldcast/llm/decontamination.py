@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldcast.llm.common import byte_view, hash_spans, ragged, row_blocks, word_spans
+from foldcast.llm.common import byte_view, hash_spans, neutral, picked, ragged, row_blocks, word_spans
 
 WINDOW = 10
 #: Bytes of training text in one suffix array; a longer document has an array of its own.
@@ -174,7 +174,7 @@ def _search(docs: DataFrame, suffixes: Suffixes, window: int, text_col: str) ->
     return docs.mapInArrow(scan, docs.schema)
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", keep: bool = False) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", keep: bool = False) -> DataFrame:
     """id, n_words, n_hit, n_items, items_sha256 and contaminated of each document; with keep, after all its columns.
 
     Words are runs of 0-9, a-z and characters beyond ASCII, after A-Z are lower-cased. A benchmark window is
@@ -184,22 +184,28 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, i
     one by one. Null and empty texts have no words. The benchmark is read in blocks of about
     BLOCK_WORDS words; each block is a further pass over the rows as they stream by.
     """
-    state = docs.select(*(docs.columns if keep else [id_col, text_col]))
-    columns = state.columns
+    columns = docs.columns
+    state = neutral(docs) if keep else picked(docs, id_col, text_col).toDF("c0", "c1")
+    text = f"c{columns.index(text_col)}" if keep else "c1"
+    kept = state.columns if keep else ["c0"]
     state = state.withColumns({"_words": F.lit(None).cast("bigint"), "_n_hit": F.lit(None).cast("bigint"), "_hits": F.lit(None).cast("binary"), "_items": F.lit(None).cast("array<string>")})
-    for suffixes in _blocks(benchmark, item_col, text_col, window):
-        state = _search(state, suffixes, window, text_col)
+    for suffixes in _blocks(picked(benchmark, item_col, item_text_col), item_col, item_text_col, window):
+        state = _search(state, suffixes, window, text)
     found = state.withColumns({
         "n_words": F.col("_words"),
         "n_hit": F.col("_n_hit"),
         "n_items": F.size("_items").cast("bigint"),
         "items_sha256": F.sha2(F.concat_ws(",", "_items"), 256),
     }).withColumn("contaminated", F.col("n_hit") > 0)
-    kept = columns if keep else [id_col]
-    return found.select(*kept, "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    names = columns if keep else [id_col]
+    return found.select(*(F.col(k).alias(x) for k, x in zip(kept, names, strict=True)), "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents without a hit, with the columns they came with."""
-    columns = docs.columns
-    return contamination(docs, benchmark, keep=True, **options).where(~F.col("contaminated")).select(*columns)
+    plain = neutral(docs)
+    renamed = {"id_col": options.pop("id_col", "doc_id"), "text_col": options.pop("text_col", "text")}
+    at = {k: f"c{docs.columns.index(x)}" for k, x in renamed.items()}
+    item_text = options.pop("item_text_col", renamed["text_col"])
+    found = contamination(plain, benchmark, keep=True, item_text_col=item_text, **at, **options).where(~F.col("contaminated"))
+    return found.select(*plain.columns).toDF(*docs.columns)

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldcast.llm.common import ragged, stored
+from foldcast.llm.common import picked, ragged, stored
 from foldcast.llm.graph import components
 from foldcast.llm.jaccard import _roots
 
@@ -164,6 +164,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, id_col: st
     it come within the distance that the threshold allows, and each pair of blocks is one task's work, which returns
     numbers of links and a spanning forest, not pairs. Every vector is compared; nothing is approximate.
     """
+    vectors = picked(vectors, id_col, vector_col)
     units = stored(_units(vectors, id_col, vector_col), "units")
     classes = units.where("node is not null").groupBy("node").agg(F.count("*").alias("copies"), F.min(id_col).alias("rep"), F.first("dims").alias("dims"), F.first("vector").alias("vector"))
     classes = stored(classes.withColumn("cls", F.monotonically_increasing_id()), "classes")

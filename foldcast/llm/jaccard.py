@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldcast.llm.common import byte_view, row_blocks, stored
+from foldcast.llm.common import byte_view, neutral, picked, row_blocks, stored
 from foldcast.llm.graph import components
 from foldcast.llm.shingles import SHINGLE_WORDS, SIGNATURE, band_keys, set_key, shingle_sets, signature
 
@@ -186,6 +186,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, words: int =
     large a group is. Inside a tile MinHash values are compared LOOK at a time and pairs leave by their posterior;
     what is left is verified on the sets themselves.
     """
+    docs = picked(docs, id_col, text_col)
     marked = _marked(docs, id_col, text_col, words)
     classes = marked.where("node is not null").groupBy("node").agg(F.count("*").alias("copies"), F.min(id_col).alias("rep"), F.first("size").alias("size"), F.first("signature").alias("signature"))
     classes = stored(classes.withColumn("cls", F.monotonically_increasing_id()), "classes")
@@ -229,7 +230,8 @@ def deduplicated(docs: DataFrame, threshold: float = THRESHOLD, words: int = SHI
     """
     found = near_duplicates(docs, threshold, words, id_col, text_col)
     kept = stored(found.where("kept").groupBy(F.col(id_col).alias("_kept")).agg(F.count("*").alias("n")), "kept")
-    out = docs.join(kept.select("_kept"), F.col(id_col).eqNullSafe(F.col("_kept")), "left_semi")
+    id_at, text_at = (f"c{docs.columns.index(x)}" for x in (id_col, text_col))
+    out = neutral(docs).join(kept.select("_kept"), F.col(id_at).eqNullSafe(F.col("_kept")), "left_semi")
     if kept.where("n > 1").limit(1).count():
-        out = out.dropDuplicates([id_col, text_col])
-    return out
+        out = out.dropDuplicates([id_at, text_at])
+    return out.toDF(*docs.columns)

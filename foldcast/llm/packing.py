@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from bisect import bisect_left, insort
 from collections import Counter
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from foldcast.llm.common import picked
+
 #: Rows that are packed together. More rows a shard fill bins a little better; the memory of a task is bound by it.
 SHARD_ROWS = 4096
 
@@ -78,7 +81,7 @@ def normal_text_key(text_col: str = "text") -> Column:
     return F.when(plain != "", F.md5(plain))
 
 
-def best_fit(docs: DataFrame, capacity: int = 2048, id_col: str = "doc_id", source_col: str = "source", length: Column | None = None, cluster: Column | None = None) -> DataFrame:
+def best_fit(docs: DataFrame, capacity: int = 2048, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", length: Callable[[str], Column] = approximate_tokens, cluster: Callable[[str], Column] = normal_text_key) -> DataFrame:
     """id, piece, bin_id, bin_offset and length of every piece of every document.
 
     A document longer than the capacity is cut into full pieces, each a bin of its own, and a rest. A bin never
@@ -87,10 +90,9 @@ def best_fit(docs: DataFrame, capacity: int = 2048, id_col: str = "doc_id", sour
     Null and empty texts are items of length 0 with a row of their own; repeated ids and rows are packed one by one;
     an empty table gives no rows; other columns are ignored.
     """
-    length = approximate_tokens() if length is None else length
-    cluster = normal_text_key() if cluster is None else cluster
+    docs = picked(docs, *dict.fromkeys([id_col, source_col, text_col]))
     shards = max(1, -(-docs.select(id_col).count() // SHARD_ROWS))
-    items = docs.select(F.col(id_col).alias("doc"), F.col(source_col).cast("string").alias("source"), cluster.alias("cluster"), length.alias("length"))
+    items = docs.select(F.col(id_col).alias("doc"), F.col(source_col).cast("string").alias("source"), cluster(text_col).alias("cluster"), length(text_col).alias("length"))
     items = items.withColumn("shard", F.pmod(F.xxhash64("doc", "cluster"), F.lit(shards)))
 
     def pack(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:

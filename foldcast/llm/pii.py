@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foldcast.llm.common import stored
+from foldcast.llm.common import neutral, picked, stored
 
 KINDS = ("email", "ip", "card", "phone")
 #: The kind of identifiers that contexts discover.
@@ -144,13 +144,14 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     base span. Offsets are code points, end exclusive. Null and empty texts have no spans; repeated ids and rows
     are answered one by one; other columns are ignored; an empty table gives no rows.
     """
-    located = _located(docs, text_col, [id_col])
+    docs = picked(docs, id_col, text_col).toDF("c0", "c1")
+    located = _located(docs, "c1", ["c0"])
     added = _discovered(located).groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("begin", "end"))).alias("_added"))
     found = located.drop("_candidates").join(added, "_row", "left")
     base = F.concat(*(_listed(k, F.col(f"_{k}")) for k in KINDS))
     extra = F.coalesce(_listed(DISCOVERED, F.col("_added")), F.array().cast("array<string>"))
     return found.select(
-        id_col,
+        F.col("c0").alias(id_col),
         *(F.size(f"_{k}").cast("bigint").alias(f"n_{k}") for k in KINDS),
         F.sha2(F.concat_ws(",", base), 256).alias("base_sha256"),
         F.concat_ws(",", F.concat(base, extra)).alias("spans"),
@@ -163,7 +164,10 @@ def redacted(docs: DataFrame, text_col: str = "text", length_col: str | None = N
     Only rows with candidates that are accepted are joined to them; all others keep their place. length_col, if
     given, is set to the new length in code points. Null texts stay null.
     """
-    columns = docs.columns
+    names = docs.columns
+    text_at, length_at = names.index(text_col), names.index(length_col) if length_col else None
+    docs = neutral(docs)
+    columns, text_col = docs.columns, f"c{text_at}"
     located = _located(docs, text_col, columns)
     found = _discovered(located).groupBy("_row").agg(F.collect_list(F.struct(F.col("begin"), F.col("end"), F.lit(DISCOVERED).alias("kind"))).alias("_added"))
     base = F.concat(*(_labelled(k, F.col(f"_{k}")) for k in KINDS))
@@ -176,8 +180,9 @@ def redacted(docs: DataFrame, text_col: str = "text", length_col: str | None = N
     text = F.when(F.size("_spans") == 0, F.col(text_col)).otherwise(_replaced(F.col(text_col), F.col("_spans")))
     out = out.withColumn(text_col, F.when(F.col(text_col).isNotNull(), text))
     if length_col:
-        out = out.withColumn(length_col, F.length(text_col).cast(docs.schema[length_col].dataType))
-    return out.select(*columns)
+        name = f"c{length_at}"
+        out = out.withColumn(name, F.length(text_col).cast(docs.schema[name].dataType))
+    return out.select(*columns).toDF(*names)
 
 
 def _disjoint(spans: Column) -> Column:

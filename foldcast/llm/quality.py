@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldcast.llm.common import byte_view, row_blocks
+from foldcast.llm.common import byte_view, neutral, picked, row_blocks
 from foldcast.llm.labelled import held_out, training_sample
 
 #: Bytes of a passage. Every passage of a text is encoded; the last may be shorter.
@@ -167,11 +167,12 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, id_col:
     one by one; ties and other columns do not matter; an empty table gives no rows.
     """
     model = train(docs, labels, id_col=id_col, text_col=text_col)
-    found = scored(docs.select(id_col, text_col), model, text_col)
+    found = scored(picked(docs, id_col, text_col), model, text_col)
     return found.select(id_col, held_out(id_col).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that score at least the threshold, with the columns they came with."""
-    score = "_score"
-    return scored(docs, train(docs, labels, id_col=id_col, text_col=text_col), text_col, score).where(F.col(score) >= threshold).drop(score)
+    model = train(docs, labels, id_col=id_col, text_col=text_col)
+    found = scored(neutral(docs), model, f"c{docs.columns.index(text_col)}").where(F.col("score") >= threshold)
+    return found.drop("score").toDF(*docs.columns)

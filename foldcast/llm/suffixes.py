@@ -13,7 +13,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldcast.llm.common import byte_view, mix, stored
+from foldcast.llm.common import byte_view, mix, picked, stored
 
 LENGTH = 400
 #: Bytes of an anchor. Of all anchors in a string of LENGTH bytes, the one of least hash (the first of equals) stands for it.
@@ -282,6 +282,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     runs is not gathered: its strings are counted by hash, with sums before the shuffle. Texts travel compressed, once for
     the runs in question and once for the result.
     """
+    docs = picked(docs, id_col, text_col)
     spans = covered_spans(docs, text_col)
     by_text = spans.groupBy("text").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldcast.llm import pieces as P
-from foldcast.llm.common import hash_spans, row_blocks
+from foldcast.llm.common import hash_spans, picked, row_blocks
 
 #: Distinct pieces whose counts a Python worker keeps; beyond it, it starts afresh.
 KEPT_PIECES = 4_000_000
@@ -141,6 +141,6 @@ def token_counts(docs: DataFrame, vocabulary: str, limit: int = 512, id_col: str
                 tokens.append(known.texts(batch.column(1).slice(i, j - i).fill_null("").to_pylist()))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size), pa.array(np.concatenate(tokens))], names=[id_col, "n_bytes", "n_tokens"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    found = docs.select(F.col(id_col), F.col(text_col)).mapInArrow(count, f"`{id_col}` {kind}, n_bytes bigint, n_tokens bigint")
+    kind = picked(docs, id_col).schema[id_col].dataType.simpleString()
+    found = picked(docs, id_col, text_col).mapInArrow(count, f"`{id_col}` {kind}, n_bytes bigint, n_tokens bigint")
     return found.withColumn("over_limit", F.col("n_tokens") > limit)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldcast.llm.common import byte_view, hash_spans, mix, row_blocks, stored, word_spans
+from foldcast.llm.common import byte_view, hash_spans, mix, picked, row_blocks, stored, word_spans
 from foldcast.llm.labelled import held_out, training_sample
 
 #: Documents that the model is fitted on, at most, and the longest of them in bytes.
@@ -269,5 +269,5 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col:
     Null and empty texts have no words and get the score of texts without evidence; repeated ids and rows are scored
     one by one; other columns are ignored; an empty table gives no rows.
     """
-    found = scored(docs.select(id_col, text_col), train(docs, labels, id_col=id_col, text_col=text_col), text_col)
+    found = scored(picked(docs, id_col, text_col), train(docs, labels, id_col=id_col, text_col=text_col), text_col)
     return found.select(id_col, held_out(id_col).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), F.col("score_passages").alias("passages"))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from foldcast.llm import pieces as P
-from foldcast.llm.common import byte_view, hash_spans, ragged, row_blocks, stored
+from foldcast.llm.common import byte_view, hash_spans, picked, ragged, row_blocks, stored
 
 MAGIC = b"WAVM"
 #: A shard is closed once it holds so many identifiers.
@@ -220,8 +220,12 @@ def write_shards(docs: DataFrame, vocabulary: str, end_id: int = 2, id_col: str
     each within the shard, and `file`, a wavelet matrix in its file format. The order is that of (id, identifiers), null ids first.
     Identifiers, not texts, are shuffled; the ranges come from quantiles of the ids alone, four for each shuffle
     partition, and a range is cut into shards of about SHARD_TOKENS.
+
+    Null and empty texts have end_id alone; repeated ids and rows stand one after the other; other columns are
+    ignored; an empty table gives no shards. A text is not cut: a longer one is a larger shard.
     """
     spark = docs.sparkSession
+    docs = picked(docs, id_col, text_col)
     ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     cuts = [k / ranges for k in range(1, ranges)]
     limits = docs.agg(F.percentile_approx(id_col, cuts, 20 * ranges)).first()[0] or []
