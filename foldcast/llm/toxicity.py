@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -16,10 +17,13 @@ from foldcast.llm.labelled import held_out, training_sample
 #: Documents that the model is fitted on, at most, and the longest of them in bytes.
 TRAINING_ROWS = 20_000
 LONGEST_TRAINING_TEXT = 400_000
-#: Tokens of prior weight, spread over words by their frequency in both classes.
-PRIOR_TOKENS = 1000.0
-#: Standard errors by which a word's log-odds must exceed zero to count as evidence.
-SIGNIFICANT = 3.0
+#: Weight of the Dirichlet prior, as a share of the tokens of each class: counts are shrunk towards the joint frequency.
+PRIOR_SHARE = 0.04
+#: Expected share of chance finds among the tokens that count as evidence, and the texts that a token must be in to be tested.
+FALSE_SHARE = 0.25
+TESTED_TEXTS = 4
+#: Log-odds that evidence has at least: a common token of small effect says nothing, however sure the effect is.
+LEAST_ODDS = 2.0
 #: Share of evidence words in a toxic passage; it sets what any other word costs.
 PASSAGE_RATE = 0.25
 #: Expected number of chance passages up to which a passage is reported.
@@ -138,7 +142,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int =
     """Fits on a bounded sample of labelled rows, none held out. Spark counts the words of both classes; evidence words come back.
 
     A token counts once a text, so that repetition is no evidence. Log-odds have a Dirichlet prior in proportion to
-    the joint frequency; tokens are words and their stems, and evidence are those that are SIGNIFICANT. Their number is
+    the joint frequency; tokens are words and their stems, and evidence are those whose z-score keeps chance finds to FALSE_SHARE. Their number is
     bound by the sample. Without labelled rows of both classes there is no evidence and all scores are equal.
     """
     sample = training_sample(docs, labels, label, rows, LONGEST_TRAINING_TEXT, id_col, text_col)
@@ -171,10 +175,13 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int =
     if not everything[0] or not everything[1]:
         return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), 0.3, 1.0, 0.0)
     n1, n0 = float(everything[0]), float(everything[1])
-    prior = F.lit(PRIOR_TOKENS / (n1 + n0)) * (F.col("yes") + F.col("no"))
-    one, zero = F.col("yes") + prior, F.col("no") + prior
-    delta = F.log(one / (n1 + PRIOR_TOKENS - one)) - F.log(zero / (n0 + PRIOR_TOKENS - zero))
-    judged = counts.withColumn("odds", delta).withColumn("sure", F.col("odds") / F.sqrt(1 / one + 1 / zero) >= SIGNIFICANT)
+    joint = (F.col("yes") + F.col("no")) * F.lit(PRIOR_SHARE / (n1 + n0))
+    one, zero = F.col("yes") + joint * n1, F.col("no") + joint * n0
+    all1, all0 = n1 * (1 + PRIOR_SHARE), n0 * (1 + PRIOR_SHARE)
+    delta = F.log(one / (all1 - one)) - F.log(zero / (all0 - zero))
+    tested = (F.col("yes") + F.col("no")) >= TESTED_TEXTS
+    judged = counts.withColumn("odds", delta).withColumn("z", F.when(tested, F.col("odds") / F.sqrt(1 / one + 1 / zero)))
+    judged = judged.withColumn("sure", F.coalesce((F.col("z") >= _least_z(judged)) & (F.col("odds") >= LEAST_ODDS), F.lit(False)))
     sure = judged.where("sure").select("token", "odds", "no", F.col(stem_names[0]).isNotNull().alias("word"))
     evidence = sure.toArrow()
     stems = F.broadcast(sure.where(~F.col("word")).select(F.col("token").alias("stem")))
@@ -190,6 +197,19 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int =
     return _calibrated(model, sample)
 
 
+def _least_z(judged: DataFrame) -> float:
+    """The least z at which chance finds are expected to be FALSE_SHARE of all finds at most; from a histogram in steps of 0.05."""
+    bars = judged.where("z is not null").groupBy(F.floor(F.least(F.greatest("z", F.lit(0.0)), F.lit(40.0)) * 20).cast("int").alias("bar")).count().collect()
+    tests, found = sum(x["count"] for x in bars), 0
+    best = 40.0
+    for bar in sorted(bars, key=lambda x: -x["bar"]):
+        found += bar["count"]
+        z = bar["bar"] / 20
+        if z > 1.5 and tests * math.erfc(z / math.sqrt(2)) / 2 <= FALSE_SHARE * found:
+            best = z
+    return best
+
+
 def _calibrated(model: ToxicityModel, sample: DataFrame) -> ToxicityModel:
     """Sets ln K from the best chance segments of clean sampled texts, then slope and offset by logistic regression on the sample."""
     got = _best(sample, model, ["label"]).toArrow()
