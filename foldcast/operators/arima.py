@@ -35,12 +35,13 @@ def fold_grid(panel: DataFrame, rolling: Rolling, calendar: DataFrame | None = N
               series_col: str = "series", period_col: str = "period",
               target_col: str = "qty", granularity: str = "WEEKLY", fill: str = "zero",
               season: int = SEASON, attributes: Sequence[str] = (),
-              origin: str = "test_start") -> DataFrame:
+              origin: str = "test_start", series_covariates: Sequence[str] = ()) -> DataFrame:
     """Training and test rows of every (series, fold).
 
     Columns: series, ``fold``, period, ``test_start_date``, ``y`` (NULL on test rows),
     ``actual``, ``holiday``, the calendar's covariates, the panel's ``attributes`` (constant
-    within a series), and the centred trends of all of them. Missing training periods are 0 or, with ``fill="none"``, stay NULL.
+    within a series), its ``series_covariates`` (of each series and period, test rows too; a
+    filled row takes the last value before it, else 0), and the centred trends of all of them. Missing training periods are 0 or, with ``fill="none"``, stay NULL.
     A series without training rows in a fold gets no rows there: it is a cold start and
     has no forecast.
 
@@ -56,12 +57,13 @@ def fold_grid(panel: DataFrame, rolling: Rolling, calendar: DataFrame | None = N
     if origin not in ("test_start", "series_end"):
         raise ValueError(f"unsupported forecast origin: {origin}")
     days = period_days(granularity)
-    base = spread(panel.select(series_col, period_col, target_col, *attributes), series_col)
+    base = spread(panel.select(series_col, period_col, target_col, *attributes, *series_covariates),
+                  series_col)
     grid = fill_gaps(base, series_col, period_col, target_col, granularity,
                      end=F.date_sub(rolling.last_day(), 1),
                      attribute_cols=attributes, gap_value=0 if fill == "zero" else None,
-                     seen_col="__seen")
-    covariates = [*covariates, *attributes]
+                     seen_col="__seen", varying_cols=series_covariates)
+    covariates = [*covariates, *attributes, *series_covariates]
     if calendar is not None:
         grid = enrich(grid, calendar, period_col, "period")
     if holidays is not None:
@@ -73,6 +75,8 @@ def fold_grid(panel: DataFrame, rolling: Rolling, calendar: DataFrame | None = N
     # In period order the least period so far is the first one; it shares the trends' window.
     so_far = Window.partitionBy(series_col).orderBy(period_col).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
+    grid = grid.withColumns({c: F.coalesce(c, F.last(c, True).over(so_far), F.lit(0))
+                             for c in series_covariates})
     grid = grid.withColumns({
         "__first": F.min(period_col).over(so_far),
         **{f"{c}_trend": centred_trend(F.col(c), [series_col], period_col, season)
@@ -87,7 +91,7 @@ def fold_grid(panel: DataFrame, rolling: Rolling, calendar: DataFrame | None = N
         last_seen = F.max(F.when(F.col("__seen") & train, F.col(period_col))).over(
             Window.partitionBy(series_col, "f.fold"))
         rows = rows.withColumn("__end", F.date_add(last_seen, days)).filter(
-            F.col(period_col) < F.date_add("__end", days * rolling.horizon))
+            F.col(period_col) < F.date_add("__end", days * rolling.periods(granularity)))
         train = F.col(period_col) < F.col("__end")
         left = F.datediff("__end", period_col)
     whole_span = left > days * (season // 2)

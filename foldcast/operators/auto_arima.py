@@ -15,6 +15,7 @@ from pyspark.sql.functions import pandas_udf
 from foldcast.functions import kernels
 from foldcast.functions.columns import limit, period_days, z_value
 from foldcast.operators.arima import choose_difference, remove_effects
+from foldcast.operators.decompose import SEASON
 from foldcast.operators.xreg import moment_sums
 
 MODEL_TYPE = ("p int, q int, ar array<double>, ma array<double>, intercept double, "
@@ -53,18 +54,22 @@ def _residuals(rows: DataFrame, order: int, keys: list[str], period_col: str) ->
 
 
 def fit(grid: DataFrame, horizon: int, max_order: int = 5, long_order: int = 8,
-        series_col: str = "series", period_col: str = "period") -> DataFrame:
+        series_col: str = "series", period_col: str = "period", season: int = SEASON,
+        rows_too: bool = False) -> DataFrame:
     """One row per (series, fold) with the chosen model, its forecasts for ``horizon``
-    periods, and the effects to add back on each of the fold's test dates."""
+    periods, and the effects to add back on each of the fold's test dates. ``rows_too``
+    keeps the group's rows (bounded by the calendar) beside its model, for ``explain``."""
     if long_order < max_order:
         raise ValueError("the long autoregression must cover the largest order")
     keys = [series_col, "fold"]
-    rows = choose_difference(remove_effects(grid, series_col, period_col), series_col,
+    rows = choose_difference(remove_effects(grid, series_col, period_col, season), series_col,
                              period_col)
+    parts = ["seasonal", "holiday_effect", "regressor"]
     rows = rows.select(
         *keys, period_col, "t", "time_series_type", "z", "d",
         (F.col("t") - F.col("last_t")).alias("h"),
         F.when(F.col("d") == 1, F.col("z") - F.col("__z1")).otherwise(F.col("z")).alias("__v"),
+        "actual", "__z1", *parts,
         (F.col("seasonal") + F.col("holiday_effect") + F.col("regressor")).alias("__effects"))
     rows = rows.withColumn("__mean", F.avg("__v").over(Window.partitionBy(*keys)))
     rows = rows.withColumn("__v", F.col("__v") - F.col("__mean"))
@@ -83,6 +88,11 @@ def fit(grid: DataFrame, horizon: int, max_order: int = 5, long_order: int = 8,
     last = F.when(F.col("time_series_type") == "history", F.col("t"))
     newest = [f"__{s}{i or ''}" for s in "ve" for i in range(max_order)]
     # Only plain sums and extremes: the whole aggregate stays in generated code.
+    lagged = [F.array(*[F.col(f"__{s}{i}") for i in range(1, max_order + 1)]).alias(f"lags_{s}")
+              for s in "ve"]
+    carried = [F.collect_list(F.struct(
+        period_col, "time_series_type", "actual", "h", F.col("__z1").alias("z1"), *parts,
+        *lagged)).alias("rows")] if rows_too else []
     sums = moment_sums([F.col(f"{c}__in") for c in names])
     groups = rows.groupBy(*keys).agg(
         *[c.alias(f"m{i}") for i, c in enumerate(sums)],
@@ -91,7 +101,7 @@ def fit(grid: DataFrame, horizon: int, max_order: int = 5, long_order: int = 8,
           for h in range(1, horizon + 1)],
         F.min(F.when(F.col("h") == 1, F.col(period_col))).alias("first_test_period"),
         F.max("d").alias("d"), F.max_by("z", last).alias("last_z"), F.max(last).alias("n"),
-        F.max("__mean").alias("mean_v"))
+        F.max("__mean").alias("mean_v"), *carried)
     choose_arma = kernels.choose_arma
 
     @pandas_udf(MODEL_TYPE)
@@ -104,7 +114,8 @@ def fit(grid: DataFrame, horizon: int, max_order: int = 5, long_order: int = 8,
     return groups.select(
         *keys, "n", "d", "first_test_period",
         F.array(*[f"effect{h}" for h in range(1, horizon + 1)]).alias("effects"),
-        model.alias("model")).select("*", "model.*").drop("model")
+        model.alias("model"), "mean_v", *(["rows"] if rows_too else [])
+    ).select("*", "model.*").drop("model")
 
 
 def forecast(models: DataFrame, confidence: float = 0.9, lower: float | None = None,
@@ -126,6 +137,54 @@ def forecast(models: DataFrame, confidence: float = 0.9, lower: float | None = N
         limit(value + width, lower, upper).alias("prediction_interval_upper_bound"))
 
 
+def explain(grid: DataFrame, horizon: int, max_order: int = 5, long_order: int = 8,
+            confidence: float = 0.95, granularity: str = "WEEKLY", series_col: str = "series",
+            period_col: str = "period", season: int = SEASON) -> DataFrame:
+    """History and forecast rows with their components, in the columns of
+    ``arima.explain``. On history rows ``forecast_value`` is the one-step-ahead fit (NULL
+    until all its lags are there); on forecast rows it carries an interval."""
+    models = fit(grid, horizon, max_order, long_order, series_col, period_col, season, True)
+    rows = models.select("fold", series_col, "d", "ar", "ma", "intercept", "mean_v", "mean",
+                         "error", F.inline("rows"))
+
+    def weighted(coefficients: str, lags: str, shift: Column) -> Column:
+        terms = F.zip_with(coefficients, F.slice(F.col(lags), F.lit(1), F.size(coefficients)),
+                           lambda a, x: a * (x + shift))
+        return F.aggregate(terms, F.lit(0.0), lambda total, x: total + x)
+
+    ahead = F.col("time_series_type") == "forecast"
+    step = F.col("intercept") + weighted("ar", "lags_v", F.col("mean_v")) + weighted(
+        "ma", "lags_e", F.lit(0.0))
+    past = step + F.when(F.col("d") == 1, F.col("z1")).otherwise(F.lit(0.0))
+    rows = rows.withColumns({
+        "trend": F.when(ahead, F.get("mean", F.col("h") - 1)).otherwise(past),
+        "standard_error": F.when(ahead, F.get("error", F.col("h") - 1))})
+    rows = rows.withColumn("forecast_value", F.col("trend") + F.col("seasonal")
+                           + F.col("holiday_effect") + F.col("regressor"))
+    width = F.lit(z_value(confidence)) * F.col("standard_error")
+    return rows.select(
+        "fold", series_col, period_col, "time_series_type",
+        F.when(ahead, F.col("forecast_value")).otherwise(F.col("actual")).alias(
+            "time_series_data"),
+        "forecast_value", "standard_error", F.lit(confidence).alias("confidence_level"),
+        (F.col("forecast_value") - width).alias("prediction_interval_lower_bound"),
+        (F.col("forecast_value") + width).alias("prediction_interval_upper_bound"),
+        "trend", "seasonal", "holiday_effect", F.col("regressor").alias("regressor_effect"))
+
+
+def training_info(models: DataFrame) -> DataFrame:
+    """Per fold: how many series and rows were fitted, how well, and how many series each
+    order was chosen for, as a map from "p,d,q"."""
+    order = F.concat_ws(",", *[F.col(c).cast("string") for c in "pdq"])
+    each = models.groupBy("fold", order.alias("order")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("n").alias("rows"),
+        F.sum(F.col("variance") * F.col("n")).alias("sse"), F.sum("aic").alias("aic"))
+    return each.groupBy("fold").agg(
+        F.sum("n").alias("n_series"), F.sum("rows").alias("n_rows"), F.sum("sse").alias("sse"),
+        (F.sum("aic") / F.sum("n")).alias("mean_aic"),
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("order", "n")))).alias("orders"))
+
+
 def coefficients(models: DataFrame, series_col: str = "series") -> DataFrame:
     return models.select(
         "fold", series_col, "p", "d", "q", F.col("ar").alias("ar_coefficients"),

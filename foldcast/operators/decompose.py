@@ -15,13 +15,14 @@ SEASON = 52
 
 
 def centred_trend(value: Column, keys: list[str], order: str, season: int = SEASON) -> Column:
-    """Centred moving average over one even season (half weight on both ends); NULL
-    where the full span is not there.
+    """Centred moving average over one season (an even one with half weight on both ends);
+    NULL where the full span is not there or holds a NaN.
 
     Frame sums are differences of one running sum, so the cost per row does not
     depend on the length of the season.
     """
     half = season // 2
+    value = F.when(~F.isnan(value), value)
     w = Window.partitionBy(*keys).orderBy(order)
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     upto, known = F.sum(value).over(run), F.count(value).over(run)
@@ -32,6 +33,8 @@ def centred_trend(value: Column, keys: list[str], order: str, season: int = SEAS
     before = F.coalesce(F.lag(upto, half + 1).over(w), zero)
     seen = F.lead(known, half).over(w) - F.coalesce(F.lag(known, half + 1).over(w), zero)
     inner, span = inner_last - first, last - before
+    if season % 2:
+        return F.when(first.isNotNull() & (seen == season), span / F.lit(float(season)))
     return F.when(first.isNotNull() & (seen == season + 1),
                   (inner + span) / F.lit(2.0 * season))
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foldcast.functions.columns import as_date, whole_weeks_between
+from foldcast.functions.columns import as_date, period_days, whole_weeks_between
 
 # Split labels and the defaults of the pooled-model path.
 TRAIN, VALIDATE, TEST = "TRAIN", "VALIDATE", "TEST"
@@ -64,6 +64,10 @@ class Rolling:
             whole_weeks_between(val_start, start).alias("val_length"),
             number.alias("fold"))
 
+    def periods(self, granularity: str = "WEEKLY") -> int:
+        """Periods of a test range; the horizon itself counts weeks."""
+        return 7 * self.horizon // period_days(granularity)
+
     def last_day(self) -> Column:
         """No fold needs data after this day."""
         return F.date_add(as_date(self.test_end), 7 * self.horizon)

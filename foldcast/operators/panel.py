@@ -21,12 +21,9 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
 
     A panel is small in bytes but about to be fanned out over folds and windows.
     Adaptive execution sizes tasks by the bytes before the fan-out and would merge
-    them into a few; a fixed number keeps every core busy: the session's shuffle
-    partitions, but no more than a few tasks per core.
+    them into a few; a fixed number, the session's shuffle partitions, keeps every core busy.
     """
-    session = df.sparkSession
-    wanted = int(session.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(min(wanted, 4 * session.sparkContext.defaultParallelism), *keys)
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
 def with_series_id(df: DataFrame, parts: Sequence[str], name: str = "series") -> DataFrame:
@@ -74,9 +71,13 @@ def spine_between(spark: SparkSession, start: str, end: str, granularity: str =
     return period_spine(spark.range(1), start, end, granularity, name)
 
 
-def simulate_covariate(spine: DataFrame, name: str, seed: int) -> DataFrame:
-    """A uniform random covariate per period, for trying out covariate models."""
-    return spine.withColumn(name, F.rand(seed))
+def simulate_covariate(spine: DataFrame, name: str, seed: int,
+                       period_col: str = "period") -> DataFrame:
+    """A covariate in [0, 1) per period, for trying out covariate models: drawn by a hash
+    of seed and date, so that it does not depend on how rows are partitioned."""
+    key = F.concat(F.lit(f"{seed}:"), F.date_format(period_col, "yyyy-MM-dd"))
+    digits = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("double")
+    return spine.withColumn(name, digits / F.lit(float(1 << 32)))
 
 
 def enrich(panel: DataFrame, calendar: DataFrame, panel_key: str | Column = "period",
@@ -96,7 +97,7 @@ def fill_gaps(panel: DataFrame, series_col: str = "series", period_col: str = "p
               target_col: str = "qty", granularity: str = "WEEKLY",
               start: str | Column | None = None, end: str | Column | None = None,
               attribute_cols: Sequence[str] = (), gap_value: int | None = 0,
-              seen_col: str | None = None) -> DataFrame:
+              seen_col: str | None = None, varying_cols: Sequence[str] = ()) -> DataFrame:
     """Put zeros (or ``gap_value``) where a series has no row. ``seen_col`` adds a flag
     that tells the panel's own rows from the filled ones.
 
@@ -104,7 +105,8 @@ def fill_gaps(panel: DataFrame, series_col: str = "series", period_col: str = "p
     ``end`` (included; its last period when not given). One window over the series
     does it: each row emits itself and the zeros up to the next row, so there is no
     series-by-dates product to build and join. ``attribute_cols`` must be constant
-    within a series.
+    within a series; ``varying_cols`` are taken from a series' own rows and are NULL on
+    filled ones.
     """
     days = period_days(granularity)
     step = F.make_dt_interval(F.lit(days))
@@ -122,10 +124,12 @@ def fill_gaps(panel: DataFrame, series_col: str = "series", period_col: str = "p
     return (
         panel.withColumn("__since", since).withColumn("__upto", upto)
         .filter(F.col("__since") <= F.col("__upto"))
-        .select(series_col, *attribute_cols, period.alias("__own"), target_col,
+        .select(series_col, *attribute_cols, *varying_cols, period.alias("__own"), target_col,
                 F.explode(F.sequence("__since", "__upto", step)).alias("__period"))
         .select(series_col, *attribute_cols, F.col("__period").alias(period_col), *(
                     [(F.col("__period") == F.col("__own")).alias(seen_col)] if seen_col else []),
                 F.when(F.col("__period") == F.col("__own"), F.col(target_col))
-                .otherwise(F.lit(gap_value)).cast(panel.schema[target_col].dataType).alias(target_col))
+                .otherwise(F.lit(gap_value)).cast(panel.schema[target_col].dataType).alias(target_col),
+                *[F.when(F.col("__period") == F.col("__own"), F.col(c)).alias(c)
+                  for c in varying_cols])
     )

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import Imputer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
@@ -17,15 +20,21 @@ from foldcast.operators.panel import enrich, fill_gaps, spread
 from foldcast.sources.scratch import cut_lineage
 
 
+# Independent folds whose jobs are submitted at the same time.
+FOLDS_AT_ONCE = 4
+
+
 def window_examples(panel: DataFrame, context: int, horizon: int,
                     known: DataFrame | None = None, unknown: Sequence[str] = (),
                     attributes: Sequence[str] = (), series_col: str = "series",
                     period_col: str = "period", target_col: str = "qty",
-                    granularity: str = "WEEKLY") -> DataFrame:
+                    granularity: str = "WEEKLY", known_from_panel: Sequence[str] = ()
+                    ) -> DataFrame:
     """One row per (series, origin, h): the ``context`` last targets as ``lag_1`` (at the
     origin itself) to ``lag_<context>``, and the target h periods on.
 
     ``known`` is a calendar whose covariates are taken at the target's period;
+    ``known_from_panel`` columns are the series' own, at the target's period too.
     ``unknown`` columns of the panel are only taken at the origin, so that nothing after
     the origin leaks in. Origins without a full context are left out. The panel must be
     regular; lags and leads then come from one window per series, with no self-join.
@@ -34,18 +43,31 @@ def window_examples(panel: DataFrame, context: int, horizon: int,
     leads = F.array(*[F.lead(F.col(target_col).cast("double"), h).over(w)
                       for h in range(1, horizon + 1)])
     lags = {f"lag_{i}": F.lag(target_col, i - 1).over(w) for i in range(1, context + 1)}
-    rows = panel.withColumns({**lags, "__leads": leads}).filter(
+    ahead = {f"__{c}_ahead": F.array(*[F.lead(c, h).over(w) for h in range(1, horizon + 1)])
+             for c in known_from_panel}
+    rows = panel.withColumns({**lags, "__leads": leads, **ahead}).filter(
         F.col(f"lag_{context}").isNotNull())
     rows = rows.select(
         series_col, F.col(period_col).alias("origin"), *lags, *attributes,
-        *[F.col(c).alias(f"{c}_at_origin") for c in unknown],
+        *[F.col(c).alias(f"{c}_at_origin") for c in unknown], *ahead,
         F.posexplode("__leads").alias("h", "target"))
+    rows = rows.withColumns({c: F.col(f"__{c}_ahead")[F.col("h")] for c in known_from_panel})
+    rows = rows.drop(*ahead)
     days = period_days(granularity)
     rows = rows.withColumn("h", F.col("h") + 1).withColumn(
         period_col, F.expr(f"date_add(origin, h * {days})"))
     return rows if known is None else enrich(rows, known, period_col, "period")
 
 
+def holiday_flags(holidays: DataFrame) -> DataFrame:
+    """One row per period with a holiday: a 0/1 column for each holiday of the calendar,
+    whose names are a fixed list."""
+    names = sorted(r[0] for r in holidays.select("holiday").distinct().collect())
+    return holidays.groupBy("period").agg(*[
+        F.max((F.col("holiday") == n).cast("int")).alias(
+            "holiday_" + "".join(c if c.isalnum() else "_" for c in n.lower())) for n in names])
+
+
 def feature_pipeline(df: DataFrame, inputs: Sequence[str]) -> Pipeline:
     """Automatic transformations: text becomes an index, missing numbers the mean."""
     text = [c for c in inputs if isinstance(df.schema[c].dataType, T.StringType)]
@@ -58,11 +80,13 @@ def feature_pipeline(df: DataFrame, inputs: Sequence[str]) -> Pipeline:
     return Pipeline(stages=stages)
 
 
-def regressor(kind: str, max_iter: int, seed: int):
-    """Boosted trees on absolute errors, or a robust direct linear model."""
+def regressor(kind: str, rounds: int, max_iter: int, seed: int):
+    """Boosted trees on absolute errors (at most ``rounds`` of them; validation stops
+    earlier), or a robust direct linear model (iterated to its tolerance; ``max_iter`` only
+    ends a fit that does not converge)."""
     if kind == "learn_to_learn":
         return GBTRegressor(featuresCol="features", labelCol="target", lossType="absolute",
-                            maxIter=max_iter, maxDepth=4, seed=seed,
+                            maxIter=rounds, maxDepth=4, seed=seed,
                             validationIndicatorCol="is_validation")
     if kind == "dense_encoder":
         return LinearRegression(featuresCol="features", labelCol="target", loss="huber",
@@ -74,22 +98,29 @@ def fit_and_forecast(panel: DataFrame, rolling: Rolling, kind: str, context: int
                      known: DataFrame | None = None, unknown: Sequence[str] = (),
                      attributes: Sequence[str] = (), series_col: str = "series",
                      period_col: str = "period", target_col: str = "qty",
-                     granularity: str = "WEEKLY", max_iter: int = 10, seed: int = 42
-                     ) -> DataFrame:
+                     granularity: str = "WEEKLY", rounds: int = 10, max_iter: int = 1000,
+                     holidays: DataFrame | None = None, known_from_panel: Sequence[str] = (),
+                     seed: int = 42) -> DataFrame:
     """Fit one pooled model per fold and forecast the fold's test range from its last
     training period. The validation rows of the split steer early stopping.
 
     Examples are written to the shared scratch folder once and read by every fold. The
-    loop below is over folds only; each fit is a distributed Spark job.
+    folds are independent, so a few are fitted at the same time; each fit is a distributed
+    Spark job.
     """
     # Example columns do not depend on the model; an unknown kind fails before any work.
-    estimator = regressor(kind, max_iter, seed)
+    estimator = regressor(kind, rounds, max_iter, seed)
     spark, days = panel.sparkSession, period_days(granularity)
     grid = fill_gaps(spread(panel, series_col), series_col, period_col, target_col, granularity,
-                     end=F.date_sub(rolling.last_day(), 1), attribute_cols=attributes) \
-        if not unknown else panel
-    examples = window_examples(grid, context, rolling.horizon, known, unknown, attributes,
-                               series_col, period_col, target_col, granularity)
+                     end=F.date_sub(rolling.last_day(), 1), attribute_cols=attributes,
+                     varying_cols=[*unknown, *known_from_panel])
+    examples = window_examples(grid, context, rolling.periods(granularity), known, unknown,
+                               attributes, series_col, period_col, target_col, granularity,
+                               known_from_panel)
+    if holidays is not None:
+        flags = holiday_flags(holidays)
+        names = [c for c in flags.columns if c != "period"]
+        examples = enrich(examples, flags, period_col, "period").fillna(0, names)
     examples = examples.withColumns({"week_of_year": F.weekofyear(period_col),
                                      "month": F.month(period_col)})
     inputs = [c for c in examples.columns
@@ -99,8 +130,7 @@ def fit_and_forecast(panel: DataFrame, rolling: Rolling, kind: str, context: int
         if isinstance(examples.schema[c].dataType, T.NumericType)})
     examples = cut_lineage(examples, "examples")
 
-    forecasts = None
-    for f in fold_table(spark.range(1), rolling).collect():
+    def one_fold(f) -> DataFrame:
         start, validation = F.lit(f.test_start_date), F.lit(f.val_start_date)
         train = examples.filter((F.col(period_col) < start) & F.col("target").isNotNull())
         train = train.withColumn("is_validation", F.col(period_col) >= validation)
@@ -108,11 +138,14 @@ def fit_and_forecast(panel: DataFrame, rolling: Rolling, kind: str, context: int
         model = estimator.fit(features.transform(train).select(
             "features", "target", "is_validation"))
         last = (F.col("origin") < start) & (F.date_add("origin", days) >= start)
-        ahead = model.transform(features.transform(examples.filter(last))).select(
+        return model.transform(features.transform(examples.filter(last))).select(
             F.lit(f.fold).alias("fold"), series_col, period_col,
             F.lit("forecast").alias("time_series_type"),
             F.col("prediction").alias("forecast_value"),
             F.lit(None).cast("double").alias("prediction_interval_lower_bound"),
             F.lit(None).cast("double").alias("prediction_interval_upper_bound"))
-        forecasts = ahead if forecasts is None else forecasts.unionByName(ahead)
-    return forecasts
+
+    with ThreadPool(FOLDS_AT_ONCE) as pool:
+        parts = pool.map(inheritable_thread_target(one_fold),
+                         fold_table(spark.range(1), rolling).collect())
+    return reduce(DataFrame.unionByName, parts)

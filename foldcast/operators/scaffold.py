@@ -50,7 +50,8 @@ def scaffold_actuals(panel: DataFrame, folds: Rolling | Column, series_col: str
                      granularity: str = "WEEKLY", align: bool = True,
                      end_inclusive: bool = True) -> DataFrame:
     """The scaffold with actuals; 0 where the panel has no row. Only rows in the
-    half-open test range count, so an included end date always has 0."""
+    half-open test range count, so an included end date always has 0. The target keeps
+    its type."""
     grid = date_scaffold(panel, folds, series_col, period_col, granularity, align,
                          end_inclusive)
     actual = panel.select(series_col, period_col, target_col)
@@ -58,5 +59,5 @@ def scaffold_actuals(panel: DataFrame, folds: Rolling | Column, series_col: str
     return (
         grid.join(actual, [series_col, period_col], "left")
         .withColumn(target_col, F.when(in_range, F.coalesce(target_col, F.lit(0)))
-                    .otherwise(F.lit(0)).cast("bigint"))
+                    .otherwise(F.lit(0)).cast(panel.schema[target_col].dataType))
         .select("fold", series_col, period_col, "test_start_date", target_col))

@@ -20,6 +20,8 @@ from foldcast.sources.scratch import cut_lineage
 
 # Coverage of the dashboard's and the evaluation's intervals.
 DASHBOARD_CONFIDENCE, EVALUATION_CONFIDENCE = 0.9, 0.95
+# Periods of a year.
+SEASONS = {"WEEKLY": 52, "DAILY": 365}
 
 
 @dataclass(frozen=True)
@@ -31,15 +33,8 @@ class Backtest:
     evaluation: DataFrame
     metrics: DataFrame
     log: DataFrame
-
-
-def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
-    """Round for comparison with another engine. Float sums differ in their last bits with
-    the order of addition, and ratios of small whole numbers often end in an exact five;
-    the cut is placed off that point, where no such ratio lies."""
-    scale = F.lit(10.0 ** digits)
-    return df.withColumns({
-        c: F.floor(F.col(c) * scale + F.lit(0.5017)) / scale for c in columns})
+    run_name: str
+    model_name: str
 
 
 def seasonal_naive_rows(panel: DataFrame, rolling: Rolling, run_name: str,
@@ -58,22 +53,26 @@ def arima_forecasts(panel: DataFrame, rolling: Rolling, covariates: Sequence[str
                     calendar: DataFrame | None = None, attributes: Sequence[str] = (),
                     holiday_regions: Sequence[str] = (), max_order: int = 5,
                     fill: str = "zero", origin: str = "test_start",
-                    granularity: str = "WEEKLY") -> DataFrame:
+                    granularity: str = "WEEKLY", season: int | None = None,
+                    series_covariates: Sequence[str] = ()) -> DataFrame:
     """Forecast rows of an ARIMA model per (fold, series), on regressors when there are
-    any. ``max_order`` 1 takes the closed-form models and includes fitted history."""
+    any, with fitted history and components. ``max_order`` 1 takes the closed-form models.
+    A season is a year of periods unless it is given."""
+    season = season or SEASONS[granularity]
     holidays = None
     if holiday_regions:
         holidays = holiday.holiday_calendar(
             panel.sparkSession.range(1), rolling.train_start, rolling.last_day(),
             list(holiday_regions), granularity)
     grid = arima.fold_grid(panel, rolling, calendar, covariates, holidays, fill=fill,
-                           granularity=granularity, attributes=attributes, origin=origin)
-    if covariates or attributes:
-        grid = xreg.remove_many(grid, [*covariates, *attributes])
+                           granularity=granularity, attributes=attributes, origin=origin,
+                           season=season, series_covariates=series_covariates)
+    if covariates or attributes or series_covariates:
+        grid = xreg.remove_many(grid, [*covariates, *attributes, *series_covariates])
     if max_order <= 1:
-        return arima.explain(arima.fit(grid))
-    models = auto_arima.fit(grid, rolling.horizon, max_order, max(8, max_order))
-    return auto_arima.forecast(models, granularity=granularity)
+        return arima.explain(arima.fit(grid, season=season))
+    return auto_arima.explain(grid, rolling.periods(granularity), max_order, max(8, max_order),
+                              granularity=granularity, season=season)
 
 
 def arima_backtest(panel: DataFrame, rolling: Rolling, run_name: str,
@@ -92,7 +91,8 @@ def arima_backtest(panel: DataFrame, rolling: Rolling, run_name: str,
     scores = score.global_wmape(rows).withColumnRenamed("wMAPE", "Global_wMAPE")
     params = {"model_type": model_name, "horizon": rolling.horizon,
               "data_frequency": granularity, **options}
-    return Backtest(forecasts, board, rows, scores, _log(scores, run_name, params))
+    return Backtest(forecasts, board, rows, scores, _log(scores, run_name, params), run_name,
+                    model_name)
 
 
 def pooled_backtest(panel: DataFrame, rolling: Rolling, run_name: str, kind: str,
@@ -109,8 +109,10 @@ def pooled_backtest(panel: DataFrame, rolling: Rolling, run_name: str, kind: str
     errors = score.evaluated_errors(items)
     scores = score.metric_suite(errors).drop("time_series_type")
     params = {"model_type": kind, "horizon": rolling.horizon, "data_frequency": granularity,
-              "context_window": context}
-    return Backtest(forecasts, board, errors, scores, _log(scores, run_name, params))
+              "context_window": context,
+              **{k: v for k, v in options.items() if not isinstance(v, DataFrame)}}
+    return Backtest(forecasts, board, errors, scores, _log(scores, run_name, params), run_name,
+                    kind)
 
 
 def evaluated_items(panel: DataFrame, forecasts: DataFrame, rolling: Rolling,
@@ -134,11 +136,13 @@ def _log(scores: DataFrame, run_name: str, params: Mapping[str, object]) -> Data
 
 
 def publish(result: Backtest, root: str) -> None:
-    """Append the dashboard rows and the run log under ``root``; replace the run's
-    evaluation rows. Earlier runs stay on the dashboard."""
+    """Append the dashboard rows and the run log under ``root``; replace this run's
+    evaluation rows of this model. Those of other runs and models stay."""
     tables.append_table(result.dashboard, f"{root}/dashboard")
     result.log.write.mode("append").parquet(f"{root}/runs")
-    tables.replace_table(result.evaluation, f"{root}/evaluation", partition_by=["fold"])
+    named = result.evaluation.withColumns({
+        "run_id": F.lit(result.run_name), "model_name": F.lit(result.model_name)})
+    tables.replace_partitions(named, f"{root}/evaluation", ["run_id", "model_name", "fold"])
 
 
 def folds_of(panel: DataFrame, rolling: Rolling) -> DataFrame:

@@ -202,7 +202,7 @@ def with_(*ctes: str) -> str:
 
 
 def rounded(columns: str, digits: int = 6) -> str:
-    return ", ".join(f"floor(({c.strip()}) * 1e{digits} + 0.5017e0) / 1e{digits} AS {c.strip()}" for c in columns.split(","))
+    return ", ".join(f"round(({c.strip()}), {digits}) AS {c.strip()}" for c in columns.split(","))
 
 
 # --- time-series analysis ----------------------------------------------------------------
@@ -275,8 +275,8 @@ robust{i + 1} AS (
               ELSE pow(1 - pow(least(abs(y - fit) / s, 1), 2), 2) END AS r
   FROM fit{i} f JOIN scale{i} s ON f.series = s.series)""")
     parts.append(f"""smooth AS (
-  SELECT series, CAST(x AS INTEGER) AS week_of_year, floor((y) * 1e6 + 0.5017e0) / 1e6 AS seasonal,
-         floor((fit) * 1e6 + 0.5017e0) / 1e6 AS smoothed FROM fit{iters})""")
+  SELECT series, CAST(x AS INTEGER) AS week_of_year, round((y), 6) AS seasonal,
+         round((fit), 6) AS smoothed FROM fit{iters})""")
     return ",\n".join(parts)
 
 
@@ -461,11 +461,11 @@ BOUNDS_COLUMNS = ("forecast_value, prediction_interval_lower_bound, "
 FORECAST = ("SELECT fold, series, period, time_series_type, " + rounded(BOUNDS_COLUMNS, MODEL_DIGITS)
             + " FROM forecasts")
 EXPLAINED = f"""SELECT fold, series, period, time_series_type,
-  floor((CASE WHEN time_series_type = 'history' THEN actual ELSE forecast_value END) * 1e{MODEL_DIGITS} + 0.5017e0) / 1e{MODEL_DIGITS}
+  round((CASE WHEN time_series_type = 'history' THEN actual ELSE forecast_value END), {MODEL_DIGITS})
     AS time_series_data,
   CAST(0.95 AS DOUBLE) AS confidence_level,
-  floor((forecast_value - {z_value(0.95)} * standard_error) * 1e{MODEL_DIGITS} + 0.5017e0) / 1e{MODEL_DIGITS} AS prediction_interval_lower_bound,
-  floor((forecast_value + {z_value(0.95)} * standard_error) * 1e{MODEL_DIGITS} + 0.5017e0) / 1e{MODEL_DIGITS} AS prediction_interval_upper_bound,
+  round((forecast_value - {z_value(0.95)} * standard_error), {MODEL_DIGITS}) AS prediction_interval_lower_bound,
+  round((forecast_value + {z_value(0.95)} * standard_error), {MODEL_DIGITS}) AS prediction_interval_upper_bound,
   """ + rounded("forecast_value, standard_error, trend, seasonal, holiday_effect, "
                 "regressor_effect", MODEL_DIGITS) + " FROM explained"
 

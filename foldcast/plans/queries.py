@@ -13,9 +13,9 @@ from foldcast.operators import (arima, auto_arima, baseline, decompose, folds, h
 from foldcast.operators import panel as P
 from foldcast.plans import backtest
 from foldcast.plans import oracles as O
-from foldcast.plans.backtest import rounded
 from foldcast.sources import bindings as B
 from foldcast.sources import scratch, tables
+from foldcast.sources.scratch import cut_lineage
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,6 +32,11 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
+    """Round for comparison with another engine, whose sums differ in their last bits."""
+    return df.withColumns({c: F.round(F.col(c), digits) for c in columns})
+
+
 FEATURES = ["qty", "percentage_rain", *B.ATTRIBUTES, "series"]
 RUN = "run-2001"
 ROLL = O.folds(B.ROLLING)
@@ -66,7 +71,9 @@ def weather_calendar(spark, sf_dir):
     return B.weather(spark, sf_dir)
 
 
-@query()
+@query(O.with_(O.WEATHER) + """
+SELECT period, CAST('0x' || substr(md5('42:' || strftime(period, '%Y-%m-%d')), 1, 8) AS BIGINT)
+  / 4294967296.0::DOUBLE AS percentage_rain FROM weather""")
 def weather_simulated(spark, sf_dir):
     spine = P.period_spine(B.event_bounds(spark, sf_dir), F.col("first_period"),
                            F.col("last_period"))
@@ -76,7 +83,8 @@ def weather_simulated(spark, sf_dir):
 @query(O.with_(O.PANEL, O.WEATHER) + """
 SELECT p.*, w.percentage_rain FROM panel p LEFT JOIN weather w ON p.period = w.period""")
 def enrich_weather(spark, sf_dir):
-    return P.enrich(B.weekly_panel(spark, sf_dir), B.weather(spark, sf_dir))
+    panel = B.prepared_panel(spark, sf_dir)
+    return P.enrich(panel, B.weather(spark, sf_dir, panel))
 
 
 @query(O.with_(O.PANEL) + "SELECT * FROM panel ORDER BY period, series LIMIT 5")
@@ -122,7 +130,7 @@ labelled AS (
          WHEN d >= 182 THEN 4 ELSE 5 END AS INTEGER) AS bucket_rank
   FROM durations)
 SELECT history_category, bucket_rank, count(series) AS number_of_time_series,
-       floor((count(series) * 100.0 / (SELECT count(*) FROM labelled)) * 1e6 + 0.5017e0) / 1e6 AS percentage
+       round((count(series) * 100.0 / (SELECT count(*) FROM labelled)), 6) AS percentage
 FROM labelled GROUP BY 1, 2 ORDER BY 2""")
 def history_buckets(spark, sf_dir):
     return rounded(profile.history_buckets(B.orders_panel(spark, sf_dir)), "percentage")
@@ -135,7 +143,8 @@ enriched AS (SELECT p.*, w.percentage_rain FROM panel p
     f"SELECT '{c}' AS column_name, count(*) AS value_count FROM enriched WHERE {c} IS NULL"
     for c in [*B.ATTRIBUTES, "percentage_rain"]))
 def missing_values(spark, sf_dir):
-    enriched = P.enrich(B.weekly_panel(spark, sf_dir), B.weather(spark, sf_dir))
+    panel = B.prepared_panel(spark, sf_dir)
+    enriched = P.enrich(panel, B.weather(spark, sf_dir, panel))
     return profile.missing_values(enriched, [*B.ATTRIBUTES, "percentage_rain"])
 
 
@@ -150,13 +159,14 @@ enriched AS (SELECT p.*, w.percentage_rain FROM panel p
              LEFT JOIN weather w ON p.period = w.period)
 """ + "\nUNION ALL ".join(
     f"""SELECT '{c}' AS input, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max,
-  floor((avg({c})) * 1e6 + 0.5017e0) / 1e6 AS mean, CAST(median({c}) AS DOUBLE) AS median,
-  floor((stddev_samp({c})) * 1e6 + 0.5017e0) / 1e6 AS stddev, CAST(NULL AS BIGINT) AS category_count,
+  round((avg({c})), 6) AS mean, CAST(median({c}) AS DOUBLE) AS median,
+  round((stddev_samp({c})), 6) AS stddev, CAST(NULL AS BIGINT) AS category_count,
   count(*) - count({c}) AS null_count FROM enriched""" for c in FEATURES[:-1]) + """
 UNION ALL SELECT 'series', NULL, NULL, NULL, NULL, NULL, count(DISTINCT series),
   count(*) - count(series) FROM enriched""")
 def feature_info(spark, sf_dir):
-    enriched = P.enrich(B.prepared_panel(spark, sf_dir), B.weather(spark, sf_dir))
+    panel = B.prepared_panel(spark, sf_dir)
+    enriched = P.enrich(panel, B.weather(spark, sf_dir, panel))
     return rounded(profile.feature_info(enriched, FEATURES), "mean", "stddev")
 
 
@@ -235,13 +245,13 @@ def dashboard_rows(spark, sf_dir):
 
 @query(O.with_(O.PANEL, ROLL, O.SEASONAL_NAIVE, O.scaffold(),
                O.dashboard("seasonal_naive", RUN)) + f"""
-SELECT fold, floor(({O.WMAPE}) * 1e6 + 0.5017e0) / 1e6 AS wMAPE FROM dashboard GROUP BY fold""")
+SELECT fold, round(({O.WMAPE}), 6) AS wMAPE FROM dashboard GROUP BY fold""")
 def seasonal_naive_wmape(spark, sf_dir):
     return rounded(backtest.seasonal_naive_wmape(B.prepared_panel(spark, sf_dir), B.ROLLING), "wMAPE")
 
 
 @query(O.with_(O.PANEL, ROLL, O.SEASONAL_NAIVE, O.eval_rows())
-       + "SELECT * REPLACE (floor((wMAPE) * 1e6 + 0.5017e0) / 1e6 AS wMAPE) FROM eval")
+       + "SELECT * REPLACE (round((wMAPE), 6) AS wMAPE) FROM eval")
 def eval_rows(spark, sf_dir):
     panel = B.prepared_panel(spark, sf_dir)
     rows = score.eval_rows(panel, baseline.seasonal_naive(panel, B.ROLLING), B.ROLLING)
@@ -249,7 +259,7 @@ def eval_rows(spark, sf_dir):
 
 
 @query(O.with_(O.PANEL, ROLL, O.SEASONAL_NAIVE, O.eval_rows()) + f"""
-SELECT fold, floor(({O.WMAPE}) * 1e6 + 0.5017e0) / 1e6 AS wMAPE FROM eval
+SELECT fold, round(({O.WMAPE}), 6) AS wMAPE FROM eval
 WHERE period >= test_start_date AND period < test_end_date AND time_series_type = 'forecast'
 GROUP BY fold""")
 def global_wmape(spark, sf_dir):
@@ -260,7 +270,7 @@ def global_wmape(spark, sf_dir):
 
 
 @query(O.with_(O.PANEL, O.folds(B.EARLY), O.SEASONAL_NAIVE, O.eval_rows()) + f"""
-SELECT fold, floor(({O.WMAPE}) * 1e6 + 0.5017e0) / 1e6 AS wMAPE FROM eval
+SELECT fold, round(({O.WMAPE}), 6) AS wMAPE FROM eval
 WHERE period >= test_start_date AND period < test_end_date
   AND (time_series_type = 'forecast' OR time_series_type IS NULL)
 GROUP BY fold""")
@@ -360,7 +370,7 @@ def seasonal_decompose_zero_replaced(spark, sf_dir):
 
 
 @query(O.with_(O.TOTAL, O.decompose(), O.TYPICAL) + """
-SELECT series, week_of_year, floor((seasonal) * 1e6 + 0.5017e0) / 1e6 AS seasonal FROM profile""")
+SELECT series, week_of_year, round((seasonal), 6) AS seasonal FROM profile""")
 def typical_seasonality(spark, sf_dir):
     return rounded(_profile(B.total_panel(spark, sf_dir)), "seasonal")
 
@@ -398,7 +408,7 @@ def holiday_calendar(spark, sf_dir):
 
 @query(O.with_(O.DENSE_ORIGIN, O.decompose(), O.BOUNDS,
                O.holidays("first_period", "last_period", "bounds")) + """
-SELECT d.series, h.holiday, floor((avg(qty / nullif(trend, 0))) * 1e6 + 0.5017e0) / 1e6 AS holiday_effect,
+SELECT d.series, h.holiday, round((avg(qty / nullif(trend, 0))), 6) AS holiday_effect,
        count(trend) AS n_periods
 FROM decomposed d JOIN (SELECT DISTINCT period, holiday FROM holidays) h ON d.period = h.period
 GROUP BY 1, 2""")
@@ -455,8 +465,8 @@ def explain_one_series(spark, sf_dir):
 
 @query(ARIMA_SQL + """
 SELECT fold, series, p, d, CAST(0 AS INTEGER) AS q, n AS n_rows,
-       CASE WHEN p = 1 THEN floor((phi) * 1e4 + 0.5017e0) / 1e4 END AS ar_1, floor((c) * 1e4 + 0.5017e0) / 1e4 AS intercept_or_drift,
-       floor((coalesce(sse / nullif(m, 0), 0.0)) * 1e4 + 0.5017e0) / 1e4 AS variance, """
+       CASE WHEN p = 1 THEN round((phi), 4) END AS ar_1, round((c), 4) AS intercept_or_drift,
+       round((coalesce(sse / nullif(m, 0), 0.0)), 4) AS variance, """
        + O.rounded("sse, aic, kpss", 4) + " FROM models")
 def arima_coefficients(spark, sf_dir):
     models = arima.coefficients(_arima(spark, sf_dir))
@@ -467,8 +477,8 @@ def arima_coefficients(spark, sf_dir):
 
 
 @query(ARIMA_SQL + """
-SELECT fold, count(*) AS n_series, CAST(sum(n) AS BIGINT) AS n_rows, floor((sum(sse)) * 1e4 + 0.5017e0) / 1e4 AS sse,
-       floor((avg(aic)) * 1e4 + 0.5017e0) / 1e4 AS mean_aic,
+SELECT fold, count(*) AS n_series, CAST(sum(n) AS BIGINT) AS n_rows, round((sum(sse)), 4) AS sse,
+       round((avg(aic)), 4) AS mean_aic,
        count(*) FILTER (p = 0 AND d = 0) AS n_order_0_0_0,
        count(*) FILTER (p = 1 AND d = 0) AS n_order_1_0_0,
        count(*) FILTER (p = 0 AND d = 1) AS n_order_0_1_0,
@@ -483,7 +493,7 @@ def training_info(spark, sf_dir):
 
 GRID_SQL = [O.PANEL, ROLL, O.NO_HOLIDAYS, O.arima_grid(B.ROLLING)]
 R3_SQL = O.arima().split("he AS (")[0].rstrip(",\n ")
-PLAIN = "SELECT fold, series, period, time_series_type, floor((forecast_value) * 1e4 + 0.5017e0) / 1e4 AS " \
+PLAIN = "SELECT fold, series, period, time_series_type, round((forecast_value), 4) AS " \
     "forecast_value, prediction_interval_lower_bound, prediction_interval_upper_bound FROM "
 
 
@@ -505,6 +515,9 @@ BOARDS_SQL = O.with_(
     O.dashboard_of("trend_season", RUN, "trend_season"), """boards AS (
   SELECT * FROM board_seasonal_naive UNION ALL SELECT * FROM board_drift
   UNION ALL SELECT * FROM board_trend_season)""")
+TWO_BOARDS_SQL = O.with_(
+    *GRID_SQL, O.scaffold(), O.SEASONAL_NAIVE, O.DRIFT,
+    O.dashboard_of("seasonal_naive", RUN, "forecasts"), O.dashboard_of("drift", RUN, "drift"))
 BOARD_COLUMNS = ("SELECT period, series, actualQty, predicted_p10, predicted_p90, model_name, "
                  "run_id, fold, lag, wHist, "
                  + O.rounded("forecastQty, diff, wAbsError", 4))
@@ -531,7 +544,7 @@ def _all_boards(spark, sf_dir):
 
 
 @query(BOARDS_SQL + f"""
-SELECT model_name, run_id, fold, floor(w * 1e6 + 0.5017e0) / 1e6 AS wMAPE,
+SELECT model_name, run_id, fold, round(w, 6) AS wMAPE,
        CAST(row_number() OVER (PARTITION BY fold ORDER BY w NULLS LAST, model_name) AS INTEGER)
          AS model_rank
 FROM (SELECT model_name, run_id, fold, {O.WMAPE} AS w FROM boards GROUP BY 1, 2, 3)""")
@@ -540,12 +553,12 @@ def model_leaderboard(spark, sf_dir):
 
 
 @query(BOARDS_SQL + f"""
-SELECT model_name, run_id, lag, floor(({O.WMAPE}) * 1e6 + 0.5017e0) / 1e6 AS wMAPE FROM boards GROUP BY 1, 2, 3""")
+SELECT model_name, run_id, lag, round(({O.WMAPE}), 6) AS wMAPE FROM boards GROUP BY 1, 2, 3""")
 def wmape_by_lag(spark, sf_dir):
     return rounded(report.wmape_by_lag(_all_boards(spark, sf_dir)), "wMAPE")
 
 
-@query(BOARDS_SQL + BOARD_COLUMNS + """
+@query(TWO_BOARDS_SQL + BOARD_COLUMNS + """
 FROM (SELECT * FROM board_seasonal_naive UNION ALL SELECT * FROM board_drift)""")
 def dashboard_append(spark, sf_dir):
     path = scratch.scratch_path(spark, "dashboard")
@@ -555,7 +568,7 @@ def dashboard_append(spark, sf_dir):
                    digits=4)
 
 
-@query(BOARDS_SQL + BOARD_COLUMNS + """, percentage_rain
+@query(TWO_BOARDS_SQL + BOARD_COLUMNS + """, percentage_rain
 FROM (SELECT *, CAST(NULL AS DOUBLE) AS percentage_rain FROM board_seasonal_naive
       UNION ALL BY NAME
       SELECT *, """ + O.rain("period") + """ AS percentage_rain FROM board_drift)""")
@@ -576,13 +589,21 @@ def dashboard_union_new_columns(spark, sf_dir):
     return rounded(both, "forecastQty", "diff", "wAbsError", digits=4)
 
 
-@query()
+@query(O.with_(O.PANEL, ROLL, O.SEASONAL_NAIVE, O.scaffold(), O.dashboard("seasonal_naive", "baseline")) + f"""
+, scores AS (SELECT fold, round({O.WMAPE}, 6) AS w FROM dashboard GROUP BY fold)
+SELECT '{RUN}-fold-' || fold AS run_name, k AS name, v AS value FROM (
+  SELECT fold, 'data_frequency' AS k, 'WEEKLY' AS v FROM scores
+  UNION ALL SELECT fold, 'horizon', '{B.ROLLING.horizon}' FROM scores
+  UNION ALL SELECT fold, 'model_type', 'seasonal_naive' FROM scores
+  UNION ALL SELECT fold, 'wMAPE', CAST(CAST(w AS DECIMAL(18, 6)) AS VARCHAR) FROM scores)""")
 def run_log(spark, sf_dir):
     scores = seasonal_naive_wmape(spark, sf_dir).withColumn(
         "run_name", C.fold_run_name(RUN, "fold"))
     params = {"model_type": "seasonal_naive", "horizon": B.ROLLING.horizon,
               "data_frequency": "WEEKLY"}
-    return tables.run_log(scores, "run_name", params, ["wMAPE"])
+    log = tables.run_log(scores, "run_name", params, ["wMAPE"])
+    metrics = F.transform_values("metrics", lambda _, v: v.cast("decimal(18,6)").cast("string"))
+    return log.select("run_name", F.explode(F.map_concat("params", metrics)).alias("name", "value"))
 
 
 # --- regressors ----------------------------------------------------------------------
@@ -630,6 +651,19 @@ def arima_auto_models(spark, sf_dir):
     return auto_arima.coefficients(auto_arima.fit(grid, B.ROLLING.horizon))
 
 
+@query()
+def arima_auto_explain(spark, sf_dir):
+    return rounded(backtest.arima_forecasts(
+        B.origin_panel(spark, sf_dir), B.ROLLING, holiday_regions=["GLOBAL"], max_order=2),
+        *BOUNDS, *COMPONENTS, digits=4)
+
+
+@query()
+def arima_auto_training_info(spark, sf_dir):
+    grid = arima.fold_grid(B.origin_panel(spark, sf_dir), B.ROLLING, holidays=_holidays(spark))
+    return auto_arima.training_info(auto_arima.fit(grid, B.ROLLING.periods()))
+
+
 # --- pooled models -------------------------------------------------------------------
 
 CONTEXT = 20
@@ -639,16 +673,42 @@ EXAMPLES_END = f"DATE '{B.LAST_PERIOD}' + 7"
 @query(O.with_(O.DENSE_ORIGIN, O.window_examples(CONTEXT, B.ROLLING.horizon, EXAMPLES_END))
        + "SELECT * FROM examples")
 def window_examples(spark, sf_dir):
-    panel = P.fill_gaps(B.origin_panel(spark, sf_dir))
-    return pooled.window_examples(panel, CONTEXT, B.ROLLING.horizon,
-                                  known=B.weather(spark, sf_dir)).filter("target IS NOT NULL")
+    panel = cut_lineage(P.fill_gaps(B.origin_panel(spark, sf_dir)), "origins")
+    return pooled.window_examples(
+        panel, CONTEXT, B.ROLLING.periods(),
+        known=B.weather(spark, sf_dir, panel)).filter("target IS NOT NULL")
 
 
 def _pooled(spark, sf_dir, kind):
-    """Pooled forecasts of all origins' series, refitted once a year."""
-    panel = B.origin_panel(spark, sf_dir, regions=True)
+    """Pooled forecasts of all origins' series, refitted for every fold."""
     return pooled.fit_and_forecast(
-        panel, B.YEARLY, kind, CONTEXT, known=_covariates(spark), attributes=["origin_region"])
+        B.origin_panel(spark, sf_dir, regions=True), B.ROLLING, kind, CONTEXT,
+        known=_covariates(spark), attributes=["origin_region"], holidays=_holidays(spark))
+
+
+# What a pooled model forecasts is known without it: every test week of every fold for
+# every series that has a full context before the fold.
+POOLED_SQL = O.with_(O.PANEL, ROLL) + f"""
+SELECT f.fold, s.series, count(*) AS n_rows, min(w.period) AS first_period,
+       max(w.period) AS last_period, 0::BIGINT AS n_missing
+FROM (SELECT origin_name AS series, min(period) AS since FROM panel GROUP BY 1) s
+JOIN folds f ON s.since <= f.test_start_date - 7 * {CONTEXT}
+JOIN (SELECT CAST(unnest(generate_series(DATE '{B.FIRST_PERIOD}', DATE '{B.LAST_PERIOD}'
+        + 7 * {B.ROLLING.horizon}, INTERVAL 7 DAY)) AS DATE) AS period) w
+  ON w.period >= f.test_start_date AND w.period < f.test_end_date
+GROUP BY f.fold, s.series"""
+
+
+def _coverage(forecasts):
+    return forecasts.groupBy("fold", "series").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("period").alias("first_period"),
+        F.max("period").alias("last_period"),
+        F.count_if(F.col("forecast_value").isNull()).alias("n_missing"))
+
+
+@query(POOLED_SQL)
+def global_linear_coverage(spark, sf_dir):
+    return _coverage(_pooled(spark, sf_dir, "dense_encoder"))
 
 
 @query()

@@ -16,8 +16,6 @@ FIRST_PERIOD, LAST_PERIOD = "1995-01-02", "2001-10-29"
 ROLLING = Rolling(FIRST_PERIOD, "2000-01-03", LAST_PERIOD, horizon=10, step=10)
 EARLY = Rolling(FIRST_PERIOD, "1995-07-03", "1995-09-04", horizon=10, step=10)
 OFF_GRID = Rolling(FIRST_PERIOD, "2000-01-07", LAST_PERIOD, horizon=10, step=10)
-# Pooled models are refitted once a year.
-YEARLY = Rolling(FIRST_PERIOD, "2000-01-03", LAST_PERIOD, horizon=10, step=52)
 ATTRIBUTES = ["origin_id", "origin_region", "dest_id", "dest_region"]
 
 
@@ -130,8 +128,10 @@ def rain(period: str | Column) -> Column:
     return (week * 37 + 11) % 101 / F.lit(100.0)
 
 
-def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Calendar of the covariate over the weeks that have trips."""
-    spine = P.period_spine(event_bounds(spark, sf_dir), F.col("first_period"),
-                           F.col("last_period"))
+def weather(spark: SparkSession, sf_dir: str, panel: DataFrame | None = None) -> DataFrame:
+    """Calendar of the covariate over the weeks that have trips; those of a stored panel,
+    where there is one, so that the events are not read again."""
+    bounds = event_bounds(spark, sf_dir) if panel is None else panel.agg(
+        F.min("period").alias("first_period"), F.max("period").alias("last_period"))
+    spine = P.period_spine(bounds, F.col("first_period"), F.col("last_period"))
     return spine.withColumn("percentage_rain", rain("period"))

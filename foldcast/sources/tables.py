@@ -42,6 +42,12 @@ def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     return df.sparkSession.read.parquet(path)
 
 
+def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Replace the partitions that ``df`` has rows of; all others stay."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by).parquet(path))
+
+
 def append_table(df: DataFrame, path: str,
                  partition_by: Sequence[str] = ("model_name", "fold")) -> None:
     """Append rows to a stored table, keeping what earlier runs wrote."""

@@ -100,3 +100,10 @@ def test_daily_scaffold_steps_by_day(spark):
                                   "series string, period date, qty bigint")
     one = Rolling("2020-01-06", "2021-01-01", "2021-01-01", horizon=1)
     assert scaffold.date_scaffold(panel, one, granularity="DAILY").count() == 8
+
+
+def test_fractional_actuals_keep_their_type(spark):
+    panel = spark.createDataFrame([("a", dt.date(2020, 1, 6), 2.5)], "series string, period date, qty double")
+    one = Rolling("2019-01-07", "2020-01-06", "2020-01-06", horizon=1)
+    rows = scaffold.scaffold_actuals(panel, one).orderBy("period").collect()
+    assert [r.qty for r in rows] == [2.5, 0.0]

@@ -231,3 +231,77 @@ def test_arima_backtest_and_publish(spark, tmp_path):
     assert len(runs) == 4 and all(r.metrics["Global_wMAPE"] < 30 for r in runs)
     stored = spark.read.parquet(f"{tmp_path}/evaluation")
     assert stored.count() == result.evaluation.count() == panel.count() * 2
+
+
+@pytest.mark.parametrize("options", [
+    {"max_order": 1}, {"max_order": 2}, {"max_order": 1, "origin": "series_end"}])
+def test_daily_horizons_count_days(spark, options):
+    days = [(name, START + dt.timedelta(days=i), float(10 + i % 7))
+            for name in "ab" for i in range(120)]
+    panel = spark.createDataFrame(days, "series string, period date, qty double")
+    one = Rolling("2018-01-01", "2018-05-01", "2018-05-01", horizon=2)
+    rows = backtest.arima_forecasts(panel, one, granularity="DAILY", **options)
+    assert rows.columns == arima.explain(arima.fit(arima.fold_grid(panel, one))).columns
+    ahead = rows.filter("time_series_type = 'forecast'")
+    assert ahead.select("series", "period").distinct().count() == ahead.count() == 28
+    assert rows.filter("time_series_type = 'history'").count() == 240
+    assert ahead.filter("forecast_value IS NULL OR standard_error IS NULL").count() == 0
+
+
+def test_automatic_explanation_adds_up(spark):
+    rows = backtest.arima_forecasts(panel_of(spark, a=ar1(0.7)), ROLLING, max_order=2)
+    parts = F.col("trend") + F.col("seasonal") + F.col("holiday_effect") + F.col("regressor_effect")
+    known = rows.filter("forecast_value IS NOT NULL")
+    assert known.filter(F.abs(parts - F.col("forecast_value")) > 1e-9).count() == 0
+    fitted = known.filter("time_series_type = 'history'")
+    error = fitted.agg(F.stddev(F.col("time_series_data") - F.col("forecast_value"))).first()[0]
+    assert error < fitted.agg(F.stddev("time_series_data")).first()[0]
+    grid = arima.fold_grid(panel_of(spark, a=ar1(0.7)), ROLLING)
+    info = auto_arima.training_info(auto_arima.fit(grid, 4, max_order=2)).collect()
+    assert len(info) == 2 and all(sum(r.orders.values()) == r.n_series == 1 for r in info)
+
+
+def test_covariates_of_each_series_and_period(spark):
+    rng = np.random.default_rng(5)
+    rows = [(name, START + dt.timedelta(days=7 * i), 50.0 - 3.0 * price, price)
+            for name in "ab" for i in range(170) for price in [float(rng.integers(1, 9))]]
+    panel = spark.createDataFrame(rows, "series string, period date, qty double, price double")
+    got = backtest.arima_forecasts(panel, ROLLING, max_order=1, series_covariates=["price"])
+    ahead = got.filter("time_series_type = 'forecast'").join(
+        panel.select("series", "period", F.col("qty").alias("truth")), ["series", "period"])
+    assert ahead.count() > 0
+    assert ahead.agg(F.max(F.abs(F.col("forecast_value") - F.col("truth")))).first()[0] < 0.2
+
+
+def test_unknown_covariates_keep_lags_regular(spark):
+    full = panel_of(spark, a=range(60), b=range(60)).withColumn("seen", F.col("qty") * 2)
+    sparse = full.filter("qty % 7 != 3")
+    filled = P.fill_gaps(sparse, varying_cols=["seen"])
+    rows = pooled.window_examples(filled, 4, 2, unknown=["seen"]).collect()
+    by_origin = {(r.series, r.origin, r.h): r for r in rows}
+    for r in rows:
+        i = (r.origin - START).days // 7
+        assert r.lag_2 == (0 if (i - 1) % 7 == 3 else i - 1)
+        assert r.seen_at_origin == (None if i % 7 == 3 else 2 * i)
+    assert len(by_origin) == len(rows)
+
+
+def test_evaluation_is_kept_per_run_and_model(spark, tmp_path):
+    panel = panel_of(spark, a=ar1(0.5))
+    for run, model in (("r1", "arima"), ("r1", "other"), ("r2", "arima"), ("r2", "arima")):
+        result = backtest.arima_backtest(panel, ROLLING, run, model, max_order=1)
+        backtest.publish(result, str(tmp_path))
+    stored = spark.read.parquet(f"{tmp_path}/evaluation")
+    counts = {(r.run_id, r.model_name): r["count"]
+              for r in stored.groupBy("run_id", "model_name").count().collect()}
+    assert set(counts) == {("r1", "arima"), ("r1", "other"), ("r2", "arima")}
+    assert len(set(counts.values())) == 1
+
+
+def test_fan_out_uses_the_sessions_partitions(spark):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "77")
+        assert P.spread(panel_of(spark, a=[1.0]), "series").rdd.getNumPartitions() == 77
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
