@@ -155,7 +155,8 @@ def _marked(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFram
 def _with_shingles(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
     """members with the shingles of their class's first document, read again from its text."""
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    joined = members.join(texts, members.rep.eqNullSafe(texts._id)).drop("_id")
+    # dealt by id at every size: a broadcast of the members would only suit small inputs
+    joined = members.hint("merge").join(texts, members.rep.eqNullSafe(texts._id)).drop("_id")
     names = [x for x in joined.columns if x != "_text"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,7 +232,7 @@ def deduplicated(docs: DataFrame, threshold: float = THRESHOLD, words: int = SHI
     found = near_duplicates(docs, threshold, words, id_col, text_col)
     kept = stored(found.where("kept").groupBy(F.col(id_col).alias("_kept")).agg(F.count("*").alias("n")), "kept")
     id_at, text_at = (f"c{docs.columns.index(x)}" for x in (id_col, text_col))
-    out = neutral(docs).join(kept.select("_kept"), F.col(id_at).eqNullSafe(F.col("_kept")), "left_semi")
+    out = neutral(docs).join(kept.select("_kept").hint("merge"), F.col(id_at).eqNullSafe(F.col("_kept")), "left_semi")
     if kept.where("n > 1").limit(1).count():
         out = out.dropDuplicates([id_at, text_at])
     return out.toDF(*docs.columns)
