@@ -24,7 +24,9 @@ HEADLINE = [
     "dashboard_rows", "seasonal_naive_wmape", "eval_rows", "global_wmape", "metric_suite",
     "drift_forecast", "trend_season_forecast", "model_leaderboard", "holiday_effects",
     "arima_closed_form", "arima_coefficients", "explain_forecast", "xreg_one_covariate",
-    "arima_auto", "window_examples", "global_gbt", "global_linear",
+    "xreg_multi", "arima_auto", "arima_auto_models", "lowess_by_series", "evaluated_items",
+    "pooled_dashboard_rows", "dashboard_append", "window_examples", "global_gbt",
+    "global_linear",
 ]
 
 

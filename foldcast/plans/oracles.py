@@ -202,7 +202,7 @@ def with_(*ctes: str) -> str:
 
 
 def rounded(columns: str, digits: int = 6) -> str:
-    return ", ".join(f"round(({c.strip()}), {digits}) AS {c.strip()}" for c in columns.split(","))
+    return ", ".join(f"CAST(round(CAST(({c.strip()}) AS DECIMAL(28, {digits + 4})), {digits}) AS DOUBLE) AS {c.strip()}" for c in columns.split(","))
 
 
 # --- time-series analysis ----------------------------------------------------------------
@@ -275,8 +275,8 @@ robust{i + 1} AS (
               ELSE pow(1 - pow(least(abs(y - fit) / s, 1), 2), 2) END AS r
   FROM fit{i} f JOIN scale{i} s ON f.series = s.series)""")
     parts.append(f"""smooth AS (
-  SELECT series, CAST(x AS INTEGER) AS week_of_year, round((y), 6) AS seasonal,
-         round((fit), 6) AS smoothed FROM fit{iters})""")
+  SELECT series, CAST(x AS INTEGER) AS week_of_year, CAST(round(CAST((y) AS DECIMAL(28, 10)), 6) AS DOUBLE) AS seasonal,
+         CAST(round(CAST((fit) AS DECIMAL(28, 10)), 6) AS DOUBLE) AS smoothed FROM fit{iters})""")
     return ",\n".join(parts)
 
 
@@ -455,17 +455,17 @@ def arima_forecast(confidence: float, lower: float | None = None) -> str:
 
 
 # Engines add floats in different orders; the digits hashed stay clear of that noise.
-MODEL_DIGITS = 4
+MODEL_DIGITS = 6
 BOUNDS_COLUMNS = ("forecast_value, prediction_interval_lower_bound, "
                   "prediction_interval_upper_bound")
 FORECAST = ("SELECT fold, series, period, time_series_type, " + rounded(BOUNDS_COLUMNS, MODEL_DIGITS)
             + " FROM forecasts")
 EXPLAINED = f"""SELECT fold, series, period, time_series_type,
-  round((CASE WHEN time_series_type = 'history' THEN actual ELSE forecast_value END), {MODEL_DIGITS})
+  CAST(round(CAST((CASE WHEN time_series_type = 'history' THEN actual ELSE forecast_value END) AS DECIMAL(28, {MODEL_DIGITS + 4})), {MODEL_DIGITS}) AS DOUBLE)
     AS time_series_data,
   CAST(0.95 AS DOUBLE) AS confidence_level,
-  round((forecast_value - {z_value(0.95)} * standard_error), {MODEL_DIGITS}) AS prediction_interval_lower_bound,
-  round((forecast_value + {z_value(0.95)} * standard_error), {MODEL_DIGITS}) AS prediction_interval_upper_bound,
+  CAST(round(CAST((forecast_value - {z_value(0.95)} * standard_error) AS DECIMAL(28, {MODEL_DIGITS + 4})), {MODEL_DIGITS}) AS DOUBLE) AS prediction_interval_lower_bound,
+  CAST(round(CAST((forecast_value + {z_value(0.95)} * standard_error) AS DECIMAL(28, {MODEL_DIGITS + 4})), {MODEL_DIGITS}) AS DOUBLE) AS prediction_interval_upper_bound,
   """ + rounded("forecast_value, standard_error, trend, seasonal, holiday_effect, "
                 "regressor_effect", MODEL_DIGITS) + " FROM explained"
 

@@ -33,8 +33,9 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
-    """Round for comparison with another engine, whose sums differ in their last bits."""
-    return df.withColumns({c: F.round(F.col(c), digits) for c in columns})
+    """Round for comparison with another engine. Its sums differ in their last bits; these go
+    first, four digits further, so that exact halves fall alike."""
+    return df.withColumns({c: F.round(F.round(F.col(c), digits + 4), digits) for c in columns})
 
 
 FEATURES = ["qty", "percentage_rain", *B.ATTRIBUTES, "series"]
@@ -130,7 +131,7 @@ labelled AS (
          WHEN d >= 182 THEN 4 ELSE 5 END AS INTEGER) AS bucket_rank
   FROM durations)
 SELECT history_category, bucket_rank, count(series) AS number_of_time_series,
-       round((count(series) * 100.0 / (SELECT count(*) FROM labelled)), 6) AS percentage
+       CAST(round(CAST((count(series) * 100.0 / (SELECT count(*) FROM labelled)) AS DECIMAL(28, 10)), 6) AS DOUBLE) AS percentage
 FROM labelled GROUP BY 1, 2 ORDER BY 2""")
 def history_buckets(spark, sf_dir):
     return rounded(profile.history_buckets(B.orders_panel(spark, sf_dir)), "percentage")
@@ -159,8 +160,8 @@ enriched AS (SELECT p.*, w.percentage_rain FROM panel p
              LEFT JOIN weather w ON p.period = w.period)
 """ + "\nUNION ALL ".join(
     f"""SELECT '{c}' AS input, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max,
-  round((avg({c})), 6) AS mean, CAST(median({c}) AS DOUBLE) AS median,
-  round((stddev_samp({c})), 6) AS stddev, CAST(NULL AS BIGINT) AS category_count,
+  CAST(round(CAST((avg({c})) AS DECIMAL(28, 10)), 6) AS DOUBLE) AS mean, CAST(median({c}) AS DOUBLE) AS median,
+  CAST(round(CAST((stddev_samp({c})) AS DECIMAL(28, 10)), 6) AS DOUBLE) AS stddev, CAST(NULL AS BIGINT) AS category_count,
   count(*) - count({c}) AS null_count FROM enriched""" for c in FEATURES[:-1]) + """
 UNION ALL SELECT 'series', NULL, NULL, NULL, NULL, NULL, count(DISTINCT series),
   count(*) - count(series) FROM enriched""")
@@ -245,13 +246,13 @@ def dashboard_rows(spark, sf_dir):
 
 @query(O.with_(O.PANEL, ROLL, O.SEASONAL_NAIVE, O.scaffold(),
                O.dashboard("seasonal_naive", RUN)) + f"""
-SELECT fold, round(({O.WMAPE}), 6) AS wMAPE FROM dashboard GROUP BY fold""")
+SELECT fold, CAST(round(CAST(({O.WMAPE}) AS DECIMAL(28, 10)), 6) AS DOUBLE) AS wMAPE FROM dashboard GROUP BY fold""")
 def seasonal_naive_wmape(spark, sf_dir):
     return rounded(backtest.seasonal_naive_wmape(B.prepared_panel(spark, sf_dir), B.ROLLING), "wMAPE")
 
 
 @query(O.with_(O.PANEL, ROLL, O.SEASONAL_NAIVE, O.eval_rows())
-       + "SELECT * REPLACE (round((wMAPE), 6) AS wMAPE) FROM eval")
+       + "SELECT * REPLACE (CAST(round(CAST((wMAPE) AS DECIMAL(28, 10)), 6) AS DOUBLE) AS wMAPE) FROM eval")
 def eval_rows(spark, sf_dir):
     panel = B.prepared_panel(spark, sf_dir)
     rows = score.eval_rows(panel, baseline.seasonal_naive(panel, B.ROLLING), B.ROLLING)
@@ -259,7 +260,7 @@ def eval_rows(spark, sf_dir):
 
 
 @query(O.with_(O.PANEL, ROLL, O.SEASONAL_NAIVE, O.eval_rows()) + f"""
-SELECT fold, round(({O.WMAPE}), 6) AS wMAPE FROM eval
+SELECT fold, CAST(round(CAST(({O.WMAPE}) AS DECIMAL(28, 10)), 6) AS DOUBLE) AS wMAPE FROM eval
 WHERE period >= test_start_date AND period < test_end_date AND time_series_type = 'forecast'
 GROUP BY fold""")
 def global_wmape(spark, sf_dir):
@@ -270,7 +271,7 @@ def global_wmape(spark, sf_dir):
 
 
 @query(O.with_(O.PANEL, O.folds(B.EARLY), O.SEASONAL_NAIVE, O.eval_rows()) + f"""
-SELECT fold, round(({O.WMAPE}), 6) AS wMAPE FROM eval
+SELECT fold, CAST(round(CAST(({O.WMAPE}) AS DECIMAL(28, 10)), 6) AS DOUBLE) AS wMAPE FROM eval
 WHERE period >= test_start_date AND period < test_end_date
   AND (time_series_type = 'forecast' OR time_series_type IS NULL)
 GROUP BY fold""")
@@ -370,7 +371,7 @@ def seasonal_decompose_zero_replaced(spark, sf_dir):
 
 
 @query(O.with_(O.TOTAL, O.decompose(), O.TYPICAL) + """
-SELECT series, week_of_year, round((seasonal), 6) AS seasonal FROM profile""")
+SELECT series, week_of_year, CAST(round(CAST((seasonal) AS DECIMAL(28, 10)), 6) AS DOUBLE) AS seasonal FROM profile""")
 def typical_seasonality(spark, sf_dir):
     return rounded(_profile(B.total_panel(spark, sf_dir)), "seasonal")
 
@@ -408,7 +409,7 @@ def holiday_calendar(spark, sf_dir):
 
 @query(O.with_(O.DENSE_ORIGIN, O.decompose(), O.BOUNDS,
                O.holidays("first_period", "last_period", "bounds")) + """
-SELECT d.series, h.holiday, round((avg(qty / nullif(trend, 0))), 6) AS holiday_effect,
+SELECT d.series, h.holiday, CAST(round(CAST((avg(qty / nullif(trend, 0))) AS DECIMAL(28, 10)), 6) AS DOUBLE) AS holiday_effect,
        count(trend) AS n_periods
 FROM decomposed d JOIN (SELECT DISTINCT period, holiday FROM holidays) h ON d.period = h.period
 GROUP BY 1, 2""")
@@ -442,17 +443,17 @@ def _arima(spark, sf_dir, panel=None):
 
 @query(ARIMA_SQL + ", " + O.arima_forecast(0.9) + O.FORECAST)
 def arima_closed_form(spark, sf_dir):
-    return rounded(arima.forecast(_arima(spark, sf_dir), 0.9), *BOUNDS, digits=4)
+    return rounded(arima.forecast(_arima(spark, sf_dir), 0.9), *BOUNDS, digits=6)
 
 
 @query(ARIMA_SQL + ", " + O.arima_forecast(0.9, lower=0.5) + O.FORECAST)
 def forecast_limits(spark, sf_dir):
-    return rounded(arima.forecast(_arima(spark, sf_dir), 0.9, lower=0.5), *BOUNDS, digits=4)
+    return rounded(arima.forecast(_arima(spark, sf_dir), 0.9, lower=0.5), *BOUNDS, digits=6)
 
 
 @query(ARIMA_SQL + O.EXPLAINED)
 def explain_forecast(spark, sf_dir):
-    return rounded(arima.explain(_arima(spark, sf_dir)), *BOUNDS, *COMPONENTS, digits=4)
+    return rounded(arima.explain(_arima(spark, sf_dir)), *BOUNDS, *COMPONENTS, digits=6)
 
 
 @query(ARIMA_SQL + O.EXPLAINED + f""" WHERE series = '{ONE_SERIES}' AND fold = 3
@@ -465,20 +466,20 @@ def explain_one_series(spark, sf_dir):
 
 @query(ARIMA_SQL + """
 SELECT fold, series, p, d, CAST(0 AS INTEGER) AS q, n AS n_rows,
-       CASE WHEN p = 1 THEN round((phi), 4) END AS ar_1, round((c), 4) AS intercept_or_drift,
-       round((coalesce(sse / nullif(m, 0), 0.0)), 4) AS variance, """
-       + O.rounded("sse, aic, kpss", 4) + " FROM models")
+       CASE WHEN p = 1 THEN CAST(round(CAST((phi) AS DECIMAL(28, 10)), 6) AS DOUBLE) END AS ar_1, CAST(round(CAST((c) AS DECIMAL(28, 10)), 6) AS DOUBLE) AS intercept_or_drift,
+       CAST(round(CAST((coalesce(sse / nullif(m, 0), 0.0)) AS DECIMAL(28, 10)), 6) AS DOUBLE) AS variance, """
+       + O.rounded("sse, aic, kpss", 6) + " FROM models")
 def arima_coefficients(spark, sf_dir):
     models = arima.coefficients(_arima(spark, sf_dir))
     flat = models.withColumn("ar_1", F.get("ar_coefficients", F.lit(0))).drop(
         "ar_coefficients", "ma_coefficients")
     return rounded(flat, "ar_1", "intercept_or_drift", "variance", "sse", "aic", "kpss",
-                   digits=4)
+                   digits=6)
 
 
 @query(ARIMA_SQL + """
-SELECT fold, count(*) AS n_series, CAST(sum(n) AS BIGINT) AS n_rows, round((sum(sse)), 4) AS sse,
-       round((avg(aic)), 4) AS mean_aic,
+SELECT fold, count(*) AS n_series, CAST(sum(n) AS BIGINT) AS n_rows, CAST(round(CAST((sum(sse)) AS DECIMAL(28, 8)), 4) AS DOUBLE) AS sse,
+       CAST(round(CAST((avg(aic)) AS DECIMAL(28, 8)), 4) AS DOUBLE) AS mean_aic,
        count(*) FILTER (p = 0 AND d = 0) AS n_order_0_0_0,
        count(*) FILTER (p = 1 AND d = 0) AS n_order_1_0_0,
        count(*) FILTER (p = 0 AND d = 1) AS n_order_0_1_0,
@@ -493,20 +494,20 @@ def training_info(spark, sf_dir):
 
 GRID_SQL = [O.PANEL, ROLL, O.NO_HOLIDAYS, O.arima_grid(B.ROLLING)]
 R3_SQL = O.arima().split("he AS (")[0].rstrip(",\n ")
-PLAIN = "SELECT fold, series, period, time_series_type, round((forecast_value), 4) AS " \
+PLAIN = "SELECT fold, series, period, time_series_type, CAST(round(CAST((forecast_value) AS DECIMAL(28, 10)), 6) AS DOUBLE) AS " \
     "forecast_value, prediction_interval_lower_bound, prediction_interval_upper_bound FROM "
 
 
 @query(O.with_(*GRID_SQL, O.DRIFT) + PLAIN + "drift")
 def drift_forecast(spark, sf_dir):
     return rounded(baseline.drift(B.core_panel(spark, sf_dir), B.ROLLING), "forecast_value",
-                   digits=4)
+                   digits=6)
 
 
 @query(O.with_(*GRID_SQL, R3_SQL, O.TREND_SEASON) + PLAIN + "trend_season")
 def trend_season_forecast(spark, sf_dir):
     return rounded(baseline.trend_season(B.core_panel(spark, sf_dir), B.ROLLING),
-                   "forecast_value", digits=4)
+                   "forecast_value", digits=6)
 
 
 BOARDS_SQL = O.with_(
@@ -520,7 +521,7 @@ TWO_BOARDS_SQL = O.with_(
     O.dashboard_of("seasonal_naive", RUN, "forecasts"), O.dashboard_of("drift", RUN, "drift"))
 BOARD_COLUMNS = ("SELECT period, series, actualQty, predicted_p10, predicted_p90, model_name, "
                  "run_id, fold, lag, wHist, "
-                 + O.rounded("forecastQty, diff, wAbsError", 4))
+                 + O.rounded("forecastQty, diff, wAbsError", 6))
 
 
 def _baselines(panel):
@@ -544,7 +545,7 @@ def _all_boards(spark, sf_dir):
 
 
 @query(BOARDS_SQL + f"""
-SELECT model_name, run_id, fold, round(w, 6) AS wMAPE,
+SELECT model_name, run_id, fold, CAST(round(CAST(w AS DECIMAL(28, 10)), 6) AS DOUBLE) AS wMAPE,
        CAST(row_number() OVER (PARTITION BY fold ORDER BY w NULLS LAST, model_name) AS INTEGER)
          AS model_rank
 FROM (SELECT model_name, run_id, fold, {O.WMAPE} AS w FROM boards GROUP BY 1, 2, 3)""")
@@ -553,7 +554,7 @@ def model_leaderboard(spark, sf_dir):
 
 
 @query(BOARDS_SQL + f"""
-SELECT model_name, run_id, lag, round(({O.WMAPE}), 6) AS wMAPE FROM boards GROUP BY 1, 2, 3""")
+SELECT model_name, run_id, lag, CAST(round(CAST(({O.WMAPE}) AS DECIMAL(28, 10)), 6) AS DOUBLE) AS wMAPE FROM boards GROUP BY 1, 2, 3""")
 def wmape_by_lag(spark, sf_dir):
     return rounded(report.wmape_by_lag(_all_boards(spark, sf_dir)), "wMAPE")
 
@@ -565,7 +566,7 @@ def dashboard_append(spark, sf_dir):
     for rows in _two_boards(spark, sf_dir):
         tables.append_table(rows, path)
     return rounded(tables.read_appended(spark, path), "forecastQty", "diff", "wAbsError",
-                   digits=4)
+                   digits=6)
 
 
 @query(TWO_BOARDS_SQL + BOARD_COLUMNS + """, percentage_rain
@@ -578,7 +579,7 @@ def dashboard_merge_schema(spark, sf_dir):
     tables.append_table(first, path)
     tables.append_table(second.withColumn("percentage_rain", B.rain("period")), path)
     return rounded(tables.read_appended(spark, path), "forecastQty", "diff", "wAbsError",
-                   digits=4)
+                   digits=6)
 
 
 @query(ORACLES["dashboard_merge_schema"])
@@ -586,7 +587,7 @@ def dashboard_union_new_columns(spark, sf_dir):
     first, second = _two_boards(spark, sf_dir)
     both = tables.union_allow_new_columns(
         first, second.withColumn("percentage_rain", B.rain("period")))
-    return rounded(both, "forecastQty", "diff", "wAbsError", digits=4)
+    return rounded(both, "forecastQty", "diff", "wAbsError", digits=6)
 
 
 @query(O.with_(O.PANEL, ROLL, O.SEASONAL_NAIVE, O.scaffold(), O.dashboard("seasonal_naive", "baseline")) + f"""
@@ -623,7 +624,7 @@ def xreg_one_covariate(spark, sf_dir):
     grid = arima.fold_grid(B.core_panel(spark, sf_dir), B.ROLLING, _covariates(spark),
                            ["percentage_rain"], _holidays(spark))
     fitted = arima.fit(xreg.remove_one(grid, "percentage_rain"))
-    return rounded(arima.forecast(fitted, 0.9), *BOUNDS, digits=4)
+    return rounded(arima.forecast(fitted, 0.9), *BOUNDS, digits=6)
 
 
 # Attributes are constant within a series, so the intercept absorbs them and the twin of
@@ -633,7 +634,7 @@ def xreg_multi(spark, sf_dir):
     grid = arima.fold_grid(B.weekly_panel(spark, sf_dir), B.ROLLING, _covariates(spark),
                            ["percentage_rain"], _holidays(spark), attributes=B.ATTRIBUTES)
     fitted = arima.fit(xreg.remove_many(grid, ["percentage_rain", *B.ATTRIBUTES]))
-    return rounded(arima.forecast(fitted, 0.9), *BOUNDS, digits=4)
+    return rounded(arima.forecast(fitted, 0.9), *BOUNDS, digits=6)
 
 
 # --- automatic orders ----------------------------------------------------------------
@@ -642,7 +643,7 @@ def xreg_multi(spark, sf_dir):
 def arima_auto(spark, sf_dir):
     grid = arima.fold_grid(B.core_panel(spark, sf_dir), B.ROLLING, holidays=_holidays(spark))
     models = auto_arima.fit(grid, B.ROLLING.horizon)
-    return rounded(auto_arima.forecast(models, 0.9), *BOUNDS, "standard_error", digits=4)
+    return rounded(auto_arima.forecast(models, 0.9), *BOUNDS, "standard_error", digits=6)
 
 
 @query()
@@ -655,7 +656,7 @@ def arima_auto_models(spark, sf_dir):
 def arima_auto_explain(spark, sf_dir):
     return rounded(backtest.arima_forecasts(
         B.origin_panel(spark, sf_dir), B.ROLLING, holiday_regions=["GLOBAL"], max_order=2),
-        *BOUNDS, *COMPONENTS, digits=4)
+        *BOUNDS, *COMPONENTS, digits=6)
 
 
 @query()
