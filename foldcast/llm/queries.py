@@ -35,7 +35,7 @@ def op4_embedding_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op5_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+    return without_repeats(table(spark, sf_dir, "documents"), keep=False)
 
 
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,4 +72,40 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality": op10_quality,
 }
 
-ORACLES: dict[str, str] = {}
+WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLES: dict[str, str] = {
+    "op4_embedding_near_duplicates": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+    ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95),
+reach(vec_id, other) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON r.other = l.a),
+counted AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT r.vec_id, coalesce(any_value(c.n), 0) AS n_links, min(r.other) AS component_id, min(r.other) = r.vec_id AS kept
+FROM reach r LEFT JOIN counted c ON c.vec_id = r.vec_id GROUP BY r.vec_id""",
+    "op9_decontamination": f"""
+WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents),
+i AS (SELECT item_id, w, least(10, len(w)) AS m FROM (SELECT item_id, {WORDS} AS w FROM benchmark)),
+windows AS (
+  SELECT DISTINCT item_id, m, w[k : k + m - 1] AS x
+  FROM (SELECT item_id, m, w, unnest(range(1, len(w) - m + 2)) AS k FROM i WHERE m > 0)),
+places AS (
+  SELECT doc_id, m, k, w[k : k + m - 1] AS x
+  FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS k
+        FROM d JOIN (SELECT DISTINCT m FROM windows) ON len(w) >= m)),
+found AS (SELECT p.doc_id, p.k, p.m, v.item_id FROM places p JOIN windows v ON p.m = v.m AND p.x = v.x),
+hits AS (
+  SELECT doc_id, count(DISTINCT place) AS n_hit
+  FROM (SELECT doc_id, unnest(range(k, k + m)) AS place FROM found) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)""",
+}
