@@ -222,7 +222,7 @@ def test_stretches_of_long_texts_do_not_change_the_result(spark, monkeypatch):
     for d in data:
         covered = np.zeros(len(d), bool)
         for a, b in suffixes.stretches(len(d)):
-            first, last, _, _ = suffixes.runs(d[a:b])
+            first, last, *_ = suffixes.runs(d[a:b])
             for x, y in zip(first, last, strict=True):
                 covered[a + x : a + y + 1] = True
         assert covered.sum() == max(0, len(d) - 399)
