@@ -8,6 +8,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
@@ -25,6 +26,8 @@ BATCH_STRINGS = 20_000
 FAMILY_STRINGS = 60_000
 #: Different runs with one anchor, beyond which the anchor's strings are counted one by one instead of sorted in one task.
 SPLIT_RUNS = 256
+#: String starts, counted from the anchor, that make a cell, step by step.
+CELLS = (42, 6, 1)
 _RANDOM = np.random.default_rng(400)
 _BYTE = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x5851F42D4C957F2D
@@ -54,13 +57,13 @@ def span_hash(sums: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarra
 
 
 def runs(data: np.ndarray, length: int = LENGTH, anchor: int = ANCHOR) -> tuple[np.ndarray, ...]:
-    """Maximal runs of string starts with one anchor: first and last start, hash of the anchor, hash of the run's bytes.
+    """Maximal runs of string starts with one anchor: first and last start, hash of the anchor, hash of the run's bytes, place of the anchor.
 
     Equal strings have equal anchors at equal places, wherever they are; how runs are cut does not matter for that.
     """
     n = len(data)
     if n < length:
-        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.uint64, np.uint64))
+        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.uint64, np.uint64, np.int64))
     words = np.ndarray((n - 7,), "<u8", np.ascontiguousarray(data), strides=(1,)).copy()
     words *= np.uint64(0x9E3779B97F4A7C15)
     words ^= words >> np.uint64(29)
@@ -81,7 +84,7 @@ def runs(data: np.ndarray, length: int = LENGTH, anchor: int = ANCHOR) -> tuple[
     last = np.concatenate([first[1:] - 1, [len(place) - 1]])
     at = place[first]
     content = mix(span_hash(rolling(data), first, last + length) ^ (at - first).astype(np.uint64))
-    return first, last, h[at], content
+    return first, last, h[at], content, at
 
 
 def stretches(size: int, length: int = LENGTH) -> Iterator[tuple[int, int]]:
@@ -143,7 +146,7 @@ def _anchored(docs: DataFrame, text_col: str) -> DataFrame:
             for row in range(len(begins) - 1):
                 whole = flat[begins[row] : begins[row + 1]]
                 for a, b in stretches(len(whole)):
-                    first, last, anchor, content = runs(whole[a:b])
+                    first, last, anchor, content, _ = runs(whole[a:b])
                     parts.append((anchor.view(np.int64), content.view(np.int64), np.full(len(first), texts[row]), first + a, last + a))
                     size += len(first)
                     if size > 50_000:
@@ -176,9 +179,8 @@ def _unpacked(blob: bytes) -> np.ndarray:
 def _cut_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of the wanted runs of each text."""
     for batch in batches:
-        packed, wanted = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        for text, blob, runs_ in zip(batch.column(2).to_pylist(), packed, wanted, strict=True):
-            data = _unpacked(blob)
+        for k, text in enumerate(batch.column(2).to_pylist()):
+            data, runs_ = _unpacked(batch.column(0)[k].as_py()), batch.column(1)[k].as_py()
             for at in range(0, len(runs_), 2000):
                 rows = [{**x, "text": text, "bytes": data[x["first"] : x["last"] + LENGTH].tobytes()} for x in runs_[at : at + 2000]]
                 yield pa.RecordBatch.from_pylist(rows, pa.schema([("anchor", pa.int64()), ("run", pa.int64()), ("first", pa.int64()), ("last", pa.int64()), ("many", pa.bool_()), ("text", pa.int64()), ("bytes", pa.binary())]))
@@ -237,18 +239,38 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _one_by_one(runs_: DataFrame) -> DataFrame:
-    """The same for anchors with many different runs: strings by their hashes, counted before the shuffle."""
+    """The same for anchors with many different runs, which no task could hold together.
+
+    Strings whose anchors stand at like places make a cell and share a core of bytes; only where the core occurs again
+    can they. Cells narrow in steps to single strings, whose core is the string. Counts combine before the shuffle.
+    """
+    cells = runs_.select("text", F.col("first").alias("begin"), F.lit(-1).cast("bigint").alias("at"), "bytes")
+    for size in CELLS:
+        cells = stored(cells.mapInArrow(_narrowed(size), "core bigint, text bigint, begin bigint, at bigint, bytes binary").dropDuplicates(["core", "text", "begin"]), "cells")
+        shared = cells.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core")
+        cells = cells.join(shared, "core").select("text", "begin", "at", "bytes")
+    return cells.select("text", "begin", (F.col("begin") + LENGTH).alias("end"))
+
+
+def _narrowed(size: int):
+    schema = pa.schema([("core", pa.int64()), ("text", pa.int64()), ("begin", pa.int64()), ("at", pa.int64()), ("bytes", pa.binary())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                data = np.frombuffer(row["bytes"], np.uint8)
-                at = np.arange(len(data) - LENGTH + 1)
-                yield pa.RecordBatch.from_arrays([pa.array(span_hash(rolling(data), at, at + LENGTH).view(np.int64)), pa.array(np.full(len(at), row["text"])), pa.array(at + row["first"])], names=["string", "text", "begin"])
-
-    strings = runs_.mapInArrow(cut, "string bigint, text bigint, begin bigint").distinct()
-    again = strings.groupBy("string").agg(F.count("*").alias("n")).where("n > 1").select("string")
-    return strings.join(again, "string").select("text", "begin", (F.col("begin") + LENGTH).alias("end"))
+            for part in range(0, batch.num_rows, 500):
+                rows = []
+                for row in batch.slice(part, 500).to_pylist():
+                    data = np.frombuffer(row["bytes"], np.uint8)
+                    at = row["at"] if row["at"] >= 0 else int(runs(data)[4][0])  # where the anchor stands
+                    last = len(data) - LENGTH
+                    cell = np.arange((at - last) // size, at // size + 1)
+                    begin = at - cell * size  # of the core: the last start that the cell has
+                    core = mix(span_hash(rolling(data), begin, begin + LENGTH - size + 1) + cell.astype(np.uint64)).view(np.int64)
+                    for a, b, c in zip(np.maximum(begin - size + 1, 0).tolist(), np.minimum(begin, last).tolist(), core.tolist(), strict=True):
+                        rows.append({"core": c, "text": row["text"], "begin": row["begin"] + a, "at": at - a, "bytes": row["bytes"][a : b + LENGTH]})
+                yield pa.RecordBatch.from_pylist(rows, schema)
+
+    return cut
 
 
 def covered_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -269,8 +291,8 @@ def covered_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return whole.union(few).union(_one_by_one(found.where("many"))).distinct()
 
 
-def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_bytes, n_removed, n_spans and kept_sha256 of every row, and `kept`, the remaining bytes.
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: bool = True) -> DataFrame:
+    """id, n_bytes, n_removed, n_spans and kept_sha256 of every row, and with keep also `kept`, the remaining bytes.
 
     A byte goes if a string of LENGTH bytes that covers it starts anywhere else too, in the same text or another.
     Null texts are empty; empty and shorter texts stay; repeated rows are copies, so all of a long one goes; other
@@ -289,21 +311,25 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, removed, count, sums, rest = [], [], [], [], []
-            for blob, spans_ in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                data = _unpacked(blob)
-                edge = np.zeros(len(data) + 1, np.int64)
-                for x in spans_ or ():
-                    edge[x["begin"]] += 1
-                    edge[x["end"]] -= 1
+            listed = pc.list_value_length(batch.column(2)).fill_null(0).to_numpy()
+            upto = np.cumsum(listed)
+            flat = batch.column(2).flatten()
+            begins, ends = (flat.field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            for k in range(batch.num_rows):
+                data, own = _unpacked(batch.column(1)[k].as_py()), slice(upto[k] - listed[k], upto[k])
+                edge = np.bincount(begins[own], minlength=len(data) + 1) - np.bincount(ends[own], minlength=len(data) + 1)
                 gone = np.cumsum(edge[:-1]) > 0
                 kept = data[~gone].tobytes()
                 sizes.append(len(data))
                 removed.append(int(gone.sum()))
                 count.append(int((gone[1:] & ~gone[:-1]).sum() + (len(gone) and gone[0])))
                 sums.append(hashlib.sha256(kept).hexdigest())
-                rest.append(kept)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(count, pa.int64()), pa.array(sums, pa.string()), pa.array(rest, pa.binary())], names=[id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+                if keep:
+                    rest.append(kept)
+            columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(count, pa.int64()), pa.array(sums, pa.string())]
+            names = [id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+            yield pa.RecordBatch.from_arrays([*columns, *([pa.array(rest, pa.binary())] * keep)], names=[*names, *(["kept"] * keep)])
 
     joined = _packed(docs, [id_col], text_col).join(by_text, "text", "left").select(id_col, "packed", "spans")
     kind = docs.schema[id_col].dataType.simpleString()
-    return joined.mapInArrow(remove, f"`{id_col}` {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
+    return joined.mapInArrow(remove, f"`{id_col}` {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept binary" * keep)
