@@ -245,15 +245,21 @@ def _one_by_one(runs_: DataFrame) -> DataFrame:
     can they. Cells narrow in steps to single strings, whose core is the string. Counts combine before the shuffle.
     """
     cells = runs_.select("text", F.col("first").alias("begin"), F.lit(-1).cast("bigint").alias("at"), "bytes")
+    covered = None
     for size in CELLS:
-        cells = stored(cells.mapInArrow(_narrowed(size), "core bigint, text bigint, begin bigint, at bigint, bytes binary").dropDuplicates(["core", "text", "begin"]), "cells")
-        shared = cells.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core")
-        cells = cells.join(shared, "core").select("text", "begin", "at", "bytes")
-    return cells.select("text", "begin", (F.col("begin") + LENGTH).alias("end"))
+        cells = stored(cells.mapInArrow(_narrowed(size), "core bigint, whole bigint, text bigint, begin bigint, at bigint, bytes binary").dropDuplicates(["core", "text", "begin"]), "cells")
+        kinds = cells.groupBy("core", "whole").agg(F.count("*").alias("n"), F.min(F.struct("text", "begin")).alias("one"))
+        again = kinds.groupBy("core").agg(F.sum("n").alias("all")).where("all > 1").select("core")
+        cells = cells.join(kinds.join(again, "core"), ["core", "whole"])
+        # cells that are equal as a whole are covered; one of them stays, to be compared with others
+        equal = cells.where("n > 1").select("text", "begin", (F.col("begin") + F.length("bytes")).alias("end"))
+        covered = equal if covered is None else covered.union(equal)
+        cells = cells.where((F.col("n") == 1) | (F.struct("text", "begin") == F.col("one"))).select("text", "begin", "at", "bytes")
+    return covered
 
 
 def _narrowed(size: int):
-    schema = pa.schema([("core", pa.int64()), ("text", pa.int64()), ("begin", pa.int64()), ("at", pa.int64()), ("bytes", pa.binary())])
+    schema = pa.schema([("core", pa.int64()), ("whole", pa.int64()), ("text", pa.int64()), ("begin", pa.int64()), ("at", pa.int64()), ("bytes", pa.binary())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -265,9 +271,11 @@ def _narrowed(size: int):
                     last = len(data) - LENGTH
                     cell = np.arange((at - last) // size, at // size + 1)
                     begin = at - cell * size  # of the core: the last start that the cell has
-                    core = mix(span_hash(rolling(data), begin, begin + LENGTH - size + 1) + cell.astype(np.uint64)).view(np.int64)
-                    for a, b, c in zip(np.maximum(begin - size + 1, 0).tolist(), np.minimum(begin, last).tolist(), core.tolist(), strict=True):
-                        rows.append({"core": c, "text": row["text"], "begin": row["begin"] + a, "at": at - a, "bytes": row["bytes"][a : b + LENGTH]})
+                    sums, low, high = rolling(data), np.maximum(begin - size + 1, 0), np.minimum(begin, last)
+                    core = mix(span_hash(sums, begin, begin + LENGTH - size + 1) + cell.astype(np.uint64)).view(np.int64)
+                    whole = mix(span_hash(sums, low, high + LENGTH) + (at - low).astype(np.uint64)).view(np.int64)
+                    for a, b, c, w in zip(low.tolist(), high.tolist(), core.tolist(), whole.tolist(), strict=True):
+                        rows.append({"core": c, "whole": w, "text": row["text"], "begin": row["begin"] + a, "at": at - a, "bytes": row["bytes"][a : b + LENGTH]})
                 yield pa.RecordBatch.from_pylist(rows, schema)
 
     return cut
