@@ -22,7 +22,7 @@ def shingle_sets(flat: np.ndarray, begins: np.ndarray, words: int = SHINGLE_WORD
     step = np.uint64(0x9E3779B97F4A7C15)
     n = len(hashes)
     rolled = np.zeros(n, np.uint64)
-    for k in range(words):
+    for k in range(min(words, n)):
         rolled[: n - k] = rolled[: n - k] * step + hashes[k:]
         if k:
             rolled[n - k :] = 0

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from foldcast.llm import decontamination, embeddings, jaccard, packing, pii, quality, suffixes, toxicity, wavelet
 from foldcast.llm.common import neutral, picked
+from foldcast.llm.shingles import shingle_sets
 from foldcast.llm.token_counts import token_counts
 
 WORDS = "alpha beta gamma delta épsilon zeta eta theta iota kappa lambda mu nu xi omikron pi rho sigma tau".split()
@@ -134,6 +135,16 @@ def test_jaccard_links_and_classes(docs, empty):
     assert {r.doc_id for r in kept.collect()} >= {1, 2, 3, 5, 402}
 
 
+@pytest.mark.parametrize("words", [0, 1, 2, 3, 4, 5, 6])
+def test_shingles_of_a_table_with_one_short_text(spark, words):
+    text = " ".join(WORDS[:words])
+    sets = shingle_sets(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text.encode())]))
+    assert [len(x) for x in sets] == [len(shingles(text))]
+    if 1 <= words <= 4:
+        df = spark.createDataFrame([(7, text)], "doc_id long, text string")
+        assert rows_of(jaccard.near_duplicates(df), "doc_id", "class_id", "n_links", "kept") == [(7, 7, 0, True)]
+
+
 def test_jaccard_tiles_of_a_large_group(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "TILE_TEXTS", 16)
     r = random.Random(9)
