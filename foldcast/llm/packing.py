@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foldcast.llm.common import picked
+from foldcast.llm.token_counts import token_counts
 
 #: Rows that are packed together. More rows a shard fill bins a little better; the memory of a task is bound by it.
 SHARD_ROWS = 4096
@@ -81,18 +82,25 @@ def normal_text_key(text_col: str = "text") -> Column:
     return F.when(plain != "", F.md5(plain))
 
 
-def best_fit(docs: DataFrame, capacity: int = 2048, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", length: Callable[[str], Column] = approximate_tokens, cluster: Callable[[str], Column] = normal_text_key) -> DataFrame:
+def best_fit(docs: DataFrame, capacity: int = 2048, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", length: Callable[[str], Column] = approximate_tokens, cluster: Callable[[str], Column] = normal_text_key, vocabulary: str | None = None) -> DataFrame:
     """id, piece, bin_id, bin_offset and length of every piece of every document.
 
     A document longer than the capacity is cut into full pieces, each a bin of its own, and a rest. A bin never
     holds two documents of one source or of one cluster (null: no conflict). Documents are dealt to shards of
     about SHARD_ROWS rows by a hash of id, so hot sources and clusters are spread, and bins do not cross shards.
+    With a vocabulary, lengths are its token counts (those of `token_counts`), so a bin holds at most `capacity` tokens;
+    without one they are what `length` makes of the text, by default a guess that real counts exceed.
     Null and empty texts are items of length 0 with a row of their own; repeated ids and rows are packed one by one;
     an empty table gives no rows; other columns are ignored.
     """
     docs = picked(docs, *dict.fromkeys([id_col, source_col, text_col]))
     shards = max(1, -(-docs.select(id_col).count() // SHARD_ROWS))
-    items = docs.select(F.col(id_col).alias("doc"), F.col(source_col).cast("string").alias("source"), cluster(text_col).alias("cluster"), length(text_col).alias("length"))
+    marks = [F.col(id_col).alias("doc"), F.col(source_col).cast("string").alias("source"), cluster(text_col).alias("cluster")]
+    if vocabulary is None:
+        items = docs.select(*marks, length(text_col).alias("length"))
+    else:
+        counted = token_counts(docs.select(F.struct(*marks).alias("item"), F.col(text_col).alias("text")), vocabulary, id_col="item")
+        items = counted.select("item.*", F.col("n_tokens").alias("length"))
     items = items.withColumn("shard", F.pmod(F.xxhash64("doc", "cluster"), F.lit(shards)))
 
     def pack(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:

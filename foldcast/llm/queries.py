@@ -27,7 +27,7 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return best_fit(table(spark, sf_dir, "documents"))
+    return best_fit(table(spark, sf_dir, "documents"), vocabulary=public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op4_embedding_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -99,6 +99,36 @@ def test_packing_is_whole_tight_and_free_of_conflicts(docs, empty):
     assert packing.best_fit(empty).count() == 0
 
 
+def test_packing_by_tokens_fills_bins_with_counted_tokens(spark, docs, empty):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    want = Counter()
+    for i, t in corpus():
+        want[i] += len(library.encode(t or "", add_special_tokens=False).ids)
+    rows = packing.best_fit(docs, capacity=200, vocabulary=path).collect()
+    length, bins = Counter(), Counter()
+    for r in rows:
+        length[r.doc_id] += r.length
+        bins[r.bin_id] += r.length
+    assert length == want and max(bins.values()) <= 200
+    assert packing.best_fit(empty, vocabulary=path).count() == 0
+
+
+def test_registered_packing_and_the_stage_count_tokens(spark):
+    import corpus_pipeline
+    from foldcast.llm import queries
+
+    sf = "/root/testdata/sf0.001"
+    table = spark.read.parquet(f"{sf}/documents.parquet")
+    counts = {r.doc_id: r.n_tokens for r in token_counts(table, public_tokenizers.path("byte_bpe_50k.json")).collect()}
+    for found in (queries.op3_best_fit_packing(spark, sf), corpus_pipeline.packing_stage(spark, table, sf)):
+        packed = found.toPandas()
+        assert packed.groupby("doc_id").length.sum().to_dict() == counts
+        assert packed.groupby("bin_id").length.sum().max() <= 2048
+
+
 def test_best_fit_takes_the_tightest_compatible_bin():
     bins = packing.Bins(10)
     assert bins.place(6, 1, 0) == (0, 0) and bins.place(7, 2, 0) == (1, 0)
