@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from foldcast.llm import decontamination, embeddings, wavelet
 from foldcast.llm.common import table
-from foldcast.llm.jaccard import near_duplicates
+from foldcast.llm.jaccard import THRESHOLD, near_duplicates
 from foldcast.llm.packing import best_fit
 from foldcast.llm.pii import personal_data
 from foldcast.llm.quality import quality
@@ -27,7 +27,7 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return best_fit(table(spark, sf_dir, "documents"), vocabulary=public_tokenizers.path("byte_bpe_50k.json"))
+    return best_fit(table(spark, sf_dir, "documents"), vocabulary=public_tokenizers.path("byte_bpe_50k.json"), near=THRESHOLD)
 
 
 def op4_embedding_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

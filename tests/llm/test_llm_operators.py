@@ -116,6 +116,24 @@ def test_packing_by_tokens_fills_bins_with_counted_tokens(spark, docs, empty):
     assert packing.best_fit(empty, vocabulary=path).count() == 0
 
 
+def test_packing_keeps_near_copies_apart(spark):
+    r = random.Random(3)
+    base = [prose(r, 60) for _ in range(4)]
+    texts = [b + f" end{k}" for b in base for k in range(5)] + ["!!!", "! !!"]
+    ids = [None, None, *range(2, 20), 1, 1]
+    df = spark.createDataFrame([(i, f"s{k}", t) for k, (i, t) in enumerate(zip(ids, texts, strict=True))], "doc_id long, source string, text string")
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rows = packing.best_fit(df, vocabulary=path, near=0.8).collect()
+    assert len(rows) == len(texts)
+    bins = {}
+    for row in rows:
+        bins.setdefault(row.bin_id, []).append(-1 if row.doc_id is None else 4 if row.doc_id == 1 else row.doc_id // 5)
+    for members in bins.values():
+        members = [0 if k == -1 else k for k in members]
+        assert len(set(members)) == len(members)
+    assert len(bins) == 5 and len({r.bin_id for r in packing.best_fit(df, vocabulary=path).collect()}) < 5
+
+
 def test_registered_packing_and_the_stage_count_tokens(spark):
     import corpus_pipeline
     from foldcast.llm import queries
