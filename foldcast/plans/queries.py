@@ -655,13 +655,13 @@ def arima_auto_models(spark, sf_dir):
 @query()
 def arima_auto_explain(spark, sf_dir):
     return rounded(backtest.arima_forecasts(
-        B.origin_panel(spark, sf_dir), B.ROLLING, holiday_regions=["GLOBAL"], max_order=2),
+        B.core_panel(spark, sf_dir), B.ROLLING, holiday_regions=["GLOBAL", "US"]),
         *BOUNDS, *COMPONENTS, digits=6)
 
 
 @query()
 def arima_auto_training_info(spark, sf_dir):
-    grid = arima.fold_grid(B.origin_panel(spark, sf_dir), B.ROLLING, holidays=_holidays(spark))
+    grid = arima.fold_grid(B.core_panel(spark, sf_dir), B.ROLLING, holidays=_holidays(spark))
     return auto_arima.training_info(auto_arima.fit(grid, B.ROLLING.periods()))
 
 

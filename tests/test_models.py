@@ -305,3 +305,15 @@ def test_fan_out_uses_the_sessions_partitions(spark):
         assert P.spread(panel_of(spark, a=[1.0]), "series").rdd.getNumPartitions() == 77
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_automatic_arima_reports_cover_the_weekly_panels_series(spark):
+    from foldcast.plans.queries import QUERIES
+    from foldcast.sources import bindings as B
+    sf = "/root/testdata/sf0.001"
+    series = {r.series for r in B.core_panel(spark, sf).select("series").distinct().collect()}
+    explained = {r.series for r in QUERIES["arima_auto_explain"](spark, sf)
+                 .select("series").distinct().collect()}
+    assert explained <= series and len(explained) > 25
+    info = QUERIES["arima_auto_training_info"](spark, sf)
+    assert info.agg(F.max("n_series")).first()[0] > 25
