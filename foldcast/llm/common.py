@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -46,6 +46,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Parts into which rows of one key are dealt before they meet their row of a lookup table.
+SPREAD = 128
+
+
+def spread_join(rows: DataFrame, lookup: DataFrame, keys: list[str], salt: Column, how: str = "inner") -> DataFrame:
+    """rows joined to a table with one row a key, where one key may hold any share of rows.
+
+    Rows are dealt by key and salt; a lookup row is copied only to the salts that its key has, which are found with
+    sums before the shuffle. Null keys meet nothing.
+    """
+    dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(salt), F.lit(SPREAD)).cast("int"))
+    copies = dealt.select(*keys, "_salt").distinct().join(lookup, keys)
+    return dealt.join(copies, [*keys, "_salt"], how).drop("_salt")
+
+
 def byte_view(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string or binary column end to end, and where each row begins (one more at the end); null is empty."""
     if column.null_count:

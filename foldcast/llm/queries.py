@@ -10,9 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from foldcast.llm import decontamination, embeddings, wavelet
 from foldcast.llm.common import table
 from foldcast.llm.jaccard import THRESHOLD, near_duplicates
+from foldcast.llm.lines import without_common_lines
 from foldcast.llm.packing import best_fit
 from foldcast.llm.pii import personal_data
+from foldcast.llm.prefixes import prefix_trie
 from foldcast.llm.quality import quality
+from foldcast.llm.ranked import ranked_search
 from foldcast.llm.suffixes import without_repeats
 from foldcast.llm.token_counts import token_counts
 from foldcast.llm.toxicity import toxicity
@@ -59,6 +62,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_common_lines(table(spark, sf_dir, "documents"), keep=False)
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_token_counts": op2_token_counts,
@@ -70,6 +85,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_decontamination": op9_decontamination,
     "op10_quality": op10_quality,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_line_dedup": op12_line_dedup,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -108,4 +126,87 @@ items AS (
 SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op11_ranked_search": r"""
+WITH d AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+  FROM documents),
+q AS (
+  SELECT DISTINCT item_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+  FROM benchmark),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM d GROUP BY doc_id, term),
+n AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY doc_id),
+size AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM n),
+w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tf, size WHERE term IN (SELECT term FROM q) GROUP BY term),
+scored AS (
+  SELECT item_id, tf.doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM q JOIN w USING (term) JOIN tf USING (term) JOIN n ON n.doc_id = tf.doc_id, size
+  GROUP BY item_id, tf.doc_id),
+ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+  FROM scored WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 10""",
+    "op12_line_dedup": """
+WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+l AS (SELECT doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS position FROM split),
+k AS (
+  SELECT doc_id, line, position,
+    translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM l),
+common AS (
+  SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+judged AS (
+  SELECT k.doc_id, line, position, c.key IS NOT NULL AND k.doc_id <> c.last AS gone FROM k LEFT JOIN common c ON k.key = c.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY position) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id""",
+    "op13_prefix_trie": r"""
+WITH t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+bits(i, r) AS (
+  WITH RECURSIVE b(i, k, r) AS (
+    SELECT CAST(i AS BIGINT), 0, CAST(i AS BIGINT) FROM range(256) AS v(i)
+    UNION ALL SELECT i, k + 1, CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END FROM b WHERE k < 8)
+  SELECT i, r FROM b WHERE k = 8),
+crc(c, r) AS (
+  WITH RECURSIVE s(c, k, r) AS (
+    SELECT DISTINCT c, 0, 4294967295 FROM t
+    UNION ALL
+    SELECT s.c, s.k + 1, xor(s.r >> 8, b.r)
+    FROM s JOIN bits b ON b.i = xor(s.r & 255, ascii(substr(CAST(s.c AS VARCHAR), s.k + 1, 1)))
+    WHERE s.k < length(CAST(s.c AS VARCHAR)))
+  SELECT c, r FROM s WHERE k = length(CAST(c AS VARCHAR))),
+plan AS (SELECT c, c - c % 20 AS base, xor(r, 4294967295) % 4 AS h FROM crc),
+size AS (
+  SELECT p.c, p.base, p.h, (SELECT count(*) FROM t WHERE t.c = p.base AND t.pos <= p.h) AS lead FROM plan p),
+rebuilt AS (
+  SELECT s.c, t.pos, t.role, t.text FROM size s JOIN t ON t.c = s.base AND t.pos <= s.h
+  UNION ALL SELECT s.c, t.pos - s.h + s.lead, t.role, t.text FROM size s JOIN t ON t.c = s.c AND t.pos > s.h),
+path AS (
+  SELECT c, 0 AS depth, '' AS node, 0 AS words FROM plan
+  UNION ALL
+  SELECT c, pos, md5(string_agg(md5(role) || md5(text), '') OVER (PARTITION BY c ORDER BY pos)),
+    len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) FROM rebuilt),
+ended AS (SELECT c, max(depth) AS len FROM path GROUP BY c),
+node AS (
+  SELECT p.depth, p.node, min(p.c) AS owner, count(*) AS n_convs, any_value(p.words) AS words,
+    string_agg(CAST(p.c AS VARCHAR), ',' ORDER BY p.c) FILTER (WHERE e.len = p.depth) AS ends
+  FROM path p JOIN ended e USING (c) GROUP BY p.depth, p.node),
+link AS (
+  SELECT n.depth, n.node, n.owner, p.owner AS parent, p.node AS parent_node
+  FROM node n JOIN path x ON x.c = n.owner AND x.depth = n.depth - 1 JOIN node p ON p.depth = x.depth AND p.node = x.node),
+children AS (SELECT depth - 1 AS depth, parent_node AS node, count(*) AS n FROM link GROUP BY ALL),
+below AS (
+  SELECT a.depth, a.node, sum((n.n_convs - 1) * n.words) AS saved, count(*) FILTER (WHERE k.n IS NULL) AS leaves
+  FROM node n JOIN path a ON a.c = n.owner AND a.depth <= n.depth
+  LEFT JOIN children k ON k.depth = n.depth AND k.node = n.node
+  GROUP BY a.depth, a.node)
+SELECT n.owner AS conv_id, CAST(n.depth AS BIGINT) AS depth, l.parent AS parent_conv_id, n.n_convs, coalesce(k.n, 0) AS n_children,
+  CAST(b.leaves AS BIGINT) AS n_leaves, CAST(b.saved AS BIGINT) AS saved_tokens, sha256(coalesce(n.ends, '')) AS ends_sha256
+FROM node n JOIN below b ON b.depth = n.depth AND b.node = n.node
+LEFT JOIN link l ON l.depth = n.depth AND l.node = n.node
+LEFT JOIN children k ON k.depth = n.depth AND k.node = n.node""",
 }
