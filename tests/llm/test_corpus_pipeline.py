@@ -1,7 +1,9 @@
 """The pipeline's stages, each on its own input, against brute force."""
 
+import public_tokenizers
 import pytest
 from test_llm_operators import base_spans, brute_links, contamination, shingles
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from foldcast.llm import jaccard
@@ -61,7 +63,8 @@ def test_personal_data_is_replaced(results):
 def test_packing_is_whole(results):
     before, packed = results[4][1], results[5][1]
     length = packed.groupby("doc_id").length.sum()
-    assert (length[before.doc_id].to_numpy() == [-(-len(t.encode()) // 4) for t in before.text]).all()
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert (length[before.doc_id].to_numpy() == [len(library.encode(t, add_special_tokens=False).ids) for t in before.text]).all()
     assert packed.groupby("bin_id").length.sum().max() <= 2048
     placed = packed.merge(before[["doc_id", "source"]])
     assert placed.groupby(["bin_id", "source"]).doc_id.nunique().max() == 1
