@@ -119,3 +119,94 @@ def choose_arma(moments: pd.Series, newest: pd.Series, last_z: pd.Series,
         "intercept": intercept + np.nan_to_num(mean_v.to_numpy(dtype=float))
         * (1 - ar.sum(axis=1)), "variance": variance, "aic": best["aic"],
         "mean": list(level), "error": list(error)})
+
+
+def long_run_variance(y: np.ndarray) -> float:
+    """Variance of a mean's increments over n, from robust spreads of first and second
+    differences, which a few steps in the level do not move."""
+    spreads = []
+    for lag in (1, 2):
+        d = y[lag:] - y[:-lag]
+        middle = 1.4826 * np.median(np.abs(d - np.median(d)))
+        spreads.append(middle ** 2 if middle > 1e-9 else float(np.var(d)))
+    if spreads[0] <= 1e-18:
+        return 0.0
+    # First differences of an AR(1) have 2 s (1 - r), those two apart 2 s (1 - r^2).
+    r = min(max(spreads[1] / spreads[0] - 1, 0.0), 0.9)
+    return spreads[0] / (2 * (1 - r)) * (1 + r) / (1 - r)
+
+
+def change_points(batch: list[np.ndarray], least: int, costs: np.ndarray) -> list[np.ndarray]:
+    """Where each series' segments begin, in the partition that minimises the squared errors
+    around segment means plus a cost per segment; no segment is shorter than ``least``.
+
+    One dynamic program runs over a whole batch, last period by last period. A start that is
+    already worse than a cut at the period in hand can be the last start of no later optimum;
+    once it is so in every series, its column goes.
+    """
+    size = np.array([len(y) for y in batch])
+    n = int(size.max(initial=0))
+    padded = np.stack([np.pad(y, (0, n - len(y))) for y in batch]) if n else np.zeros((len(batch), 0))
+    edge = np.zeros((len(batch), 1))
+    s1 = np.hstack([edge, np.cumsum(padded, axis=1)])
+    s2 = np.hstack([edge, np.cumsum(padded ** 2, axis=1)])
+    best = np.full((len(batch), n + 1), np.inf)
+    best[:, 0] = 0.0
+    came = np.zeros((len(batch), n + 1), dtype=int)
+    starts = np.zeros(0, dtype=int)
+    gone = np.zeros((len(batch), 0), dtype=int)
+    for end in range(least, n + 1):
+        if end == least or end - least >= least:
+            starts = np.append(starts, end - least)
+            gone = np.hstack([gone, np.full((len(batch), 1), n + 1)])
+        total = s1[:, [end]] - s1[:, starts]
+        error = np.maximum(s2[:, [end]] - s2[:, starts] - total ** 2 / (end - starts), 0.0)
+        reach = best[:, starts] + error
+        pick = reach.argmin(axis=1)
+        rows = np.arange(len(batch))
+        best[:, end] = reach[rows, pick] + costs
+        came[:, end] = starts[pick]
+        # A start that is worse than a segment ending here is so from the first end on that
+        # leaves room for a segment after it.
+        worse = reach > best[:, [end]] + 1e-9 * (1 + np.abs(best[:, [end]]))
+        gone = np.minimum(gone, np.where(worse, end + least, n + 1))
+        gone[size <= end] = 0
+        keep = (gone > end + 1).any(axis=0)
+        starts, gone = starts[keep], gone[:, keep]
+        if (size <= end).all():
+            break
+    found = []
+    for i, last in enumerate(size):
+        cuts, at = [], int(last) if last >= least else 0
+        while at:
+            at = int(came[i, at])
+            cuts.append(at)
+        found.append(np.array(cuts[::-1] or [0], dtype=int))
+    return found
+
+
+def step_levels(values: pd.Series, least: int, penalty: float) -> pd.Series:
+    """For each array, its segments' means less the last one's; NaN stays out and gets 0."""
+    out, arrays, known = [], [], []
+    for row in values:
+        y = np.asarray([] if row is None else row, dtype=float)
+        out.append(np.zeros(len(y)))
+        known.append(~np.isnan(y))
+        arrays.append(y[known[-1]])
+    # Series of like length share a dynamic program, so that little of it is padding.
+    order = sorted(range(len(arrays)), key=lambda i: len(arrays[i]))
+    for at in range(0, len(order), 256):
+        part = [i for i in order[at:at + 256] if len(arrays[i]) >= 2 * least]
+        spread = np.array([long_run_variance(arrays[i]) for i in part])
+        costs = penalty * spread * np.log([max(len(arrays[i]), 2) for i in part])
+        # Without any spread every wiggle would be a step.
+        costs = np.where(costs > 0, costs, np.inf)
+        live = [k for k in range(len(part)) if np.isfinite(costs[k])]
+        cuts = change_points([arrays[part[k]] for k in live], least, costs[live])
+        for k, begins in zip(live, cuts, strict=True):
+            y = arrays[part[k]]
+            ends = np.append(begins[1:], len(y))
+            means = np.array([y[a:b].mean() for a, b in zip(begins, ends, strict=True)])
+            level = np.repeat(means - means[-1], ends - begins)
+            out[part[k]][known[part[k]]] = level
+    return pd.Series(out, index=values.index)

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foldcast.functions.columns import limit, period_days, z_value
+from foldcast.operators import adjust
 from foldcast.operators.decompose import SEASON, centred_trend
 from foldcast.operators.folds import Rolling, fan_out
 from foldcast.operators.panel import enrich, fill_gaps, spread
@@ -171,12 +172,15 @@ def choose_difference(rows: DataFrame, series_col: str = "series",
 
 
 def fit(grid: DataFrame, series_col: str = "series", period_col: str = "period",
-        season: int = SEASON) -> DataFrame:
+        season: int = SEASON, adjusted: bool = False) -> DataFrame:
     """Fit every (series, fold) of a ``fold_grid``. The result keeps one row per period
     and carries the group's model on each: ``p``, ``d``, ``phi``, ``intercept``,
-    ``sigma2``, ``aic``, ``sse``, last values."""
-    rows = choose_difference(remove_effects(grid, series_col, period_col, season),
-                             series_col, period_col)
+    ``sigma2``, ``aic``, ``sse``, last values. With ``adjusted``, spikes, dips and step
+    changes are taken out of the history first."""
+    rows = remove_effects(grid, series_col, period_col, season)
+    if adjusted:
+        rows = adjust.adjust(rows, [series_col, "fold"], period_col)
+    rows = choose_difference(rows, series_col, period_col)
     whole = Window.partitionBy(series_col, "fold")
     differenced = F.col("d") == 1
     z, z1, z2 = F.col("z"), F.col("__z1"), F.col("__z2")
@@ -232,7 +236,8 @@ def explain(fitted: DataFrame, confidence: float = 0.95, series_col: str = "seri
     """History and forecast rows with their components.
 
     On history rows ``forecast_value`` is the one-step-ahead fit; on forecast rows it
-    carries an interval of the given two-sided coverage.
+    carries an interval of the given two-sided coverage. A fit on adjusted history adds
+    ``spikes_and_dips``, ``step_changes`` and ``adjusted_data``.
     """
     phi, c, d = F.col("phi"), F.col("intercept"), F.col("d")
     rows = fitted.withColumn("__h", F.greatest(F.col("t") - F.col("last_t"), F.lit(1)))
@@ -266,7 +271,8 @@ def explain(fitted: DataFrame, confidence: float = 0.95, series_col: str = "seri
         "forecast_value", "standard_error", F.lit(confidence).alias("confidence_level"),
         (F.col("forecast_value") - width).alias("prediction_interval_lower_bound"),
         (F.col("forecast_value") + width).alias("prediction_interval_upper_bound"),
-        "trend", "seasonal", "holiday_effect", F.col("regressor").alias("regressor_effect"))
+        "trend", "seasonal", "holiday_effect", F.col("regressor").alias("regressor_effect"),
+        *adjust.columns(rows, ahead))
 
 
 def forecast(fitted: DataFrame, confidence: float = 0.9, lower: float | None = None,

@@ -14,6 +14,7 @@ from pyspark.sql.functions import pandas_udf
 
 from foldcast.functions import kernels
 from foldcast.functions.columns import limit, period_days, z_value
+from foldcast.operators import adjust
 from foldcast.operators.arima import choose_difference, remove_effects
 from foldcast.operators.decompose import SEASON
 from foldcast.operators.xreg import moment_sums
@@ -55,21 +56,25 @@ def _residuals(rows: DataFrame, order: int, keys: list[str], period_col: str) ->
 
 def fit(grid: DataFrame, horizon: int, max_order: int = 5, long_order: int = 8,
         series_col: str = "series", period_col: str = "period", season: int = SEASON,
-        rows_too: bool = False) -> DataFrame:
+        rows_too: bool = False, adjusted: bool = False) -> DataFrame:
     """One row per (series, fold) with the chosen model, its forecasts for ``horizon``
     periods, and the effects to add back on each of the fold's test dates. ``rows_too``
-    keeps the group's rows (bounded by the calendar) beside its model, for ``explain``."""
+    keeps the group's rows (bounded by the calendar) beside its model, for ``explain``.
+    With ``adjusted``, spikes, dips and step changes are taken out of the history first."""
     if long_order < max_order:
         raise ValueError("the long autoregression must cover the largest order")
     keys = [series_col, "fold"]
-    rows = choose_difference(remove_effects(grid, series_col, period_col, season), series_col,
-                             period_col)
+    rows = remove_effects(grid, series_col, period_col, season)
+    if adjusted:
+        rows = adjust.adjust(rows, keys, period_col)
+    rows = choose_difference(rows, series_col, period_col)
     parts = ["seasonal", "holiday_effect", "regressor"]
+    extra = ["spikes_and_dips", "step_changes"] if adjusted else []
     rows = rows.select(
         *keys, period_col, "t", "time_series_type", "z", "d",
         (F.col("t") - F.col("last_t")).alias("h"),
         F.when(F.col("d") == 1, F.col("z") - F.col("__z1")).otherwise(F.col("z")).alias("__v"),
-        "actual", "__z1", *parts,
+        "actual", "__z1", *parts, *extra,
         (F.col("seasonal") + F.col("holiday_effect") + F.col("regressor")).alias("__effects"))
     rows = rows.withColumn("__mean", F.avg("__v").over(Window.partitionBy(*keys)))
     rows = rows.withColumn("__v", F.col("__v") - F.col("__mean"))
@@ -92,7 +97,7 @@ def fit(grid: DataFrame, horizon: int, max_order: int = 5, long_order: int = 8,
               for s in "ve"]
     carried = [F.collect_list(F.struct(
         period_col, "time_series_type", "actual", "h", F.col("__z1").alias("z1"), *parts,
-        *lagged)).alias("rows")] if rows_too else []
+        *extra, *lagged)).alias("rows")] if rows_too else []
     sums = moment_sums([F.col(f"{c}__in") for c in names])
     groups = rows.groupBy(*keys).agg(
         *[c.alias(f"m{i}") for i, c in enumerate(sums)],
@@ -139,11 +144,13 @@ def forecast(models: DataFrame, confidence: float = 0.9, lower: float | None = N
 
 def explain(grid: DataFrame, horizon: int, max_order: int = 5, long_order: int = 8,
             confidence: float = 0.95, granularity: str = "WEEKLY", series_col: str = "series",
-            period_col: str = "period", season: int = SEASON) -> DataFrame:
+            period_col: str = "period", season: int = SEASON, adjusted: bool = False
+            ) -> DataFrame:
     """History and forecast rows with their components, in the columns of
-    ``arima.explain``. On history rows ``forecast_value`` is the one-step-ahead fit (NULL
+    ``arima.explain``, those of an adjusted history too. On history rows ``forecast_value`` is the one-step-ahead fit (NULL
     until all its lags are there); on forecast rows it carries an interval."""
-    models = fit(grid, horizon, max_order, long_order, series_col, period_col, season, True)
+    models = fit(grid, horizon, max_order, long_order, series_col, period_col, season, True,
+                 adjusted)
     rows = models.select("fold", series_col, "d", "ar", "ma", "intercept", "mean_v", "mean",
                          "error", F.inline("rows"))
 
@@ -169,7 +176,8 @@ def explain(grid: DataFrame, horizon: int, max_order: int = 5, long_order: int =
         "forecast_value", "standard_error", F.lit(confidence).alias("confidence_level"),
         (F.col("forecast_value") - width).alias("prediction_interval_lower_bound"),
         (F.col("forecast_value") + width).alias("prediction_interval_upper_bound"),
-        "trend", "seasonal", "holiday_effect", F.col("regressor").alias("regressor_effect"))
+        "trend", "seasonal", "holiday_effect", F.col("regressor").alias("regressor_effect"),
+        *adjust.columns(rows, ahead))
 
 
 def training_info(models: DataFrame) -> DataFrame:

@@ -54,10 +54,12 @@ def arima_forecasts(panel: DataFrame, rolling: Rolling, covariates: Sequence[str
                     holiday_regions: Sequence[str] = (), max_order: int = 5,
                     fill: str = "zero", origin: str = "test_start",
                     granularity: str = "WEEKLY", season: int | None = None,
-                    series_covariates: Sequence[str] = ()) -> DataFrame:
+                    series_covariates: Sequence[str] = (), adjusted: bool = False
+                    ) -> DataFrame:
     """Forecast rows of an ARIMA model per (fold, series), on regressors when there are
     any, with fitted history and components. ``max_order`` 1 takes the closed-form models.
-    A season is a year of periods unless it is given."""
+    A season is a year of periods unless it is given. ``adjusted`` fits on history without
+    its spikes, dips and step changes, and explains them."""
     season = season or SEASONS[granularity]
     holidays = None
     if holiday_regions:
@@ -70,9 +72,9 @@ def arima_forecasts(panel: DataFrame, rolling: Rolling, covariates: Sequence[str
     if covariates or attributes or series_covariates:
         grid = xreg.remove_many(grid, [*covariates, *attributes, *series_covariates])
     if max_order <= 1:
-        return arima.explain(arima.fit(grid, season=season))
+        return arima.explain(arima.fit(grid, season=season, adjusted=adjusted))
     return auto_arima.explain(grid, rolling.periods(granularity), max_order, max(8, max_order),
-                              granularity=granularity, season=season)
+                              granularity=granularity, season=season, adjusted=adjusted)
 
 
 def arima_backtest(panel: DataFrame, rolling: Rolling, run_name: str,

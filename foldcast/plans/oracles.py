@@ -440,6 +440,24 @@ explained AS (
   FROM f2)"""
 
 
+# Spikes and dips of history; expects ``r4``.
+SPIKES = f"""s1 AS (
+  SELECT fold, series, period, actual, z - median(z) OVER (PARTITION BY series, fold ORDER BY period
+           ROWS BETWEEN 4 PRECEDING AND 4 FOLLOWING) AS off
+  FROM r4 WHERE y IS NOT NULL),
+s2 AS (
+  SELECT *, median(abs(off)) OVER k AS middle, avg(abs(off)) OVER k AS mean
+  FROM s1 WINDOW k AS (PARTITION BY series, fold)),
+s3 AS (
+  SELECT *, CASE WHEN abs(off) > greatest(5.0::DOUBLE * CASE WHEN middle > 1e-6
+      THEN 1.4826::DOUBLE * middle ELSE 1.2533::DOUBLE * mean END, 1e-6::DOUBLE) THEN off ELSE 0 END AS spike
+  FROM s2),
+adjusted AS (
+  SELECT fold, series, period, actual, {rounded('spikes_and_dips, cleaned')}
+  FROM (SELECT *, spike AS spikes_and_dips, actual - spike AS cleaned FROM s3))
+"""
+
+
 def arima_forecast(confidence: float, lower: float | None = None) -> str:
     """Forecast rows with an interval; expects ``explained``."""
     z = z_value(confidence)

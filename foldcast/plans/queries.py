@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldcast.functions import columns as C
-from foldcast.operators import (arima, auto_arima, baseline, decompose, folds, holiday, lowess,
+from foldcast.operators import (adjust, arima, auto_arima, baseline, decompose, folds, holiday, lowess,
                                 pooled, profile, report, scaffold, score, xreg)
 from foldcast.operators import panel as P
 from foldcast.plans import backtest
@@ -436,9 +436,13 @@ def _holidays(spark):
                                     B.ROLLING.last_day())
 
 
-def _arima(spark, sf_dir, panel=None):
+def _arima_grid(spark, sf_dir, panel=None):
     panel = B.core_panel(spark, sf_dir) if panel is None else panel
-    return arima.fit(arima.fold_grid(panel, B.ROLLING, holidays=_holidays(spark)))
+    return arima.fold_grid(panel, B.ROLLING, holidays=_holidays(spark))
+
+
+def _arima(spark, sf_dir, panel=None):
+    return arima.fit(_arima_grid(spark, sf_dir, panel))
 
 
 @query(ARIMA_SQL + ", " + O.arima_forecast(0.9) + O.FORECAST)
@@ -456,6 +460,24 @@ def explain_forecast(spark, sf_dir):
     return rounded(arima.explain(_arima(spark, sf_dir)), *BOUNDS, *COMPONENTS, digits=6)
 
 
+@query(ARIMA_SQL + ", " + O.SPIKES + "SELECT * FROM adjusted")
+def adjusted_history(spark, sf_dir):
+    """Spikes and dips of every history, and what is left without them."""
+    rows = arima.remove_effects(_arima_grid(spark, sf_dir))
+    found = adjust.spikes_and_dips(rows, ["series", "fold"], "period").filter(
+        F.col("time_series_type") == "history")
+    found = found.select("fold", "series", "period", "actual", "spikes_and_dips", (
+        F.col("actual") - F.col("spikes_and_dips")).alias("cleaned"))
+    return rounded(found, "spikes_and_dips", "cleaned", digits=6)
+
+
+@query()
+def explain_adjusted(spark, sf_dir):
+    """Closed-form models on adjusted history, with spikes, dips and step changes told."""
+    fitted = arima.fit(_arima_grid(spark, sf_dir), adjusted=True)
+    return rounded(arima.explain(fitted), *BOUNDS, *COMPONENTS, *adjust.COLUMNS, digits=6)
+
+
 @query(ARIMA_SQL + O.EXPLAINED + f""" WHERE series = '{ONE_SERIES}' AND fold = 3
 ORDER BY period DESC LIMIT 5""")
 def explain_one_series(spark, sf_dir):
@@ -659,6 +681,14 @@ def arima_auto_explain(spark, sf_dir):
         *BOUNDS, *COMPONENTS, digits=6)
 
 
+@query()
+def arima_auto_adjusted(spark, sf_dir):
+    """The same on adjusted history, with spikes, dips and step changes told."""
+    return rounded(backtest.arima_forecasts(
+        B.core_panel(spark, sf_dir), B.ROLLING, holiday_regions=["GLOBAL", "US"],
+        adjusted=True), *BOUNDS, *COMPONENTS, *adjust.COLUMNS, digits=6)
+
+
 @query()
 def arima_auto_training_info(spark, sf_dir):
     grid = arima.fold_grid(B.core_panel(spark, sf_dir), B.ROLLING, holidays=_holidays(spark))
