@@ -519,6 +519,13 @@ def renamed(cte: str, old: str, new: str) -> str:
     return cte.replace(f"{old} AS (", f"{new} AS (", 1)
 
 
+def materialized(sql: str, *names: str) -> str:
+    """The same SQL, where CTEs that are read more than once are worked out once."""
+    for name in names:
+        sql = sql.replace(f"{name} AS (", f"{name} AS MATERIALIZED (", 1)
+    return sql
+
+
 def dashboard_of(model: str, run: str, forecasts: str) -> str:
     """Dashboard rows of one model as the CTE ``board_<model>``."""
     return renamed(dashboard(model, run), "dashboard", f"board_{model}").replace(

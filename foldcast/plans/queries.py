@@ -538,9 +538,10 @@ BOARDS_SQL = O.with_(
     O.dashboard_of("trend_season", RUN, "trend_season"), """boards AS (
   SELECT * FROM board_seasonal_naive UNION ALL SELECT * FROM board_drift
   UNION ALL SELECT * FROM board_trend_season)""")
-TWO_BOARDS_SQL = O.with_(
+TWO_BOARDS_SQL = O.materialized(O.with_(
     *GRID_SQL, O.scaffold(), O.SEASONAL_NAIVE, O.DRIFT,
-    O.dashboard_of("seasonal_naive", RUN, "forecasts"), O.dashboard_of("drift", RUN, "drift"))
+    O.dashboard_of("seasonal_naive", RUN, "forecasts"), O.dashboard_of("drift", RUN, "drift")),
+    "panel", "folds", "grid", "r0", "scaffold", "hist", "forecasts", "drift")
 BOARD_COLUMNS = ("SELECT period, series, actualQty, predicted_p10, predicted_p90, model_name, "
                  "run_id, fold, lag, wHist, "
                  + O.rounded("forecastQty, diff, wAbsError", 6))
