@@ -9,12 +9,13 @@ from multiprocessing.pool import ThreadPool
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import Imputer, StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foldcast.functions.columns import period_days
+from foldcast.operators import dense
 from foldcast.operators.folds import Rolling, fold_table
 from foldcast.operators.panel import enrich, fill_gaps, spread
 from foldcast.sources.scratch import cut_lineage
@@ -80,37 +81,23 @@ def feature_pipeline(df: DataFrame, inputs: Sequence[str]) -> Pipeline:
     return Pipeline(stages=stages)
 
 
-def regressor(kind: str, rounds: int, max_iter: int, seed: int):
-    """Boosted trees on absolute errors (at most ``rounds`` of them; validation stops
-    earlier), or a robust direct linear model (iterated to its tolerance; ``max_iter`` only
-    ends a fit that does not converge)."""
+def regressor(kind: str, rounds: int, seed: int):
+    """Boosted trees on absolute errors: at most ``rounds`` of them, validation stops earlier."""
     if kind == "learn_to_learn":
         return GBTRegressor(featuresCol="features", labelCol="target", lossType="absolute",
                             maxIter=rounds, maxDepth=4, seed=seed,
                             validationIndicatorCol="is_validation")
-    if kind == "dense_encoder":
-        return LinearRegression(featuresCol="features", labelCol="target", loss="huber",
-                                maxIter=max_iter)
     raise ValueError(f"unsupported model: {kind}")
 
 
-def fit_and_forecast(panel: DataFrame, rolling: Rolling, kind: str, context: int = 20,
-                     known: DataFrame | None = None, unknown: Sequence[str] = (),
-                     attributes: Sequence[str] = (), series_col: str = "series",
-                     period_col: str = "period", target_col: str = "qty",
-                     granularity: str = "WEEKLY", rounds: int = 10, max_iter: int = 1000,
-                     holidays: DataFrame | None = None, known_from_panel: Sequence[str] = (),
-                     seed: int = 42) -> DataFrame:
-    """Fit one pooled model per fold and forecast the fold's test range from its last
-    training period. The validation rows of the split steer early stopping.
-
-    Examples are written to the shared scratch folder once and read by every fold. The
-    folds are independent, so a few are fitted at the same time; each fit is a distributed
-    Spark job.
-    """
-    # Example columns do not depend on the model; an unknown kind fails before any work.
-    estimator = regressor(kind, rounds, max_iter, seed)
-    spark, days = panel.sparkSession, period_days(granularity)
+def prepared_examples(panel: DataFrame, rolling: Rolling, context: int = 20,
+                      known: DataFrame | None = None, unknown: Sequence[str] = (),
+                      attributes: Sequence[str] = (), series_col: str = "series",
+                      period_col: str = "period", target_col: str = "qty",
+                      granularity: str = "WEEKLY", holidays: DataFrame | None = None,
+                      known_from_panel: Sequence[str] = ()) -> tuple[DataFrame, list[str]]:
+    """Examples of all folds, written to the shared scratch folder once, and the names of
+    their inputs."""
     grid = fill_gaps(spread(panel, series_col), series_col, period_col, target_col, granularity,
                      end=F.date_sub(rolling.last_day(), 1), attribute_cols=attributes,
                      varying_cols=[*unknown, *known_from_panel])
@@ -128,7 +115,53 @@ def fit_and_forecast(panel: DataFrame, rolling: Rolling, kind: str, context: int
     examples = examples.withColumns({
         c: F.col(c).cast("double") for c in inputs
         if isinstance(examples.schema[c].dataType, T.NumericType)})
-    examples = cut_lineage(examples, "examples")
+    return cut_lineage(examples, "examples"), inputs
+
+
+def as_numbers(examples: DataFrame, inputs: Sequence[str]) -> DataFrame:
+    """Text inputs as their rank by frequency, the commonest first."""
+    text = [c for c in inputs if isinstance(examples.schema[c].dataType, T.StringType)]
+    if not text:
+        return examples
+    indexer = StringIndexer(inputCols=text, outputCols=[f"{c}__in" for c in text],
+                            handleInvalid="keep").fit(examples)
+    return indexer.transform(examples).drop(*text).withColumnsRenamed(
+        {f"{c}__in": c for c in text})
+
+
+def dense_models(examples: DataFrame, inputs: Sequence[str], rolling: Rolling,
+                 loss: str = "huber", period_col: str = "period") -> DataFrame:
+    """The direct linear model of every fold and step ahead, and how it was reached."""
+    used = [c for c in inputs if c != "h"]
+    heads = as_numbers(examples, used).withColumn("h", F.col("h").cast("int"))
+    return dense.fit(heads, used, rolling, loss, period_col)
+
+
+def fit_and_forecast(panel: DataFrame, rolling: Rolling, kind: str, context: int = 20,
+                     known: DataFrame | None = None, unknown: Sequence[str] = (),
+                     attributes: Sequence[str] = (), series_col: str = "series",
+                     period_col: str = "period", target_col: str = "qty",
+                     granularity: str = "WEEKLY", rounds: int = 10,
+                     holidays: DataFrame | None = None, known_from_panel: Sequence[str] = (),
+                     seed: int = 42) -> DataFrame:
+    """Fit one pooled model per fold and forecast the fold's test range from its last
+    training period.
+
+    Examples are written to the shared scratch folder once and read by every fold. The
+    dense encoder solves all folds together. Boosted trees are fitted fold by fold, a few at
+    the same time, each as a distributed job; their validation rows steer early stopping.
+    """
+    # Example columns do not depend on the model; an unknown kind fails before any work.
+    estimator = None if kind == "dense_encoder" else regressor(kind, rounds, seed)
+    spark, days = panel.sparkSession, period_days(granularity)
+    examples, inputs = prepared_examples(
+        panel, rolling, context, known, unknown, attributes, series_col, period_col, target_col,
+        granularity, holidays, known_from_panel)
+    if estimator is None:
+        used = [c for c in inputs if c != "h"]
+        heads = as_numbers(examples, used).withColumn("h", F.col("h").cast("int"))
+        models = dense.fit(heads, used, rolling, period_col=period_col)
+        return dense.forecast(heads, models, used, rolling, days, series_col, period_col)
 
     def one_fold(f) -> DataFrame:
         start, validation = F.lit(f.test_start_date), F.lit(f.val_start_date)

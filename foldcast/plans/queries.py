@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldcast.functions import columns as C
-from foldcast.operators import (adjust, arima, auto_arima, baseline, decompose, folds, holiday, lowess,
-                                pooled, profile, report, scaffold, score, xreg)
+from foldcast.operators import (adjust, arima, auto_arima, baseline, decompose, dense, folds,
+                                holiday, lowess, pooled, profile, report, scaffold, score, xreg)
 from foldcast.operators import panel as P
 from foldcast.plans import backtest
 from foldcast.plans import oracles as O
@@ -711,11 +711,19 @@ def window_examples(spark, sf_dir):
         known=B.weather(spark, sf_dir, panel)).filter("target IS NOT NULL")
 
 
-def _pooled(spark, sf_dir, kind):
-    """Pooled forecasts of all origins' series, refitted for every fold."""
+def _examples(spark, sf_dir):
+    """Examples of every series of the weekly panel, with all four attributes."""
+    panel = B.weekly_panel(spark, sf_dir).select("series", "period", "qty", *B.ATTRIBUTES)
+    return pooled.prepared_examples(panel, B.ROLLING, CONTEXT, known=_covariates(spark),
+                                    attributes=B.ATTRIBUTES, holidays=_holidays(spark))
+
+
+def _dense(spark, sf_dir):
+    """Dense forecasts of all series, refitted for every fold."""
+    panel = B.weekly_panel(spark, sf_dir).select("series", "period", "qty", *B.ATTRIBUTES)
     return pooled.fit_and_forecast(
-        B.origin_panel(spark, sf_dir, regions=True), B.ROLLING, kind, CONTEXT,
-        known=_covariates(spark), attributes=["origin_region"], holidays=_holidays(spark))
+        panel, B.ROLLING, "dense_encoder", CONTEXT, known=_covariates(spark),
+        attributes=B.ATTRIBUTES, holidays=_holidays(spark))
 
 
 # What a pooled model forecasts is known without it: every test week of every fold for
@@ -723,7 +731,7 @@ def _pooled(spark, sf_dir, kind):
 POOLED_SQL = O.with_(O.PANEL, ROLL) + f"""
 SELECT f.fold, s.series, count(*) AS n_rows, min(w.period) AS first_period,
        max(w.period) AS last_period, 0::BIGINT AS n_missing
-FROM (SELECT origin_name AS series, min(period) AS since FROM panel GROUP BY 1) s
+FROM (SELECT series, min(period) AS since FROM panel GROUP BY 1) s
 JOIN folds f ON s.since <= f.test_start_date - 7 * {CONTEXT}
 JOIN (SELECT CAST(unnest(generate_series(DATE '{B.FIRST_PERIOD}', DATE '{B.LAST_PERIOD}'
         + 7 * {B.ROLLING.horizon}, INTERVAL 7 DAY)) AS DATE) AS period) w
@@ -740,17 +748,62 @@ def _coverage(forecasts):
 
 @query(POOLED_SQL)
 def global_linear_coverage(spark, sf_dir):
-    return _coverage(_pooled(spark, sf_dir, "dense_encoder"))
+    return _coverage(_dense(spark, sf_dir))
 
 
 @query()
 def global_gbt(spark, sf_dir):
-    return _pooled(spark, sf_dir, "learn_to_learn")
+    """Boosted trees over the series of all origins, refitted for every fold."""
+    return pooled.fit_and_forecast(
+        B.origin_panel(spark, sf_dir, regions=True), B.ROLLING, "learn_to_learn", CONTEXT,
+        known=_covariates(spark), attributes=["origin_region"], holidays=_holidays(spark))
 
 
 @query()
 def global_linear(spark, sf_dir):
-    return _pooled(spark, sf_dir, "dense_encoder")
+    return _dense(spark, sf_dir)
+
+
+@query()
+def global_linear_models(spark, sf_dir):
+    """Coefficients, spread and iterations of every fold's model for every step ahead."""
+    return rounded(pooled.dense_models(*_examples(spark, sf_dir), B.ROLLING),
+                   "intercept", "sigma", digits=6)
+
+
+# With the mean of the context as its only input a head is a simple regression.
+@query(O.with_(O.PANEL, ROLL) + f""", since AS (SELECT series, min(period) AS first FROM panel GROUP BY 1),
+dense AS (
+  SELECT s.series, w.period, coalesce(p.qty, 0) AS qty
+  FROM (SELECT series, CAST(unnest(generate_series(first, DATE '{B.LAST_PERIOD}'
+          + 7 * {B.ROLLING.horizon}, INTERVAL 7 DAY)) AS DATE) AS period FROM since) w
+  JOIN since s USING (series) LEFT JOIN panel p ON p.series = s.series AND p.period = w.period),
+origins AS (
+  SELECT series, period AS origin, avg(qty) OVER k AS level, count(*) OVER k AS n
+  FROM dense WINDOW k AS (PARTITION BY series ORDER BY period ROWS {CONTEXT - 1} PRECEDING)),
+examples AS (
+  SELECT o.series, o.origin, o.level, h.h, CAST(o.origin + 7 * h.h AS DATE) AS period, d.qty AS target
+  FROM origins o CROSS JOIN (SELECT CAST(unnest(generate_series(1, {B.ROLLING.horizon})) AS INTEGER) AS h) h
+  LEFT JOIN dense d ON d.series = o.series AND d.period = o.origin + 7 * h.h
+  WHERE o.n = {CONTEXT}),
+heads AS (
+  SELECT f.fold, e.h, covar_pop(e.target, e.level) / var_pop(e.level) AS slope,
+         avg(e.target) AS my, avg(e.level) AS mx
+  FROM examples e JOIN folds f ON e.period < f.test_start_date WHERE e.target IS NOT NULL GROUP BY 1, 2)
+SELECT fold, series, period, {O.rounded('forecast_value', 4)}
+FROM (SELECT f.fold, e.series, e.period, h.my + h.slope * (e.level - h.mx) AS forecast_value
+      FROM examples e JOIN folds f ON e.origin < f.test_start_date AND e.origin + 7 >= f.test_start_date
+      JOIN heads h ON h.fold = f.fold AND h.h = e.h)""")
+def global_least_squares(spark, sf_dir):
+    """The dense model with squared errors and the context's mean as its only input."""
+    examples, _ = _examples(spark, sf_dir)
+    lags = [F.col(f"lag_{i}") for i in range(1, CONTEXT + 1)]
+    level = sum(lags[1:], lags[0]) / CONTEXT
+    examples = examples.withColumns({"level": level, "h": F.col("h").cast("int")})
+    models = dense.fit(examples, ["level"], B.ROLLING, loss="squared")
+    found = dense.forecast(examples, models, ["level"], B.ROLLING, 7)
+    return rounded(found.select("fold", "series", "period", "forecast_value"),
+                   "forecast_value", digits=4)
 
 
 ITEMS_SQL = O.with_(O.PANEL, ROLL, O.SEASONAL_NAIVE, O.ITEMS)
