@@ -483,3 +483,36 @@ def test_maximal_segments():
 def test_helpers_keep_exact_names(spark):
     df = spark.createDataFrame([(1, "a", "b")], "doc_id long, text string, other string").toDF("doc_id", "text", "TEXT")
     assert picked(df, "text").first()[0] == "a" and neutral(df).columns == ["c0", "c1", "c2"]
+
+
+def contact_texts(seed, handles):
+    """60 e-mails in one context, 8 unknown identifiers there, and prose without any."""
+    r = random.Random(seed)
+    texts = [f"{prose(r, 12)} write to contact: {r.choice('abcdefgh')}{'xyzuvwqrst'[k % 10]}{'klmnop'[k // 10]}.{r.choice(WORDS[:4])}@mail{'.example' if seed % 2 else '7.example'}.org {prose(r, 6)}" for k in range(60)]
+    found = [f"{prose(r, 9)} write to contact: {h}, {prose(r, 5)}" for h in handles]
+    return texts + found + [prose(r, 30) for _ in range(40)]
+
+
+@pytest.mark.parametrize("seed,handles", [(1, "quietfox blueheron oldmill redkite tallpine rookery saltmarsh windhover".split()), (2, "quietfox9 blueheron8 oldmill7 redkite6 tallpine x1 saltmarsh windhover".split())])
+def test_identifiers_without_digits_are_found_in_the_context_of_seeds(spark, seed, handles):
+    texts = contact_texts(seed, handles)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    rows = {r.doc_id: r for r in pii.personal_data(df).collect()}
+    for k, text in enumerate(texts):
+        spans = [x.split(":") for x in rows[k].spans.split(",") if x]
+        ids = [text[int(a) : int(b)] for kind, a, b in spans if kind == "id"]
+        assert ids == (handles[k - 60 : k - 59] if 60 <= k < 68 else []), text
+        assert rows[k].n_email == (k < 60)
+
+
+def test_words_in_context_of_long_texts(spark, monkeypatch):
+    texts = contact_texts(1, ["quietfox"])
+    far = " ".join(["filler"] * 3000)
+    texts += [f"{far} write to contact: tallpine {far} write  to\ncontact:   redkite"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    whole = rows_of(pii.personal_data(df), "doc_id", "spans")
+    monkeypatch.setattr(pii, "STRETCH", 500)
+    monkeypatch.setattr(pii, "MOST_SENT", 0)
+    assert rows_of(pii.personal_data(df), "doc_id", "spans") == whole
+    at = dict(whole)[len(texts) - 1]
+    assert [texts[-1][int(a) : int(b)] for _, a, b in (x.split(":") for x in at.split(","))] == ["tallpine", "redkite"]
