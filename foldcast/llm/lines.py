@@ -33,7 +33,7 @@ def without_common_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     count under a salt; the positions to drop come back to their own row, so no task ever holds the lines of one key.
     """
     docs = picked(docs, id_col, text_col).toDF("id", "text")
-    rows = stored(docs.withColumn("row", F.monotonically_increasing_id()), "line-texts")
+    rows = stored(docs.withColumn("row", F.monotonically_increasing_id()), "line-texts", "zstd")
     parts = F.split(F.coalesce("text", F.lit("")), "\n", -1)
     key = rows.select("row", "id", F.posexplode(parts).alias("position", "line")).withColumn("key", line_key(F.col("line")))
     lines = key.where(F.length("key") >= least_length).select("row", "id", "position", F.xxhash64("key").alias("h"), F.xxhash64(F.lit(1), "key").alias("g"))

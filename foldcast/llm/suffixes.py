@@ -14,7 +14,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldcast.llm.common import byte_view, mix, picked, stored
+from foldcast.llm.common import byte_view, mix, picked, spread_join, stored
 
 LENGTH = 400
 #: Bytes of an anchor. Of all anchors in a string of LENGTH bytes, the one of least hash (the first of equals) stands for it.
@@ -131,18 +131,14 @@ def strings_of(data: np.ndarray, starts: np.ndarray, length: int = LENGTH) -> np
     return np.ndarray((len(data) - length + 1,), f"S{length}", np.ascontiguousarray(data), strides=(1,))[starts]
 
 
-def _text_keys(flat: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    return np.array([xxhash.xxh3_64_intdigest(flat[a:b]) for a, b in zip(begins[:-1], begins[1:], strict=True)], np.uint64).view(np.int64)
-
-
-def _anchored(docs: DataFrame, text_col: str) -> DataFrame:
-    """Every run of every text: anchor, run (hashes), text (hash of the whole text), first and last start."""
+def _anchored(docs: DataFrame) -> DataFrame:
+    """Every run of every text: anchor, run (hashes), text (its number), first and last start."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["anchor", "run", "text", "first", "last"]
         for batch in batches:
-            flat, begins = byte_view(batch.column(0))
-            texts, parts, size = _text_keys(flat, begins), [], 0
+            flat, begins = byte_view(batch.column(1))
+            texts, parts, size = batch.column(0).to_numpy(), [], 0
             for row in range(len(begins) - 1):
                 whole = flat[begins[row] : begins[row + 1]]
                 for a, b in stretches(len(whole)):
@@ -155,21 +151,21 @@ def _anchored(docs: DataFrame, text_col: str) -> DataFrame:
             if parts:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts, strict=True)], names=names)
 
-    return docs.select(text_col).mapInArrow(scan, "anchor bigint, run bigint, text bigint, first bigint, last bigint")
+    return docs.select("row", "data").mapInArrow(scan, "anchor bigint, run bigint, text bigint, first bigint, last bigint")
 
 
-def _packed(docs: DataFrame, columns: list[str], text_col: str) -> DataFrame:
-    """columns, the hash of the text, and its bytes compressed, for the shuffle."""
+def _packed(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """columns, the number of the text, and its bytes compressed, for the shuffle."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            flat, begins = byte_view(batch.column(len(columns)))
+            flat, begins = byte_view(batch.column(len(columns) + 1))
             blobs = [squeeze.compress(flat[a:b].tobytes()) for a, b in zip(begins[:-1], begins[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(columns)], pa.array(_text_keys(flat, begins)), pa.array(blobs, pa.binary())], names=[*columns, "text", "packed"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(columns) + 1], pa.array(blobs, pa.binary())], names=[*columns, "text", "packed"])
 
     schema = docs.select(*columns, F.lit(0).cast("bigint").alias("text"), F.lit(b"").alias("packed")).schema
-    return docs.select(*columns, F.col(text_col)).mapInArrow(pack, schema)
+    return docs.select(*columns, "row", "data").mapInArrow(pack, schema)
 
 
 def _unpacked(blob: bytes) -> np.ndarray:
@@ -250,7 +246,7 @@ def _one_by_one(runs_: DataFrame) -> DataFrame:
         cells = stored(cells.mapInArrow(_narrowed(size), "core bigint, whole bigint, text bigint, begin bigint, at bigint, bytes binary").dropDuplicates(["core", "text", "begin"]), "cells")
         kinds = cells.groupBy("core", "whole").agg(F.count("*").alias("n"), F.min(F.struct("text", "begin")).alias("one"))
         again = kinds.groupBy("core").agg(F.sum("n").alias("all")).where("all > 1").select("core")
-        cells = cells.join(kinds.join(again, "core"), ["core", "whole"])
+        cells = spread_join(cells, spread_join(kinds, again, ["core"], F.col("whole")), ["core", "whole"], F.col("text"))
         # cells that are equal as a whole are covered; one of them stays, to be compared with others
         equal = cells.where("n > 1").select("text", "begin", (F.col("begin") + F.length("bytes")).alias("end"))
         covered = equal if covered is None else covered.union(equal)
@@ -281,19 +277,24 @@ def _narrowed(size: int):
     return cut
 
 
-def covered_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """text (hash of a whole text), begin and end of spans that cover every byte of every string that starts anywhere else too."""
-    every = _anchored(docs, text_col)
+def covered_spans(docs: DataFrame) -> DataFrame:
+    """text, begin and end of spans that cover every byte of every string that starts anywhere else too.
+
+    docs holds texts as `data`, numbered by `row`. An anchor or a run may be that of any share of the rows: counts combine
+    before the shuffle, and rows meet their count under a salt.
+    """
+    every = _anchored(docs)
     again = every.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    every = stored(every.join(again, "anchor"), "runs")
+    every = stored(spread_join(every, again, ["anchor"], F.col("text")), "runs")
     # runs that are equal as a whole are covered; of others, those that share an anchor are compared string by string
     kinds = every.groupBy("anchor", "run").agg(F.count("*").alias("n"), F.min(F.struct("text", "first", "last")).alias("one"))
     kinds = stored(kinds, "kinds")
-    whole = every.join(kinds.where("n > 1").select("anchor", "run"), ["anchor", "run"], "left_semi").select("text", F.col("first").alias("begin"), (F.col("last") + LENGTH).alias("end"))
+    equal = spread_join(every, kinds.where("n > 1").select("anchor", "run"), ["anchor", "run"], F.col("text"))
+    whole = equal.select("text", F.col("first").alias("begin"), (F.col("last") + LENGTH).alias("end"))
     mixed = kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    open_ = kinds.join(mixed, "anchor").select("one.text", F.struct("anchor", "run", "one.first", "one.last", (F.col("kinds") > SPLIT_RUNS).alias("many")).alias("x"))
+    open_ = spread_join(kinds, mixed, ["anchor"], F.col("run")).select("one.text", F.struct("anchor", "run", "one.first", "one.last", (F.col("kinds") > SPLIT_RUNS).alias("many")).alias("x"))
     wanted = open_.groupBy("text").agg(F.collect_list("x").alias("runs"))
-    found = _packed(docs, [], text_col).join(wanted, "text").select("packed", "runs", "text")
+    found = _packed(docs, []).join(wanted, "text").select("packed", "runs", "text")
     found = stored(found.mapInArrow(_cut_runs, "anchor bigint, run bigint, first bigint, last bigint, many boolean, text bigint, bytes binary"), "open-runs")
     few = found.where("not many").repartition("anchor").sortWithinPartitions("anchor", "run").mapInArrow(_search, "text bigint, begin bigint, end bigint")
     return whole.union(few).union(_one_by_one(found.where("many"))).distinct()
@@ -313,7 +314,9 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     the runs in question and once for the result.
     """
     docs = picked(docs, id_col, text_col)
-    spans = covered_spans(docs, text_col)
+    # a number for each row, written with it, so that no two texts are ever taken for one and copies stay apart
+    rows = stored(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("data"), F.monotonically_increasing_id().alias("row")), "numbered", "zstd")
+    spans = covered_spans(rows)
     by_text = spans.groupBy("text").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -338,6 +341,6 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             names = [id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256"]
             yield pa.RecordBatch.from_arrays([*columns, *([pa.array(rest, pa.binary())] * keep)], names=[*names, *(["kept"] * keep)])
 
-    joined = _packed(docs, [id_col], text_col).join(by_text, "text", "left").select(id_col, "packed", "spans")
+    joined = _packed(rows, ["id"]).join(by_text, "text", "left").select("id", "packed", "spans")
     kind = docs.schema[id_col].dataType.simpleString()
     return joined.mapInArrow(remove, f"`{id_col}` {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept binary" * keep)
