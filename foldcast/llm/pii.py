@@ -20,18 +20,15 @@ PATTERNS = {
     "card": r"[0-9]++(?:[\x20-][0-9]++)*+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-#: A word with a digit or an @ in it: a candidate wherever it stands. All other words are candidates in contexts of seeds.
+#: A word with a digit or an @ in it: a candidate for an identifier.
 CANDIDATE = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
 #: Rounds of scoring; a pattern's confidence is that of its instances, an instance's that of its best pattern.
 ROUNDS = 3
 #: Expected share of identifiers behind a pattern, and the number of known ones, from which on it may discover.
 CONFIDENCE = 0.8
 SUPPORT = 5
-#: Code points of a text whose words are looked through together, of the context before them, and of the longest such word.
-STRETCH, CONTEXT, LONGEST_WORD = 4096, 48, 256
-#: Last words of contexts that are sent to every task; more of them meet the words in a shuffle.
-MOST_SENT = 50_000
-BLANKS = " \t\n\x0b\f\r"
+#: Characters of the context before a candidate.
+CONTEXT = 48
 _SPANS = "array<struct<begin:int,end:int,word:string>>"
 
 
@@ -116,51 +113,22 @@ def _contexts() -> tuple[Column, Column]:
     return F.concat(F.lit("1 "), last), F.concat(F.lit("2 "), F.trim(F.regexp_replace(context, r"\s+", " ")))
 
 
-def _following(located: DataFrame, text_col: str, edges: DataFrame) -> DataFrame:
-    """Words without digit or @ that stand in a context with SUPPORT seeds or more, in the columns of candidates.
-
-    Long texts are cut into stretches; a word belongs to the one it begins in, and sees the context before it.
-    """
-    induced = edges.where(F.col("seed") & ~F.col("pattern").startswith("o ")).groupBy("pattern").agg(F.count("*").alias("n")).where(F.col("n") >= SUPPORT)
-    lasts = stored(induced.select(F.element_at(F.split("pattern", " "), -1).alias("last")).distinct(), "pii-contexts")
-    known = F.broadcast(lasts) if lasts.count() <= MOST_SENT else lasts
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    cut = located.select("_row", F.concat(*(F.col(f"_{k}") for k in KINDS)).alias("base"), text.alias("text"), F.explode(F.sequence(F.lit(0), F.floor(F.greatest(F.length(text) - 1, F.lit(0)) / STRETCH).cast("int"))).alias("stretch"))
-    shift = F.greatest(F.col("stretch") * STRETCH - 2 * CONTEXT, F.lit(0))
-    parts = cut.select("_row", "base", "stretch", shift.alias("shift"), F.substring("text", shift + 1, (F.col("stretch") + 1) * STRETCH - shift + LONGEST_WORD + 1).alias("part"))
-    pieces = parts.withColumn("pieces", F.split("part", r"(?<=\s)(?=\S)", -1)).select("*", F.posexplode("pieces").alias("k", "piece"))
-    follows = pieces.withColumn("last", F.lower(F.rtrim(F.get("pieces", F.col("k") - 1), F.lit(BLANKS))))
-    hits = follows.where(F.col("k") > 0).join(known, "last").withColumn("at", F.length(F.array_join(F.slice("pieces", F.lit(1), F.col("k")), "")))
-    hits = hits.withColumns({"begin": F.col("shift") + F.col("at"), "word": _bare(F.rtrim("piece", F.lit(BLANKS))), "raw": F.length(F.rtrim("piece", F.lit(BLANKS)))})
-    hits = hits.where((F.floor(F.col("begin") / STRETCH) == F.col("stretch")) & (F.col("raw") <= LONGEST_WORD) & F.col("word").rlike(r"[^\p{Punct}]") & ~F.col("word").rlike("[0-9@]"))
-    return hits.select("_row", "base", "begin", (F.col("begin") + F.length("word")).alias("end"), "word", _before(F.col("part"), F.col("at")).alias("before"))
-
-
-def _discovered(located: DataFrame, text_col: str) -> DataFrame:
+def _discovered(located: DataFrame) -> DataFrame:
     """Row, begin and end of candidates that high-confidence patterns point at and no base span covers.
 
-    Patterns are the word before, the two words before, and how the candidate itself opens (up to = or :, else, where
-    it has a digit or an @, its first four letters). Edges join patterns and instances (distinct candidate words); seeds
-    are instances that a base span covers. Words of any kind are candidates in contexts that seeds induce, so confidence
-    alone decides there. Each round takes the mean confidence of a pattern's instances over n + 1, then the best pattern
-    of each instance. Sums combine before the shuffle, and a frequent word or pattern meets its score under a salt.
+    Patterns are the word before, the two words before, and how the candidate itself opens (up to = or :, else its
+    first four letters). Edges join patterns and instances (distinct candidate words); seeds are instances that a base
+    span covers, with or without digits. Confidence alone decides: each round takes the mean confidence of a pattern's
+    instances over n + 1, then the best pattern of each instance. Sums combine before the shuffle, and a frequent word or
+    pattern meets its score under a salt.
     """
-    seed = F.exists("base", lambda b: (b["begin"] < F.col("end")) & (b["end"] > F.col("begin")))
-    one, two = _contexts()
-    key = F.nullif(F.regexp_extract("word", r"^([^\s=:]{2,32}[=:])", 1), F.lit(""))
-    opening = F.coalesce(key, F.when(F.col("word").rlike("[0-9@]"), F.regexp_extract("word", r"^([A-Za-z]{4})", 1)), F.lit(""))
-    patterns = F.array(one, two, F.concat(F.lit("o "), opening))
-
-    def graph(rows: DataFrame) -> DataFrame:
-        each = rows.select("word", "seed", F.explode(F.filter(patterns, lambda p: F.length(p) > 2)).alias("pattern"))
-        return each.groupBy("pattern", "word").agg(F.max("seed").alias("seed"))
-
+    seed = F.exists("base", lambda b: (b["begin"] < F.col("c.end")) & (b["end"] > F.col("c.begin")))
+    opening = F.coalesce(F.nullif(F.regexp_extract("word", r"^([^\s=:]{2,32}[=:])", 1), F.lit("")), F.regexp_extract("word", r"^([A-Za-z]{4})", 1))
+    patterns = F.array(*_contexts(), F.concat(F.lit("o "), opening))
     base = F.concat(*(F.col(f"_{k}") for k in KINDS))
-    marked = located.select("_row", base.alias("base"), F.explode("_candidates").alias("c")).select("_row", "base", "c.*").withColumn("seed", seed)
-    edges = stored(graph(marked), "pii-edges")
-    following = stored(_following(located, text_col, edges).withColumn("seed", seed).drop("base"), "pii-following")
-    each = marked.drop("base").unionByName(following)
-    edges = stored(edges.unionByName(graph(following)).groupBy("pattern", "word").agg(F.max("seed").alias("seed")), "pii-edges")
+    each = located.select("_row", base.alias("base"), F.explode("_candidates").alias("c")).select("_row", "c.*", seed.alias("seed"))
+    edges = each.select("word", "seed", F.explode(F.filter(patterns, lambda p: F.length(p) > 2)).alias("pattern"))
+    edges = stored(edges.groupBy("pattern", "word").agg(F.max("seed").alias("seed")), "pii-edges")
     score = edges.groupBy("word").agg(F.max(F.col("seed").cast("double")).alias("score"), F.max("seed").alias("known"))
     for _ in range(ROUNDS):
         joined = spread_join(edges.select("pattern", "word"), score.select("word", "score"), ["word"], F.col("pattern"))
@@ -169,7 +137,7 @@ def _discovered(located: DataFrame, text_col: str) -> DataFrame:
         best = spread_join(edges, sure, ["pattern"], F.col("word"), "left").groupBy("word").agg(F.max("seed").alias("known"), F.coalesce(F.max("confidence"), F.lit(0.0)).alias("confidence"))
         score = stored(best.select("word", F.when(F.col("known"), 1.0).otherwise(F.col("confidence")).alias("score"), "known"), "pii-score")
     found = score.where(~F.col("known") & (F.col("score") >= CONFIDENCE)).select("word")
-    return spread_join(each.where(~F.col("seed")), found, ["word"], F.col("_row")).select("_row", "begin", "end").distinct()
+    return spread_join(each.where(~F.col("seed")), found, ["word"], F.col("_row")).select("_row", "begin", "end")
 
 
 def _listed(kind: str, spans: Column) -> Column:
@@ -184,9 +152,9 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     are answered one by one; other columns are ignored; an empty table gives no rows.
     """
     docs = picked(docs, id_col, text_col).toDF("c0", "c1")
-    located = _located(docs, "c1", ["c0", "c1"])
-    added = _discovered(located, "c1").groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("begin", "end"))).alias("_added"))
-    found = located.drop("_candidates", "c1").join(added, "_row", "left")
+    located = _located(docs, "c1", ["c0"])
+    added = _discovered(located).groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("begin", "end"))).alias("_added"))
+    found = located.drop("_candidates").join(added, "_row", "left")
     base = F.concat(*(_listed(k, F.col(f"_{k}")) for k in KINDS))
     extra = F.coalesce(_listed(DISCOVERED, F.col("_added")), F.array().cast("array<string>"))
     return found.select(
@@ -200,7 +168,7 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def redacted(docs: DataFrame, text_col: str = "text", length_col: str | None = None) -> DataFrame:
     """docs with every span, base or added, replaced by its kind in brackets; overlapping spans are replaced as one.
 
-    length_col, if given, is set to the new length in code points. Null texts stay null, empty ones empty; repeated ids
+    Only rows with candidates are joined to those that are accepted; all others keep their place. length_col, if given, is set to the new length in code points. Null texts stay null, empty ones empty; repeated ids
     and rows are treated one by one; names of other columns may clash; an empty table gives no rows.
     """
     names = docs.columns
@@ -208,12 +176,13 @@ def redacted(docs: DataFrame, text_col: str = "text", length_col: str | None = N
     docs = neutral(docs)
     columns, text_col = docs.columns, f"c{text_at}"
     located = _located(docs, text_col, columns)
-    found = _discovered(located, text_col).groupBy("_row").agg(F.collect_list(F.struct(F.col("begin"), F.col("end"), F.lit(DISCOVERED).alias("kind"))).alias("_added"))
+    found = _discovered(located).groupBy("_row").agg(F.collect_list(F.struct(F.col("begin"), F.col("end"), F.lit(DISCOVERED).alias("kind"))).alias("_added"))
     base = F.concat(*(_labelled(k, F.col(f"_{k}")) for k in KINDS))
     nothing = F.array().cast("array<struct<begin:int,end:int,kind:string>>")
-    rows = located.withColumn("_base", base).select(*columns, "_row", "_base")
-    joined = rows.join(found, "_row", "left").withColumn("_added", F.coalesce("_added", nothing))
-    out = joined.withColumn("_spans", _disjoint(F.array_sort(F.concat("_base", "_added"))))
+    rows = located.withColumn("_base", base).select(*columns, "_row", "_base", (F.size("_candidates") > 0).alias("_open"))
+    plain = rows.where(~F.col("_open")).withColumn("_added", nothing)
+    joined = rows.where("_open").join(found, "_row", "left").withColumn("_added", F.coalesce("_added", nothing)).select(*plain.columns)
+    out = plain.unionByName(joined).withColumn("_spans", _disjoint(F.array_sort(F.concat("_base", "_added"))))
     text = F.when(F.size("_spans") == 0, F.col(text_col)).otherwise(_replaced(F.col(text_col), F.col("_spans")))
     out = out.withColumn(text_col, F.when(F.col(text_col).isNotNull(), text))
     if length_col:

