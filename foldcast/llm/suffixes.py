@@ -283,7 +283,7 @@ def covered_spans(docs: DataFrame) -> DataFrame:
     docs holds texts as `data`, numbered by `row`. An anchor or a run may be that of any share of the rows: counts combine
     before the shuffle, and rows meet their count under a salt.
     """
-    every = _anchored(docs)
+    every = stored(_anchored(docs), "anchors", "zstd")
     again = every.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
     every = stored(spread_join(every, again, ["anchor"], F.col("text")), "runs")
     # runs that are equal as a whole are covered; of others, those that share an anchor are compared string by string
