@@ -3,28 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import Imputer, StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.feature import StringIndexer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foldcast.functions.columns import period_days
-from foldcast.operators import dense
-from foldcast.operators.folds import Rolling, fold_table
+from foldcast.operators import boost, dense
+from foldcast.operators.folds import Rolling
 from foldcast.operators.panel import enrich, fill_gaps, spread
 from foldcast.sources.scratch import cut_lineage
 
 
-# Independent folds whose jobs are submitted at the same time.
-FOLDS_AT_ONCE = 4
-
-
 def window_examples(panel: DataFrame, context: int, horizon: int,
                     known: DataFrame | None = None, unknown: Sequence[str] = (),
                     attributes: Sequence[str] = (), series_col: str = "series",
@@ -69,27 +60,6 @@ def holiday_flags(holidays: DataFrame) -> DataFrame:
             "holiday_" + "".join(c if c.isalnum() else "_" for c in n.lower())) for n in names])
 
 
-def feature_pipeline(df: DataFrame, inputs: Sequence[str]) -> Pipeline:
-    """Automatic transformations: text becomes an index, missing numbers the mean."""
-    text = [c for c in inputs if isinstance(df.schema[c].dataType, T.StringType)]
-    numbers = [c for c in inputs if c not in text]
-    stages = [Imputer(inputCols=numbers, outputCols=[f"{c}__in" for c in numbers])]
-    if text:
-        stages.append(StringIndexer(inputCols=text, outputCols=[f"{c}__in" for c in text],
-                                    handleInvalid="keep"))
-    stages.append(VectorAssembler(inputCols=[f"{c}__in" for c in inputs], outputCol="features"))
-    return Pipeline(stages=stages)
-
-
-def regressor(kind: str, rounds: int, seed: int):
-    """Boosted trees on absolute errors: at most ``rounds`` of them, validation stops earlier."""
-    if kind == "learn_to_learn":
-        return GBTRegressor(featuresCol="features", labelCol="target", lossType="absolute",
-                            maxIter=rounds, maxDepth=4, seed=seed,
-                            validationIndicatorCol="is_validation")
-    raise ValueError(f"unsupported model: {kind}")
-
-
 def prepared_examples(panel: DataFrame, rolling: Rolling, context: int = 20,
                       known: DataFrame | None = None, unknown: Sequence[str] = (),
                       attributes: Sequence[str] = (), series_col: str = "series",
@@ -137,48 +107,39 @@ def dense_models(examples: DataFrame, inputs: Sequence[str], rolling: Rolling,
     return dense.fit(heads, used, rolling, loss, period_col)
 
 
+def boosted_trees(examples: DataFrame, inputs: Sequence[str], rolling: Rolling,
+                  rounds: int = 30, period_col: str = "period"
+                  ) -> tuple[DataFrame, list, dict[int, boost.Forest]]:
+    """Examples in numbers, bin edges, and the boosted trees of every fold."""
+    numbers = as_numbers(examples, inputs)
+    return (numbers, *boost.fit(numbers, inputs, rolling, rounds, period_col))
+
+
 def fit_and_forecast(panel: DataFrame, rolling: Rolling, kind: str, context: int = 20,
                      known: DataFrame | None = None, unknown: Sequence[str] = (),
                      attributes: Sequence[str] = (), series_col: str = "series",
                      period_col: str = "period", target_col: str = "qty",
-                     granularity: str = "WEEKLY", rounds: int = 10,
-                     holidays: DataFrame | None = None, known_from_panel: Sequence[str] = (),
-                     seed: int = 42) -> DataFrame:
+                     granularity: str = "WEEKLY", rounds: int = 30,
+                     holidays: DataFrame | None = None, known_from_panel: Sequence[str] = ()
+                     ) -> DataFrame:
     """Fit one pooled model per fold and forecast the fold's test range from its last
     training period.
 
-    Examples are written to the shared scratch folder once and read by every fold. The
-    dense encoder solves all folds together. Boosted trees are fitted fold by fold, a few at
-    the same time, each as a distributed job; their validation rows steer early stopping.
+    Examples are written to the shared scratch folder once. Both kinds fit all folds
+    together: the dense encoder from sums of products, boosted trees from histograms of at
+    most ``rounds`` rounds, fewer where a fold's validation rows say so.
     """
     # Example columns do not depend on the model; an unknown kind fails before any work.
-    estimator = None if kind == "dense_encoder" else regressor(kind, rounds, seed)
-    spark, days = panel.sparkSession, period_days(granularity)
+    if kind not in ("dense_encoder", "learn_to_learn"):
+        raise ValueError(f"unsupported model: {kind}")
+    days = period_days(granularity)
     examples, inputs = prepared_examples(
         panel, rolling, context, known, unknown, attributes, series_col, period_col, target_col,
         granularity, holidays, known_from_panel)
-    if estimator is None:
+    if kind == "dense_encoder":
         used = [c for c in inputs if c != "h"]
         heads = as_numbers(examples, used).withColumn("h", F.col("h").cast("int"))
         models = dense.fit(heads, used, rolling, period_col=period_col)
         return dense.forecast(heads, models, used, rolling, days, series_col, period_col)
-
-    def one_fold(f) -> DataFrame:
-        start, validation = F.lit(f.test_start_date), F.lit(f.val_start_date)
-        train = examples.filter((F.col(period_col) < start) & F.col("target").isNotNull())
-        train = train.withColumn("is_validation", F.col(period_col) >= validation)
-        features = feature_pipeline(train, inputs).fit(train)
-        model = estimator.fit(features.transform(train).select(
-            "features", "target", "is_validation"))
-        last = (F.col("origin") < start) & (F.date_add("origin", days) >= start)
-        return model.transform(features.transform(examples.filter(last))).select(
-            F.lit(f.fold).alias("fold"), series_col, period_col,
-            F.lit("forecast").alias("time_series_type"),
-            F.col("prediction").alias("forecast_value"),
-            F.lit(None).cast("double").alias("prediction_interval_lower_bound"),
-            F.lit(None).cast("double").alias("prediction_interval_upper_bound"))
-
-    with ThreadPool(FOLDS_AT_ONCE) as pool:
-        parts = pool.map(inheritable_thread_target(one_fold),
-                         fold_table(spark.range(1), rolling).collect())
-    return reduce(DataFrame.unionByName, parts)
+    numbers, edges, forests = boosted_trees(examples, inputs, rolling, rounds, period_col)
+    return boost.forecast(numbers, edges, forests, inputs, rolling, days, series_col, period_col)

@@ -751,12 +751,22 @@ def global_linear_coverage(spark, sf_dir):
     return _coverage(_dense(spark, sf_dir))
 
 
+def _boosted(spark, sf_dir):
+    """Boosted trees over all series, for all folds together."""
+    panel = B.weekly_panel(spark, sf_dir).select("series", "period", "qty", *B.ATTRIBUTES)
+    return pooled.fit_and_forecast(
+        panel, B.ROLLING, "learn_to_learn", CONTEXT, known=_covariates(spark),
+        attributes=B.ATTRIBUTES, holidays=_holidays(spark))
+
+
 @query()
 def global_gbt(spark, sf_dir):
-    """Boosted trees over the series of all origins, refitted for every fold."""
-    return pooled.fit_and_forecast(
-        B.origin_panel(spark, sf_dir, regions=True), B.ROLLING, "learn_to_learn", CONTEXT,
-        known=_covariates(spark), attributes=["origin_region"], holidays=_holidays(spark))
+    return _boosted(spark, sf_dir)
+
+
+@query(POOLED_SQL)
+def global_gbt_coverage(spark, sf_dir):
+    return _coverage(_boosted(spark, sf_dir))
 
 
 @query()

@@ -7,7 +7,8 @@ import pytest
 from foldcast.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
-ITERATIVE = {"global_gbt", "global_linear", "global_linear_coverage"}  # these run jobs while the plan is built
+ITERATIVE = {"global_gbt", "global_gbt_coverage", "global_linear",
+             "global_linear_coverage"}  # these run jobs while the plan is built
 STORED = {"dashboard_append", "dashboard_merge_schema", "evaluated_items",
           "folds_json_roundtrip"}
 
