@@ -202,7 +202,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, i
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents without a hit, with the columns they came with."""
+    """The documents without a hit, with the columns they came with.
+
+    Null and empty texts have no words and stay; long texts are searched whole; repeated ids and rows are judged
+    one by one; names of other columns may clash; an empty table gives no rows, an empty benchmark keeps all.
+    """
     plain = neutral(docs)
     renamed = {"id_col": options.pop("id_col", "doc_id"), "text_col": options.pop("text_col", "text")}
     at = {k: f"c{docs.columns.index(x)}" for k, x in renamed.items()}

@@ -172,7 +172,12 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, id_col:
 
 
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that score at least the threshold, with the columns they came with."""
+    """The documents that score at least the threshold, with the columns they came with.
+
+    Null and empty texts are scored as one empty passage, long ones as all their passages; a score equal to the
+    threshold stays; repeated ids and rows are judged one by one; names of other columns may clash; an empty
+    table gives no rows.
+    """
     model = train(docs, labels, id_col=id_col, text_col=text_col)
     found = scored(neutral(docs), model, f"c{docs.columns.index(text_col)}").where(F.col("score") >= threshold)
     return found.drop("score").toDF(*docs.columns)
