@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from foldcast.functions import columns as C
 from foldcast.operators import (adjust, arima, auto_arima, baseline, decompose, dense, folds,
-                                holiday, lowess, pooled, profile, report, scaffold, score, xreg)
+                                gaps, holiday, lowess, pooled, profile, report, scaffold, score, xreg)
 from foldcast.operators import panel as P
 from foldcast.plans import backtest
 from foldcast.plans import oracles as O
@@ -696,6 +696,24 @@ def arima_auto_training_info(spark, sf_dir):
     return auto_arima.training_info(auto_arima.fit(grid, B.ROLLING.periods()))
 
 
+def _gap_models(spark, sf_dir):
+    grid = arima.fold_grid(B.core_panel(spark, sf_dir), B.ROLLING, holidays=_holidays(spark),
+                           fill="none")
+    return gaps.fit(grid, B.ROLLING.horizon)
+
+
+@query()
+def arima_gaps(spark, sf_dir):
+    """Periods without a row are unknown, not 0: exact likelihood over what is known."""
+    return rounded(auto_arima.forecast(_gap_models(spark, sf_dir), 0.9), *BOUNDS,
+                   "standard_error", digits=6)
+
+
+@query()
+def arima_gaps_models(spark, sf_dir):
+    return gaps.coefficients(_gap_models(spark, sf_dir))
+
+
 # --- pooled models -------------------------------------------------------------------
 
 CONTEXT = 20
