@@ -37,6 +37,7 @@ class Rolling:
 
     Windows start at ``test_start`` and every ``step`` weeks after it while the
     start is not after ``test_end``; the last window may run past ``test_end``.
+    ``only`` keeps the folds of these numbers, under their numbers.
     """
 
     train_start: str | Column
@@ -44,13 +45,17 @@ class Rolling:
     test_end: str | Column
     horizon: int = DEFAULT_HORIZON
     step: int | None = None
+    only: tuple[int, ...] | None = None
 
     def array(self) -> Column:
         """The folds as ``array<struct>``."""
         weeks = self.step if self.step is not None else self.horizon
         starts = F.sequence(as_date(self.test_start), as_date(self.test_end),
                             F.make_dt_interval(F.lit(7 * weeks)))
-        return F.transform(starts, self._fold)
+        found = F.transform(starts, self._fold)
+        if self.only is None:
+            return found
+        return F.filter(found, lambda f: f["fold"].isin(list(self.only)))
 
     def _fold(self, start: Column, number: Column) -> Column:
         span = 7 * self.horizon

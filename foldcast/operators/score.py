@@ -136,6 +136,60 @@ def global_wmape(rows: DataFrame, period_col: str = "period",
     return inside.filter(keep).groupBy("fold").agg(metrics.wmape().alias("wMAPE"))
 
 
+def full_eval_rows(panel: DataFrame, forecasts: DataFrame, folds: Rolling | Column,
+                   series_col: str = "series", period_col: str = "period",
+                   target_col: str = "qty", granularity: str = "WEEKLY") -> DataFrame:
+    """Every actual and every forecast row of every fold: a full join, planned as a union and
+    one aggregation by (fold, series, period), so with one shuffle and equal NULL keys.
+
+    ``side`` tells whether a row had both, an 'actual' alone or a 'forecast' alone. A missing
+    forecast counts as 0, and so does a missing actual: nothing was sold. A forecast alone
+    thus weighs nothing in wMAPE but counts in the other metrics. Forecasts of folds that
+    ``folds`` does not have are left out; actuals of one key are summed, and of repeated
+    forecast rows the greatest by kind and value stays.
+    """
+    keys = ["fold", series_col, period_col]
+    period = F.col(period_col).cast("date").alias(period_col)
+    actual = panel.groupBy(series_col, period).agg(F.sum(target_col).alias("actual_value"))
+    actual = fan_out(actual, folds).select(
+        F.col("f.fold").alias("fold"), series_col, period_col, "actual_value",
+        F.lit(None).alias("__forecast"), "f")
+    array = folds.array() if isinstance(folds, Rolling) else folds
+    own = F.get(F.filter(array, lambda f: f["fold"] == F.col("fold")), F.lit(0))
+    ahead = forecasts.select(
+        "fold", series_col, period, F.lit(None).alias("actual_value"),
+        F.struct(*FORECAST_COLUMNS).alias("__forecast"), own.alias("f")).filter("f IS NOT NULL")
+    joined = actual.unionByName(ahead).groupBy(*keys).agg(
+        F.sum("actual_value").alias("actual_value"), F.count("actual_value").alias("__a"),
+        F.max("__forecast").alias("__forecast"), F.max("f").alias("f"))
+    value = F.coalesce("actual_value", F.lit(0))
+    filled = F.col("forecast_value_filled")
+    has_forecast = F.col("__forecast").isNotNull()
+    return (
+        joined.withColumn("forecast_value_filled", clamp("__forecast.forecast_value"))
+        .select(
+            *keys, F.when(has_forecast & (F.col("__a") > 0), "both").when(
+                has_forecast, "forecast").otherwise("actual").alias("side"),
+            "actual_value", *[F.col(f"__forecast.{c}").alias(c) for c in FORECAST_COLUMNS],
+            "forecast_value_filled", F.col("f.test_start_date").alias("test_start_date"),
+            F.col("f.test_end_date").alias("test_end_date"),
+            (value - filled).alias("diff"),
+            weighted_abs_error(value, filled).alias("wAbsError"),
+            (value * value).alias("wHist"),
+            lag_index(period_col, F.col("f.test_start_date"), granularity).alias("lag")))
+
+
+def full_metrics(rows: DataFrame, period_col: str = "period") -> DataFrame:
+    """All metrics of each fold's test range over ``full_eval_rows``, and how many rows had
+    both sides or one."""
+    tested = rows.filter((F.col(period_col) >= F.col("test_start_date"))
+                         & (F.col(period_col) < F.col("test_end_date")))
+    tested = tested.withColumn("actual_value", F.coalesce("actual_value", F.lit(0)))
+    return tested.groupBy("fold").agg(*metrics.metric_suite(), *[
+        F.count(F.when(F.col("side") == side, 1)).alias(f"n_{side}")
+        for side in ("both", "actual", "forecast")])
+
+
 def dashboard_wmape(rows: DataFrame, keys: Sequence[str] = ("fold",)) -> DataFrame:
     """wMAPE over every scaffold row, cold starts included."""
     return rows.groupBy(*keys).agg(metrics.wmape().alias("wMAPE"))

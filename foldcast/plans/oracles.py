@@ -189,6 +189,31 @@ def eval_rows(days: int = 7) -> str:
       ON a.fold = f.fold AND a.series = f.series AND a.period = f.period))"""
 
 
+#: Both sides of actuals and forecasts; expects ``panel``, ``folds`` and ``forecasts``.
+FULL_EVAL = f"""full_eval AS (
+  SELECT *, coalesce(actual_value, 0) - forecast_value_filled AS diff,
+         abs(coalesce(actual_value, 0) - forecast_value_filled) * coalesce(actual_value, 0)
+           AS wAbsError,
+         coalesce(actual_value, 0) * coalesce(actual_value, 0) AS wHist,
+         round(date_diff('day', test_start_date, period) / 7.0) AS lag
+  FROM (
+    SELECT k.*, d.test_start_date, d.test_end_date
+    FROM (
+      SELECT coalesce(a.fold, f.fold) AS fold, coalesce(a.series, f.series) AS series,
+             coalesce(a.period, f.period) AS period,
+             CASE WHEN f.fold IS NULL THEN 'actual' WHEN a.fold IS NULL THEN 'forecast'
+                  ELSE 'both' END AS side,
+             a.actual_value, f.time_series_type, f.forecast_value,
+             f.prediction_interval_lower_bound, f.prediction_interval_upper_bound,
+             CAST({clamp('f.forecast_value')} AS DOUBLE) AS forecast_value_filled
+      FROM (SELECT fold, series, period, CAST(qty AS BIGINT) AS actual_value
+            FROM (SELECT series, period, sum(qty) AS qty FROM panel GROUP BY 1, 2)
+            CROSS JOIN folds) a
+      FULL JOIN forecasts f
+        ON a.fold = f.fold AND a.series = f.series AND a.period = f.period) k
+    JOIN folds d ON k.fold = d.fold))"""
+
+
 WMAPE = "CAST(sum(wAbsError) AS DOUBLE) * 100.0 / nullif(CAST(sum(wHist) AS DOUBLE), 0)"
 SUITE = f"""{WMAPE} AS wMAPE,
        avg(abs(diff) / nullif(actual_value, 0)) AS MAPE, avg(abs(diff)) AS MAE,

@@ -13,6 +13,7 @@ from foldcast.operators import (adjust, arima, auto_arima, baseline, decompose,
 from foldcast.operators import panel as P
 from foldcast.plans import backtest
 from foldcast.plans import oracles as O
+from foldcast.plans import resume as R
 from foldcast.sources import bindings as B
 from foldcast.sources import scratch, tables
 from foldcast.sources.scratch import cut_lineage
@@ -282,6 +283,28 @@ def global_wmape_with_cold(spark, sf_dir):
     return rounded(score.global_wmape(rows, with_cold_starts=True), "wMAPE")
 
 
+FULL_SQL = O.with_(O.PANEL, ROLL, O.SEASONAL_NAIVE, O.FULL_EVAL)
+
+
+@query(FULL_SQL + "SELECT * FROM full_eval")
+def eval_rows_full(spark, sf_dir):
+    """Actuals and forecasts in full: also the forecasts that no actual met."""
+    panel = B.prepared_panel(spark, sf_dir)
+    return score.full_eval_rows(panel, baseline.seasonal_naive(panel, B.ROLLING), B.ROLLING)
+
+
+@query(FULL_SQL + f"""
+SELECT fold, {O.rounded('wMAPE, MAPE, MAE, pMAE, MSE, RMSE, pRMSE')}, n_both, n_actual, n_forecast
+FROM (SELECT fold, {O.SUITE}, count(*) FILTER (side = 'both') AS n_both,
+             count(*) FILTER (side = 'actual') AS n_actual,
+             count(*) FILTER (side = 'forecast') AS n_forecast
+      FROM (SELECT * REPLACE (coalesce(actual_value, 0) AS actual_value) FROM full_eval)
+      WHERE period >= test_start_date AND period < test_end_date GROUP BY fold)""")
+def full_metrics(spark, sf_dir):
+    return rounded(score.full_metrics(eval_rows_full(spark, sf_dir)), "wMAPE", "MAPE", "MAE",
+                   "pMAE", "MSE", "RMSE", "pRMSE")
+
+
 # The clamp and the lag index on a forecast that can be negative or missing: the week's
 # quantity less twelve, NULL on a zero covariate.
 SIGNED = f"""signed AS (
@@ -613,6 +636,20 @@ def dashboard_union_new_columns(spark, sf_dir):
     return rounded(both, "forecastQty", "diff", "wAbsError", digits=6)
 
 
+@query(ORACLES["dashboard_rows"])
+def dashboard_resumed(spark, sf_dir):
+    """A run that is stopped after four folds and taken up again, three folds at a time."""
+    panel = cut_lineage(B.prepared_panel(spark, sf_dir), "panel")
+    root = scratch.scratch_path(spark, "resumed")
+
+    def run(**options):
+        return R.resume(panel, B.ROLLING, RUN, "seasonal_naive", baseline.seasonal_naive, root,
+                        **options)
+
+    run(most=4)
+    return run(at_once=3)
+
+
 @query(O.with_(O.PANEL, ROLL, O.SEASONAL_NAIVE, O.scaffold(), O.dashboard("seasonal_naive", "baseline")) + f"""
 , scores AS (SELECT fold, round({O.WMAPE}, 6) AS w FROM dashboard GROUP BY fold)
 SELECT '{RUN}-fold-' || fold AS run_name, k AS name, v AS value FROM (
