@@ -605,6 +605,38 @@ def wmape_by_lag(spark, sf_dir):
     return rounded(report.wmape_by_lag(_all_boards(spark, sf_dir)), "wMAPE")
 
 
+DECISION_LAGS = B.ROLLING.horizon - 1
+
+
+@query(BOARDS_SQL + f""", losses AS (
+  SELECT model_name, period, coalesce(CAST(sum(wAbsError) AS DOUBLE), 0.0) AS loss FROM boards GROUP BY 1, 2),
+pairs AS (
+  SELECT m.model_name AS challenger, m.period, c.loss - m.loss AS d
+  FROM losses m JOIN losses c ON c.period = m.period AND c.model_name = 'seasonal_naive'
+  WHERE m.model_name <> 'seasonal_naive'),
+centred AS (
+  SELECT *, d - avg(d) OVER (PARTITION BY challenger) AS e,
+         row_number() OVER (PARTITION BY challenger ORDER BY period) AS t FROM pairs),
+products AS (
+  SELECT a.challenger, sum(a.e * b.e * CASE WHEN a.t = b.t THEN 1.0 ELSE
+         2.0 * (1 - (a.t - b.t) / {DECISION_LAGS + 1}.0) END) AS total
+  FROM centred a JOIN centred b
+    ON a.challenger = b.challenger AND b.t BETWEEN a.t - {DECISION_LAGS} AND a.t GROUP BY 1),
+tests AS (
+  SELECT challenger, count(*) AS n_periods, avg(d) AS mean_difference,
+         sqrt(any_value(total)) / count(*) AS standard_error
+  FROM centred JOIN products USING (challenger) GROUP BY 1)
+SELECT 'seasonal_naive' AS champion, challenger, n_periods,
+       {O.rounded('mean_difference, standard_error, statistic', 4)},
+       CASE WHEN statistic > {C.z_value(0.95)!r} THEN 'challenger'
+            WHEN statistic < -{C.z_value(0.95)!r} THEN 'champion' ELSE 'undecided' END AS decision
+FROM (SELECT *, mean_difference / standard_error AS statistic FROM tests)""")
+def champion_test(spark, sf_dir):
+    """Drift and trend with season against the seasonal-naive champion."""
+    found = report.champion_test(_all_boards(spark, sf_dir), "seasonal_naive", DECISION_LAGS)
+    return rounded(found, "mean_difference", "standard_error", "statistic", digits=4)
+
+
 @query(TWO_BOARDS_SQL + BOARD_COLUMNS + """
 FROM (SELECT * FROM board_seasonal_naive UNION ALL SELECT * FROM board_drift)""")
 def dashboard_append(spark, sf_dir):
