@@ -80,8 +80,8 @@ def approximate_tokens(text_col: str = "text") -> Column:
 
 def normal_text_key(text_col: str = "text") -> Column:
     """Equal for texts that differ in case and blanks only; null for texts without other characters."""
-    plain = F.lower(F.regexp_replace(F.col(text_col), r"\s+", ""))
-    return F.when(plain != "", F.md5(plain))
+    # not when(plain != "", md5(plain)): Spark would work plain out twice
+    return F.md5(F.nullif(F.lower(F.regexp_replace(F.col(text_col), r"\s+", "")), F.lit("")))
 
 
 def near_classes(docs: DataFrame, threshold: float, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -7,6 +7,8 @@ from functools import lru_cache
 import numpy as np
 import regex
 
+from foldcast.llm.common import ragged
+
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 #: Fixed values of the pattern: what may follow an apostrophe.
 ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
@@ -31,6 +33,16 @@ def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return flat, np.concatenate([[0], np.cumsum([len(x) for x in texts], dtype=np.int64)]).astype(np.int64)
 
 
+def utf8_spans(flat: np.ndarray, begin: np.ndarray, end: np.ndarray) -> list[bytes]:
+    """Each span of code points as UTF-8, all encoded at once."""
+    sizes = end - begin
+    points = flat[ragged(begin, sizes)]
+    raw = points.tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass")
+    width = 1 + (points > 0x7F).astype(np.int64) + (points > 0x7FF) + (points > 0xFFFF)
+    upto = np.concatenate([[0], np.cumsum(width)])[np.concatenate([[0], np.cumsum(sizes)])].tolist()
+    return [raw[a:b] for a, b in zip(upto[:-1], upto[1:], strict=True)]
+
+
 def runs(flat: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Runs of one class within one text: begin, end, class."""
     kind = classes()[flat]

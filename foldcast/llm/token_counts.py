@@ -90,9 +90,8 @@ class PieceCounts:
         counts = np.zeros(len(keys), np.int32)
         counts[known] = self.counts[at[known]]
         new = np.flatnonzero(~known)
-        for i in new:
-            text = flat[begin[where[i]] : end[where[i]]].tobytes().decode("utf-32-le", "surrogatepass")
-            counts[i] = merged_count(text.encode("utf-8", "surrogatepass"), self.merges)
+        merges = self.merges
+        counts[new] = [merged_count(x, merges) for x in P.utf8_spans(flat, begin[where[new]], end[where[new]])]
         if len(new):
             fresh = len(self.keys) + len(new) > KEPT_PIECES
             keys_ = keys if fresh else np.concatenate([self.keys, keys[new]])

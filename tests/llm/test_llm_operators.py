@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from foldcast.llm import decontamination, embeddings, jaccard, packing, pii, quality, suffixes, toxicity, wavelet
+from foldcast.llm import decontamination, embeddings, jaccard, packing, pieces, pii, quality, suffixes, toxicity, wavelet
 from foldcast.llm.common import hashed_words, neutral, picked
 from foldcast.llm.shingles import shingle_sets
 from foldcast.llm.token_counts import token_counts
@@ -76,6 +76,23 @@ def test_token_counts_of_odd_texts(spark):
     assert rows_of(token_counts(df, path), "doc_id", "n_tokens") == sorted(((i, len(library.encode(t, add_special_tokens=False).ids)) for i, t in enumerate(texts)), key=repr)
 
 
+def test_new_pieces_are_encoded_at_once():
+    texts = ["", "a", "é漢😀", "\ud800x", " zu\u00dfach", "\U0010ffff"]
+    flat, begins = pieces.code_points(texts)
+    assert pieces.utf8_spans(flat, begins[:-1], begins[1:]) == [t.encode("utf-8", "surrogatepass") for t in texts]
+    assert pieces.utf8_spans(flat, begins[:0], begins[:0]) == []
+
+
+def test_text_key_is_worked_out_once(spark):
+    texts = [None, "", " ", "\t\x0b\f\r\n ", "A b", "ab", "a\u00a0B", "İ Σ", "ΑΣ ", "x\x1cy", "d41d8"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    plain = F.lower(F.regexp_replace("text", r"\s+", ""))
+    found = df.select(packing.normal_text_key().alias("key"), F.when(plain != "", F.md5(plain)).alias("want")).collect()
+    assert [r.key for r in found] == [r.want for r in found] and [r.key is None for r in found[:5]] == [True] * 4 + [False]
+    plan = spark.range(3).select(F.col("id").cast("string").alias("text")).select(packing.normal_text_key().alias("key"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("regexp_replace(") == 1
+
+
 def test_packing_is_whole_tight_and_free_of_conflicts(docs, empty):
     found = packing.best_fit(docs, capacity=200)
     once = {i for i, n in Counter(i for i, _ in corpus()).items() if n == 1}
