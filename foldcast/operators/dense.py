@@ -28,6 +28,9 @@ TOLERANCE, MAX_ITERATIONS = 1e-3, 25
 
 MODEL = ("fold int, h int, intercept double, slopes array<double>, sigma double, "
          "n_rows bigint, change double")
+MODEL_SCHEMA = pa.schema({"fold": pa.int32(), "h": pa.int32(), "intercept": pa.float64(),
+                          "slopes": pa.list_(pa.float64()), "sigma": pa.float64(),
+                          "n_rows": pa.int64(), "change": pa.float64()})
 
 
 def numbered(examples: DataFrame, inputs: Sequence[str], rolling: Rolling,
@@ -117,7 +120,8 @@ def solved(sums: DataFrame, width: int, n_folds: int, robust: bool, models: dict
     size = (width + 2) * (width + 3) // 2
     unpack, solve = kernels.unpack, kernels.solve_spd
 
-    def heads(rows: pd.DataFrame) -> pd.DataFrame:
+    def heads(group: pa.Table) -> pa.Table:
+        rows = group.to_pandas()
         h = int(rows.h.iloc[0])
         table = np.zeros((n_folds, size + 2 * robust))
         rows = rows[rows.part < n_folds]
@@ -145,10 +149,10 @@ def solved(sums: DataFrame, width: int, n_folds: int, robust: bool, models: dict
                 change = float(moved.max(initial=0.0) / max(spread[-1], 1e-12))
             out.append((int(fold), h, float(intercept), list(map(float, b)), float(sigma),
                         int(round(count)), change))
-        return pd.DataFrame(out, columns=["fold", "h", "intercept", "slopes", "sigma",
-                                          "n_rows", "change"])
+        solved_ = pd.DataFrame(out, columns=MODEL_SCHEMA.names)
+        return pa.Table.from_pandas(solved_, MODEL_SCHEMA, preserve_index=False)
 
-    return sums.groupBy("h").applyInPandas(heads, MODEL)
+    return sums.groupBy("h").applyInArrow(heads, MODEL)
 
 
 def fit(examples: DataFrame, inputs: Sequence[str], rolling: Rolling, loss: str = "huber",
